@@ -6,6 +6,8 @@ thousandths, so they do not depend on the order of addition.
 
 from __future__ import annotations
 
+import re
+
 from registry import fixtures
 
 _NAMES = {n: n for n in ("events", "customer", "nation", "region", "orders")}
@@ -155,20 +157,18 @@ join (select reading_date as day, count(*) as rows_output, count(distinct meter_
 
 
 def _sql(final: str, readings: str = "staged", **extra: str) -> str:
-    """A query over the steps it needs (in order, found by name), plus extra steps before it."""
+    """A query with the steps it needs, found by name."""
     steps = {**{name: text.strip() for name, text in STEPS.items()}, **extra}
     steps["joined"] = steps["joined"].replace("{readings}", readings)
-    import re
+    order: list[str] = []
 
-    needed: set[str] = set()
-    todo = [final]
-    while todo:
-        text = todo.pop()
+    def need(text: str) -> None:
         for name in steps:
-            if name not in needed and re.search(rf"\b(from|join)\s+{name}\b", text):
-                needed.add(name)
-                todo.append(steps[name])
-    order = [n for n in steps if n in needed]
+            if name not in order and re.search(rf"\b(from|join)\s+{name}\b", text):
+                need(steps[name])
+                order.append(name)
+
+    need(final)
     return ("with " + ",\n".join(f"{n} as ({steps[n]})" for n in order) + "\n" if order else "") + final
 
 
@@ -187,7 +187,6 @@ def _stats_row(columns: dict[str, str]) -> str:
 _RUN = {"run_id": "'run_1'", "run_timestamp": RUN_TS, "source_filename": "'all_files'", "status": "'success'"}
 
 _HWM_FIRST = "select * from staged where reading_date < date '2024-01-30'"
-_CHANGED = "(select meter_id from staged where reading_date > (select max(reading_date) from first_part))"
 
 
 def _incremental() -> str:
@@ -195,7 +194,9 @@ def _incremental() -> str:
     build = _sql("select * from consumption")
     first = _sql("select * from consumption", readings="first_part", first_part=_HWM_FIRST)
     # the steps of both builds are nested, each under its own name
-    changed = _sql(f"select distinct meter_id from {_CHANGED}", first_part=_HWM_FIRST)
+    changed = _sql(
+        "select meter_id from staged where reading_date > (select max(reading_date) from first_part)", first_part=_HWM_FIRST
+    )
     return (
         f"select * from ({build}) where meter_id in ({changed}) union all "
         f"select * from ({first}) where meter_id not in ({changed})"
@@ -397,6 +398,18 @@ from orders group by 1, 2 having count(*) filter (o_orderpriority = '1-URGENT')
         "union all select 'import_active_power', count(*) filter (import_active_power is null) from clean) where n_nulls > 0"
     ),
     "csv_harmonised": _sql(_csv_rows()),
+    "header_mapping": _sql(
+        """
+select layout, separator, headers, kind, meter_position, time_position, power_position, n_rows, n_meters
+from (values (0, ',', 'meter_id id meter_no data_time import_active_power import_reactive_power import_apparent_power reactive_power_import '
+        || 'export_active_power export_reactive_power export_apparent_power reactive_power_export import_factor_power export_factor_power status',
+        'full', 0, 3, 4),
+       (1, ';', 'Reading_DateTime MTR_ID note ACTIVE_POWER', 'required', 1, 0, 3),
+       (2, chr(9), 'METER IMPORT_POWER TIMESTAMP', 'required', 0, 2, 1),
+       (3, '|', 'STATUS DT METERID KW_IMP', 'required', 2, 1, 3))
+  v(layout, separator, headers, kind, meter_position, time_position, power_position)
+cross join (select count(*) as n_rows, count(distinct meter_id) as n_meters from fx_readings) c"""
+    ),
     "stream_ingest": _sql(
         'select meter_id as "METER_ID", data_time as "DATA_TIME", import_active_power as "IMPORT_ACTIVE_POWER", '
         "year(data_time) || '-Q' || quarter(data_time) as \"QUARTER\" from dedup"

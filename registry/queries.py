@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry import fixtures
-from wattline.functions import floor_minute, half_up, parse_reading_time, quarter_label, row_hash, safe_double
+from wattline.functions import floor_minute, half_up, parse_reading_time, quarter_label, row_hash, safe_double, time_text
 from wattline.operators import checks, loading, reports, stats
 from wattline.operators.consumption import consumption, daily_usage
 from wattline.operators.nearest import nearest_location
@@ -24,7 +24,7 @@ from wattline.operators.staging import (
 )
 from wattline.operators.violations import flag_over, regional_consumption, regional_violators, violation_category, violators, with_quality
 from wattline.plans.refresh import Places, Run, clean_to_readings, files_to_clean, readings_to_models
-from wattline.sources.delimited import list_files, read_readings
+from wattline.sources.delimited import list_files, map_headers, read_layouts, read_readings, sniff_headers
 from wattline.sources.scratch import scratch_path, written
 from wattline.sources.tables import VersionedTable, write_by_day
 from wattline.spec import READING_COLUMNS, ModelSpec, QualitySpec, RegionSpec
@@ -157,7 +157,7 @@ def parse_timestamps(spark, folder):
             "event_id",
             "text",
             parsed.alias("data_time"),
-            F.date_format(parsed, "yyyy-MM-dd HH:mm:ss").alias("data_time_str"),
+            time_text(parsed).alias("data_time_str"),
             quarter_label(parsed).alias("quarter"),
             safe_double(F.col("power_text")).alias("power"),
         )
@@ -166,7 +166,7 @@ def parse_timestamps(spark, folder):
 
 def row_key(spark, folder):
     """Groups by row hash; their members show that equal hash means equal meter and minute."""
-    key = row_hash(F.col("meter_id"), F.date_format("data_time", "yyyy-MM-dd HH:mm:ss"))
+    key = row_hash(F.col("meter_id"), time_text(F.col("data_time")))
     return (
         clean(spark, folder)
         .groupBy(key.alias("key"))
@@ -445,13 +445,12 @@ def csv_harmonised(spark, folder):
 
 
 def header_mapping(spark, folder):
-    """Separator, headers and mapped positions per layout, from the written files."""
-    from wattline.sources.delimited import map_headers, sniff_headers
-
+    """Per written layout: how its headers were mapped, and what was read through that mapping."""
     files = list_files(spark, write_layouts(spark, folder), recursive=True)
     mapped = map_headers(sniff_headers(files))
     layout = F.regexp_extract("path", r"layout=(\d+)", 1).cast("int")
-    return mapped.select(
+    found = mapped.select(
+        "source_filename",
         layout.alias("layout"),
         "separator",
         F.concat_ws(" ", "headers").alias("headers"),
@@ -459,7 +458,10 @@ def header_mapping(spark, folder):
         F.col("mapping")["METER_ID"].alias("meter_position"),
         F.col("mapping")["DATA_TIME"].alias("time_position"),
         F.col("mapping")["IMPORT_ACTIVE_POWER"].alias("power_position"),
-    ).distinct()
+    )
+    names = [c for c in found.columns if c != "source_filename"]
+    rows = read_layouts(spark, mapped).join(found, "source_filename")
+    return rows.groupBy(*names).agg(F.count("*").alias("n_rows"), F.countDistinct("METER_ID").alias("n_meters"))
 
 
 def stream_ingest(spark, folder):

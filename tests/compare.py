@@ -17,7 +17,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def _rows(frame: pd.DataFrame) -> list[tuple]:
     def plain(value):
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
             return "null"
         if hasattr(value, "isoformat"):
             return pd.Timestamp(value).isoformat()

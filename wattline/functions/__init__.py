@@ -9,6 +9,7 @@ from wattline.functions.temporal import (
     parse_reading_time,
     quarter_label,
     second_of_day,
+    time_text,
 )
 from wattline.functions.text import canonical_id, row_hash
 
@@ -27,5 +28,6 @@ __all__ = [
     "row_hash",
     "safe_double",
     "second_of_day",
+    "time_text",
     "unit_vector",
 ]

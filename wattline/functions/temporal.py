@@ -21,6 +21,11 @@ def parse_reading_time(text: Column) -> Column:
     return floor_minute(seconds)
 
 
+def time_text(ts: Column) -> Column:
+    """``2025-08-02 00:30:00`` from a zone-free timestamp at whole seconds."""
+    return ts.cast("timestamp_ntz").cast("string")
+
+
 def quarter_label(day: Column) -> Column:
     """``2025-Q3`` from a date or timestamp."""
     return F.concat(F.year(day).cast("string"), F.lit("-Q"), F.quarter(day).cast("string"))

@@ -23,6 +23,7 @@ from wattline.sources.tables import (
     EmptyOutput,
     VersionedTable,
     delete_path,
+    has_data,
     read_parquet_tree,
     replace_table,
     write_quarters,
@@ -82,16 +83,15 @@ def files_to_clean(
         return 0
     clean, _ = read_readings(spark, files, resolver=resolver, on_reject=on_reject, with_hash=with_hash)
     write_quarters(clean, places.clean(run))
-    back = read_parquet_tree(spark, places.clean(run))
-    written_rows = back.count()
-    if written_rows == 0:
+    if not has_data(spark, places.clean(run)):
         delete_path(spark, places.clean(run))
         raise EmptyOutput(f"no rows written from {raw_folder}")
+    back = read_parquet_tree(spark, places.clean(run))
     read = back.groupBy("source_filename").agg(F.count("*").alias("rows_input"))
     inputs = files.select("source_filename", "file_size_bytes").join(read, "source_filename", "left")
     rows = stats.file_stats(back, inputs.fillna(0, ["rows_input"]), run.run_id, run.run_timestamp, monotonic() - started)
     hand_over(rows, places.handed_over(run))
-    return written_rows
+    return back.count()
 
 
 def clean_to_readings(spark: SparkSession, places: Places, run: Run) -> LoadCounts:

@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.functions import canonical_id, parse_reading_time, quarter_label, row_hash, safe_double
+from wattline.functions import canonical_id, parse_reading_time, quarter_label, row_hash, safe_double, time_text
+from wattline.sources.scratch import written
 from wattline.spec import HEADER_ALIASES, POWER_COLUMNS, READING_COLUMNS, REQUIRED_COLUMNS, SEPARATORS
 
-TIME_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
 
 class UnmappableFiles(ValueError):
     """Some files' headers cannot be mapped to the required columns."""
@@ -234,7 +233,7 @@ def clean_readings(raw: DataFrame, with_hash: bool = True) -> DataFrame:
     )
     derived = typed.withColumns(
         {
-            "DATA_TIME_STR": F.date_format("DATA_TIME", TIME_TEXT_FORMAT),
+            "DATA_TIME_STR": time_text(F.col("DATA_TIME")),
             "QUARTER": quarter_label(F.col("DATA_TIME")),
         }
     )
@@ -260,11 +259,11 @@ def read_readings(
     files (path, headers) and returns (path, incoming, target). Files still unknown stop the run
     unless ``on_reject="skip"``; files without any header are always skipped.
     """
-    sniffed = sniff_headers(files).persist()
-    mapped = map_headers(sniffed.where(F.size("headers") > 0))
+    sniffed = written(sniff_headers(files), "headers").where(F.size("headers") > 0)
+    mapped = map_headers(sniffed)
     if resolver is not None:
         unknown = mapped.where("kind = 'reject'").select("path", "headers")
-        mapped = map_headers(sniffed.where(F.size("headers") > 0), resolver(unknown))
+        mapped = map_headers(sniffed, resolver(unknown))
     if on_reject == "fail":
         rejected = [row["path"] for row in mapped.where("kind = 'reject'").select("path").limit(20).collect()]
         if rejected:

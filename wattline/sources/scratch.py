@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,11 +16,15 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="wattline-")
-    spark.conf.set(SETTING, root)
-    return root
+    return _own_folder(context.applicationId)
+
+
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="wattline-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

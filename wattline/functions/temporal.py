@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 DAY_SECONDS = 86400
 
 # Accepted shapes of a reading time: date, or date and time with optional fraction.
-READING_TIME_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2}(\.\d+)?)?$"
+READING_TIME_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}(?: \d{1,2}:\d{1,2}:[0-5]?\d(?:\.\d+)?)?$"
 
 
 def floor_minute(ts: Column) -> Column:
@@ -16,9 +16,11 @@ def floor_minute(ts: Column) -> Column:
 
 
 def parse_reading_time(text: Column) -> Column:
-    """Text to a zone-free timestamp at whole minutes; anything else is null."""
-    seconds = F.when(text.rlike(READING_TIME_SHAPE), F.substring_index(text, ".", 1).try_cast("timestamp_ntz"))
-    return floor_minute(seconds)
+    """Text to a zone-free timestamp at whole minutes; anything else is null.
+
+    The minute is what stands before the second colon, so no timestamp arithmetic is needed.
+    """
+    return F.when(text.rlike(READING_TIME_SHAPE), F.substring_index(text, ":", 2).try_cast("timestamp_ntz"))
 
 
 def time_text(ts: Column) -> Column:

@@ -57,8 +57,7 @@ def nearest_location(
     ).alias("b")
     distance = haversine_metres(F.col("b.lat"), F.col("b.lon"), F.col("b.near_lat"), F.col("b.near_lon"), radius)
     return (
-        matched.where("near is not null")
-        .groupBy("meter_id")
+        matched.groupBy("meter_id")
         .agg(best)
         .select(
             "meter_id",
@@ -95,8 +94,10 @@ def _pick_inline(sites: DataFrame, locations: DataFrame) -> DataFrame:
             p["lon"].alias("lon"),
         )
 
+    # the search is work per row, not per byte, so spread the rows over all cores
+    spread = sites.repartition(sites.sparkSession.sparkContext.defaultParallelism)
+    options = _with_vector(spread).withColumn("options", packed.scalar()).where(F.size("options") > 0)
     # nulls sort first inside a struct, which is the order wanted for sites without a point
-    options = _with_vector(sites).withColumn("options", packed.scalar())
     return options.withColumn("near", F.array_min(F.transform("options", candidate))).drop("options")
 
 
@@ -168,7 +169,7 @@ def _pick_by_cells(sites: DataFrame, locations: DataFrame) -> DataFrame:
         F.min(F.struct(F.lit(None).cast("double").alias("d2"), "original_coordinate", "lat", "lon")).alias("near")
     )
     located = sites.where("lat is not null").join(nearest, ["lat", "lon"])
-    unlocated = sites.where("lat is null").withColumn("near", first.scalar())
+    unlocated = sites.where("lat is null").withColumn("near", first.scalar()).where("near is not null")
     return located.unionByName(unlocated)
 
 

@@ -102,9 +102,10 @@ def file_stats(
 ) -> DataFrame:
     """One row per input file: counts of what was written beside what was read.
 
-    ``clean`` carries ``source_filename``; ``inputs`` has source_filename, rows_input and
-    file_size_bytes. A missing meter id counts as one distinct value. Files whose rows all
-    vanished are reported as failed.
+    ``clean`` carries ``source_filename``; ``inputs`` has source_filename, file_size_bytes and
+    rows_input. Without rows_input the rows written stand in for it, which is exact where nothing
+    between scan and write drops rows. A missing meter id counts as one distinct value. Files
+    without any written row are reported as failed.
     """
     watts, at = F.col("IMPORT_ACTIVE_POWER"), F.col("DATA_TIME")
     profile = clean.groupBy("source_filename").agg(
@@ -116,6 +117,8 @@ def file_stats(
         F.count_if(watts == 0).alias("rows_with_zero_power"),
     )
     joined = inputs.join(profile, "source_filename", "left")
+    if "rows_input" not in inputs.columns:
+        joined = joined.withColumn("rows_input", F.coalesce("rows_output", F.lit(0)))
     failed = F.col("rows_output").isNull()
     lost = F.col("rows_input") - F.col("rows_output")
     return as_stats(

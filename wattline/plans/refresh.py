@@ -87,11 +87,9 @@ def files_to_clean(
         delete_path(spark, places.clean(run))
         raise EmptyOutput(f"no rows written from {raw_folder}")
     back = read_parquet_tree(spark, places.clean(run))
-    read = back.groupBy("source_filename").agg(F.count("*").alias("rows_input"))
-    inputs = files.select("source_filename", "file_size_bytes").join(read, "source_filename", "left")
-    rows = stats.file_stats(back, inputs.fillna(0, ["rows_input"]), run.run_id, run.run_timestamp, monotonic() - started)
+    rows = stats.file_stats(back, files, run.run_id, run.run_timestamp, monotonic() - started)
     hand_over(rows, places.handed_over(run))
-    return back.count()
+    return take_over(spark, places.handed_over(run)).agg(F.sum("rows_output")).first()[0]
 
 
 def clean_to_readings(spark: SparkSession, places: Places, run: Run) -> LoadCounts:
@@ -173,11 +171,11 @@ def readings_to_models(
         places.model("riyadh_quarter_report"),
     )
 
-    for rows in (
-        stats.staging_stats(fact, staged, run.run_id, run.run_timestamp),
-        stats.exclusion_stats(staged, spec.exclude, run.run_id, run.run_timestamp),
-    ):
-        stage = rows.first()["stage_name"]
+    stages = {
+        "staging": stats.staging_stats(fact, staged, run.run_id, run.run_timestamp),
+        "ramadan_filter": stats.exclusion_stats(staged, spec.exclude, run.run_id, run.run_timestamp),
+    }
+    for stage, rows in stages.items():
         recorded = read_stats(spark, places.stats).where(F.col("stage_name") == stage)
         append_stats(stats.not_yet_run(rows, recorded), places.stats)
 

@@ -16,6 +16,7 @@ def local_session(app: str, cpus: int | str = "*", memory: str = "8g", shuffle_p
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "32")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
     )

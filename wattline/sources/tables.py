@@ -35,20 +35,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def read_parquet_tree(spark: SparkSession, path: str) -> DataFrame:
-    """Every Parquet file below a folder, columns merged by name."""
-    return spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(path)
+def read_parquet_tree(spark: SparkSession, path: str, merge: bool = False) -> DataFrame:
+    """Every Parquet file below a folder; ``merge`` unites differing columns, reading every footer."""
+    return spark.read.option("recursiveFileLookup", True).option("mergeSchema", merge).parquet(path)
 
 
 def write_quarters(clean: DataFrame, path: str, compression: str = "snappy", row_group_bytes: int | None = None) -> None:
     """Clean readings, one folder per quarter (rows without a time go to the null folder).
 
-    The rebalance keeps the number of files per quarter near the data size and splits a quarter
-    that holds most rows over several tasks.
+    Written straight from the scan, without a shuffle: input files cover few quarters each, so a
+    task opens few output files, and a quarter holding most rows is written by many tasks.
     """
     writer = (
         clean.withColumn("quarter_folder", clean["QUARTER"])
-        .hint("rebalance", "quarter_folder")
         .write.mode("append")
         .partitionBy("quarter_folder")
         .option("compression", compression)

@@ -397,6 +397,20 @@ from orders group by 1, 2 having count(*) filter (o_orderpriority = '1-URGENT')
         "union all select 'data_time', count(*) filter (data_time is null) from clean "
         "union all select 'import_active_power', count(*) filter (import_active_power is null) from clean) where n_nulls > 0"
     ),
+    "table_checks": _sql(
+        """
+select 'clean.unique.row_hash' as check_name, count(*) as n_violations
+  from (select meter_id, data_time from clean group by 1, 2 having count(*) > 1)
+union all select 'clean.not_null.row_hash', 0 from (select count(*) from clean)
+union all select 'clean.not_null.meter_id', count(*) filter (meter_id is null) from clean
+union all select 'clean.not_null.data_time', count(*) filter (data_time is null) from clean
+union all select 'consumption.unique.meter_id', count(*) - count(distinct meter_id) from consumption
+union all select 'consumption.not_null.meter_id', count(*) filter (meter_id is null) from consumption
+union all select 'daily.unique.meter_id.date', count(*) filter (n > 1) from (
+  select meter_id, reading_date, count(*) as n from (select distinct meter_id, reading_date from staged) group by 1, 2)
+union all select 'daily.not_null.meter_id', count(*) filter (meter_id is null) from staged
+union all select 'daily.not_null.date', count(*) filter (reading_date is null) from staged"""
+    ),
     "csv_harmonised": _sql(_csv_rows()),
     "header_mapping": _sql(
         """

@@ -398,6 +398,13 @@ def not_null_check(spark, folder):
     return checks.null_counts(clean(spark, folder), ["meter_id", "data_time", "import_active_power"])
 
 
+def table_checks(spark, folder):
+    rows = clean(spark, folder)
+    keyed = rows.withColumn("ROW_HASH", row_hash(F.col("meter_id"), time_text(F.col("data_time"))))
+    daily = written(daily_usage(staged(spark, folder)), "daily")
+    return checks.table_checks(keyed, written(usage(spark, folder), "usage"), daily)
+
+
 # ---- files ----------------------------------------------------------------
 
 # separator and header names of the written layouts; the first is the whole expected list
@@ -535,6 +542,7 @@ QUERIES = {
     "file_profile": file_profile,
     "unique_check": unique_check,
     "not_null_check": not_null_check,
+    "table_checks": table_checks,
     # files and streams: S1-S8 P1-P5 J12 U1-U3 ST1 ST2
     "csv_harmonised": csv_harmonised,
     "header_mapping": header_mapping,

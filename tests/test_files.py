@@ -65,6 +65,7 @@ def test_mapping_kinds(spark, tmp_path):
     # TIME comes before DT in the list of spellings
     assert got["alias.csv"].mapping == {"METER_ID": 1, "DATA_TIME": 3, "IMPORT_ACTIVE_POWER": 0}
     assert got["missing.csv"].kind == "reject" and got["missing.csv"].mapping is None
+    assert got["missing.csv"].problem == "no column for IMPORT_ACTIVE_POWER" and got["alias.csv"].problem is None
 
 
 @pytest.mark.parametrize("target", list(HEADER_ALIASES))
@@ -80,19 +81,22 @@ def test_every_alias(spark, tmp_path, target):
 def test_proposals(spark, tmp_path):
     put(tmp_path, "a.csv", "Serial,When,Load")
     put(tmp_path, "part.csv", "Serial,When,Load")
-    renamed = ["serial" if c == "METER_ID" else c for c in READING_COLUMNS[1:]] + ["X"]
+    put(tmp_path, "twice.csv", "Serial,When,Load")
     put(tmp_path, "whole.csv", ",".join(["serial", "ID", "METER_NO", "when", "load", *READING_COLUMNS[5:]]))
     sniffed = sniff_headers(list_files(spark, str(tmp_path)))
     paths = {r.source_filename: r.path for r in sniffed.collect()}
     pairs = [("SERIAL", "METER_ID"), ("When", "DATA_TIME"), ("load ", "IMPORT_ACTIVE_POWER"), ("Ghost", "STATUS")]
-    rows = [(paths[f], i, t) for f in ("a.csv", "whole.csv") for i, t in pairs] + [(paths["part.csv"], "When", "DATA_TIME")]
+    rows = [(paths[f], i, t) for f in ("a.csv", "whole.csv") for i, t in pairs]
+    rows += [(paths["part.csv"], "When", "DATA_TIME")]
+    rows += [(paths["twice.csv"], "When", "DATA_TIME"), (paths["twice.csv"], "Load", "DATA_TIME")]
     proposals = spark.createDataFrame(rows, "path string, incoming string, target string")
     fixed = {(r.path, r.target): r.name for r in repair_proposals(sniffed, proposals).collect()}
     assert fixed[(paths["a.csv"], "METER_ID")] == "Serial" and (paths["a.csv"], "STATUS") not in fixed
     got = mapping(spark, tmp_path, proposals)
     assert got["a.csv"].kind == "required" and got["a.csv"].mapping == {"METER_ID": 0, "DATA_TIME": 1, "IMPORT_ACTIVE_POWER": 2}
-    assert got["part.csv"].kind == "reject" and got["whole.csv"].kind == "required"
-    assert renamed  # the whole list is only needed when the required columns are not covered
+    assert got["whole.csv"].kind == "required" and got["whole.csv"].problem is None
+    assert got["part.csv"].kind == "reject" and "METER_ID" in got["part.csv"].problem
+    assert got["twice.csv"].kind == "reject" and got["twice.csv"].problem == "names repeat after mapping"
 
 
 def test_read_readings(spark, tmp_path):

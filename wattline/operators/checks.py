@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,30 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return counted.unpivot([], columns, "column_name", "n_nulls").where("n_nulls > 0")
 
 
+def table_checks(clean: DataFrame, consumption: DataFrame, daily: DataFrame) -> DataFrame:
+    """The standing checks of the clean, consumption and daily tables: one row per check with the
+    number of violations (repeated keys, or nulls). Repeated row hashes are possible by design, as
+    copies inside one load are kept."""
+
+    def unique(name: str, df: DataFrame, keys: list[str]) -> DataFrame:
+        return duplicate_keys(df, keys).agg(F.count("*").alias("n_violations")).select(F.lit(name).alias("check_name"), "*")
+
+    def not_null(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
+        counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+        named = counted.unpivot([], columns, "column_name", "n_violations")
+        return named.select(F.concat(F.lit(f"{name}.not_null."), F.lower("column_name")).alias("check_name"), "n_violations")
+
+    results = [
+        unique("clean.unique.row_hash", clean, ["ROW_HASH"]),
+        not_null("clean", clean, ["ROW_HASH", "METER_ID", "DATA_TIME"]),
+        unique("consumption.unique.meter_id", consumption, ["meter_id"]),
+        not_null("consumption", consumption, ["meter_id"]),
+        unique("daily.unique.meter_id.date", daily, ["meter_id", "date"]),
+        not_null("daily", daily, ["meter_id", "date"]),
+    ]
+    return reduce(DataFrame.unionByName, results)
+
+
 def require_none(violations: DataFrame, message: str) -> None:
     """Raise if there is any violation, showing a few."""
     some = violations.limit(5).collect()

@@ -80,8 +80,8 @@ def consumption(
 ) -> DataFrame:
     """Consumption, energy and cost per meter that has readings in at least one period.
 
-    Energy and cost start from the rounded sums; cost rounds once, from unrounded energy. Both
-    sides of the join are grouped by meter already, so it adds no shuffle.
+    Energy and cost start from the rounded sums; cost rounds once, from unrounded energy. The join
+    is between per-meter frames, after aggregation.
     """
     totals = meter_totals(periods, period_spec)
     info = locations.select("meter_id", "multiplication_factor", "region", "province")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.operators.joins import MAX_BROADCAST_ROWS, join_per_key
+from wattline.sources.scratch import written
 from wattline.sources.tables import EmptyOutput, VersionedTable, has_data, write_by_day
 
 DAY = "reading_date"
@@ -108,10 +109,11 @@ def changed_meters(readings: DataFrame, result: DataFrame) -> DataFrame:
 def readings_of_changed_meters(
     readings: DataFrame, result: DataFrame, *, max_broadcast_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
-    """All readings, old and new, of the changed meters."""
+    """All readings, old and new, of the changed meters. The meter list is written once: it is
+    counted to choose the join, then joined."""
     return join_per_key(
         readings,
-        changed_meters(readings, result),
+        written(changed_meters(readings, result), "changed"),
         ["meter_id"],
         "left_semi",
         F.col("reading_at"),

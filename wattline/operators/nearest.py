@@ -12,6 +12,7 @@ from wattline.sources.scratch import written
 
 MAX_INLINE_LOCATIONS = 2_000
 FINEST_LEVEL = 22  # cells of about 1.5 m
+BROADCAST_LEVEL = 5  # the unit sphere touches fewer than 50,000 cells of this level
 
 
 def schedule_locations(schedule: DataFrame) -> DataFrame:
@@ -139,7 +140,7 @@ def _pick_by_cells(sites: DataFrame, locations: DataFrame) -> DataFrame:
         known = chord2(_vector(), (F.col("one.x"), F.col("one.y"), F.col("one.z")))
         bound = F.min("known").over(W.partitionBy("lat", "lon"))
         kept = written(
-            kept.join(cells, "cell")
+            kept.join(F.broadcast(cells) if level <= BROADCAST_LEVEL else cells, "cell")
             .select("lat", "lon", "x", "y", "z", "child", nearest_corner.alias("gap"), known.alias("known"))
             .withColumn("bound", bound)
             # slack for floating point; extra cells only cost work

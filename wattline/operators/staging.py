@@ -31,8 +31,7 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 def mask_outliers(watts: Column, spec: OutlierSpec = PRESET.outliers) -> Column:
     """Null outside the bounds (the bounds themselves are kept), three fractional digits."""
-    kept = F.when((watts >= spec.low) & (watts <= spec.high), watts)
-    return half_up(kept, 3)
+    return F.when((watts >= spec.low) & (watts <= spec.high), half_up(watts, 3))
 
 
 def stage_readings(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFrame:

@@ -98,7 +98,8 @@ def _normal(name: Column) -> Column:
 def map_headers(sniffed: DataFrame, proposals: DataFrame | None = None) -> DataFrame:
     """How each file's columns map to the expected ones.
 
-    Adds ``kind`` and ``mapping`` (expected name to 0-based position in the file):
+    Adds ``kind``, ``mapping`` (expected name to 0-based position in the file) and, for files that
+    cannot be used, ``problem``:
     ``full`` when the headers are the whole expected list in order, ignoring case; else
     ``required`` when every required column is found under one of its known spellings; else
     ``required`` when ``proposals`` (path, incoming, target), repaired against the real headers,
@@ -133,6 +134,11 @@ def map_headers(sniffed: DataFrame, proposals: DataFrame | None = None) -> DataF
         "mapping",
         F.when(exact, mapping({c: F.lit(i) for i, c in enumerate(READING_COLUMNS)})).when(all_found, mapping(aliases)),
     )
+    missing = F.filter(
+        F.array(*[F.when(aliases[c].isNull(), F.lit(c)) for c in REQUIRED_COLUMNS]), lambda c: c.isNotNull()
+    )
+    reason = F.concat(F.lit("no column for "), F.concat_ws(", ", missing))
+    mapped = mapped.withColumn("problem", F.when(F.col("kind") == "reject", reason))
     if proposals is not None:
         mapped = _apply_proposals(mapped, proposals)
     return mapped.drop("upper_headers")
@@ -165,7 +171,9 @@ def _apply_proposals(mapped: DataFrame, proposals: DataFrame) -> DataFrame:
         ),
     )
     expected = F.array(*[F.lit(c) for c in READING_COLUMNS])
-    complete = (F.size(F.array_except(expected, renamed)) == 0) & (F.size(F.array_distinct(renamed)) == F.size(renamed))
+    lacking = F.array_except(expected, renamed)
+    repeated = F.size(F.array_distinct(renamed)) < F.size(renamed)
+    complete = (F.size(lacking) == 0) & ~repeated
 
     def positions(columns: list[str], names: Column) -> Column:
         return F.map_from_arrays(
@@ -177,12 +185,16 @@ def _apply_proposals(mapped: DataFrame, proposals: DataFrame) -> DataFrame:
     by_pairs = F.map_from_arrays(
         required, F.transform(required, lambda c: F.get(F.filter("pairs", lambda p: p["target"] == c), F.lit(0))["pos"])
     )
+    problem = F.when(repeated, F.lit("names repeat after mapping")).otherwise(
+        F.concat(F.lit("no column for "), F.concat_ws(", ", lacking))
+    )
     return joined.withColumns(
         {
             "mapping": F.when(open_file & covers, by_pairs)
             .when(open_file & complete, positions(READING_COLUMNS, renamed))
             .otherwise(F.col("mapping")),
             "kind": F.when(open_file & covers, "required").when(open_file & complete, "full").otherwise(F.col("kind")),
+            "problem": F.when(open_file & ~covers & ~complete, F.when(F.size("pairs") > 0, problem).otherwise(F.col("problem"))),
         }
     ).drop("pairs")
 
@@ -191,7 +203,8 @@ def read_layouts(spark: SparkSession, mapped: DataFrame) -> DataFrame:
     """Rows of all mapped files as text columns under their expected names, with the file's name.
 
     Files of one layout (separator and column positions) are one scan; there are as many scans as
-    layouts, not files. Columns are read by position, so repeated or odd header names do no harm.
+    layouts, not files. Only file names reach the driver, which lists them for any scan anyway.
+    Columns are read by position, so repeated or odd header names do no harm.
     A file without data rows adds nothing; columns its layout lacks are null.
     """
     usable = mapped.where("kind <> 'reject'").select(
@@ -265,9 +278,9 @@ def read_readings(
         unknown = mapped.where("kind = 'reject'").select("path", "headers")
         mapped = map_headers(sniffed, resolver(unknown))
     if on_reject == "fail":
-        rejected = [row["path"] for row in mapped.where("kind = 'reject'").select("path").limit(20).collect()]
+        rejected = mapped.where("kind = 'reject'").select("source_filename", "problem").limit(20).collect()
         if rejected:
-            raise UnmappableFiles(f"headers not recognised: {rejected}")
+            raise UnmappableFiles("; ".join(f"{name}: {problem}" for name, problem in rejected))
     return clean_readings(read_layouts(spark, mapped), with_hash), mapped
 
 

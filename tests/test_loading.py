@@ -227,3 +227,13 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert own == scratch.scratch_root(FakeSession(None, "local[2]"))
     given = spark.conf.get(scratch.SETTING, None)
     assert given is None or scratch.scratch_root(spark) == given.rstrip("/")
+
+
+def test_scratch_area_is_emptied(spark):
+    from pathlib import Path
+
+    with scratch.scratch_area(spark):
+        frame = scratch.written(spark.range(3), "x")
+        folder = Path(frame.inputFiles()[0].removeprefix("file://")).parent
+        assert frame.count() == 3 and folder.exists()
+    assert not folder.exists()

@@ -18,13 +18,12 @@ def _totals(prefix: str, condition: Column | None) -> dict[str, Column]:
     return {f"{prefix}_milli": F.sum(milli(watts)), f"{prefix}_reading_count": F.count(watts)}
 
 
-def _average(prefix: str) -> Column:
-    total, n = F.col(f"{prefix}_milli"), F.col(f"{prefix}_reading_count")
-    return half_up(total.cast("double") / F.nullif(n * 1000, F.lit(0)).cast("double"), 3)
+PREFIXES = ("total", "morning", "evening")
 
 
-def _sum(prefix: str) -> Column:
-    return F.col(f"{prefix}_milli").cast("double") / 1000.0
+def _mean(total: str, n: str) -> Column:
+    """Unrounded mean of thousandths, in whole units; null without readings."""
+    return F.col(total).cast("double") / F.nullif(F.col(n) * 1000, F.lit(0)).cast("double")
 
 
 def meter_totals(periods: DataFrame, spec: PeriodSpec = PRESET.periods) -> DataFrame:
@@ -45,15 +44,17 @@ def meter_totals(periods: DataFrame, spec: PeriodSpec = PRESET.periods) -> DataF
         "readings_with_prayer_times": F.count("morning_start_time"),
     }
     grouped = flagged.groupBy("meter_id").agg(*[c.alias(n) for n, c in aggregates.items()])
-    return grouped.select(
+    # unrounded means are columns of their own, so that rounding does not repeat their expressions
+    means = grouped.withColumns({f"{p}_mean": _mean(f"{p}_milli", f"{p}_reading_count") for p in PREFIXES})
+    return means.select(
         "meter_id",
         *[
             column
-            for prefix in ("total", "morning", "evening")
+            for p in PREFIXES
             for column in (
-                _average(prefix).alias(f"{prefix}_avg_consumption"),
-                _sum(prefix).alias(f"{prefix}_sum_consumption"),
-                F.col(f"{prefix}_reading_count"),
+                half_up(F.col(f"{p}_mean"), 3).alias(f"{p}_avg_consumption"),
+                (F.col(f"{p}_milli").cast("double") / 1000.0).alias(f"{p}_sum_consumption"),
+                F.col(f"{p}_reading_count"),
             )
         ],
         "min_reading_date",
@@ -83,27 +84,29 @@ def consumption(
     Energy and cost start from the rounded sums; cost rounds once, from unrounded energy. The join
     is between per-meter frames, after aggregation.
     """
-    totals = meter_totals(periods, period_spec)
+    # an average is there exactly when its period has a non-null reading
+    totals = meter_totals(periods, period_spec).where("morning_reading_count > 0 or evening_reading_count > 0")
     info = locations.select("meter_id", "multiplication_factor", "region", "province")
-    joined = totals.join(info, "meter_id", "left").where(
-        F.col("morning_avg_consumption").isNotNull() | F.col("evening_avg_consumption").isNotNull()
-    )
 
     def kwh(prefix: str) -> Column:
         scaled = F.col(f"{prefix}_sum_consumption") * F.col("multiplication_factor")
         return scaled / float(energy.readings_per_hour) / 1000.0
 
-    prefixes = ("total", "morning", "evening")
-    return joined.select(
-        *totals.columns,
-        "multiplication_factor",
-        "region",
-        "province",
-        *[half_up(kwh(p), 3).alias(f"{p}_energy_kwh") for p in prefixes],
-        *[half_up(kwh(p) * energy.tariff, 3).alias(f"{p}_cost_sar") for p in prefixes],
-        completeness_label(F.col("morning_avg_consumption"), F.col("evening_avg_consumption")).alias(
-            "data_quality_flag"
-        ),
+    raw = {f"{p}_kwh": kwh(p) for p in PREFIXES} | {f"{p}_cost": kwh(p) * energy.tariff for p in PREFIXES}
+    return (
+        totals.join(info, "meter_id", "left")
+        .withColumns(raw)
+        .select(
+            *totals.columns,
+            "multiplication_factor",
+            "region",
+            "province",
+            *[half_up(F.col(f"{p}_kwh"), 3).alias(f"{p}_energy_kwh") for p in PREFIXES],
+            *[half_up(F.col(f"{p}_cost"), 3).alias(f"{p}_cost_sar") for p in PREFIXES],
+            completeness_label(F.col("morning_avg_consumption"), F.col("evening_avg_consumption")).alias(
+                "data_quality_flag"
+            ),
+        )
     )
 
 
@@ -117,12 +120,11 @@ def daily_usage(staged: DataFrame) -> DataFrame:
         F.min(watts).alias("min_daily_power_watts"),
         F.count("*").alias("readings_count"),
     )
-    mean = F.col("total").cast("double") / F.nullif(F.col("n") * 1000, F.lit(0)).cast("double")
-    return grouped.select(
+    return grouped.withColumn("mean", _mean("total", "n")).select(
         "meter_id",
         F.col("reading_date").alias("date"),
         quarter_label(F.col("reading_date")).alias("quarter"),
-        half_up(mean, 3).alias("avg_daily_power_watts"),
+        half_up(F.col("mean"), 3).alias("avg_daily_power_watts"),
         "max_daily_power_watts",
         "min_daily_power_watts",
         "readings_count",

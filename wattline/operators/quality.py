@@ -28,7 +28,7 @@ def meter_quality(readings: DataFrame, spec: QualitySpec = PRESET.quality) -> Da
         "expected_readings > 0"
     )
     score = (F.col("actual_readings") - F.col("zero_readings")) / F.col("expected_readings") * 100.0
-    return scored.select(
+    return scored.withColumn("score", score).select(
         "meter_id",
         "min_date",
         "max_date",
@@ -38,6 +38,6 @@ def meter_quality(readings: DataFrame, spec: QualitySpec = PRESET.quality) -> Da
         "zero_readings",
         "null_readings",
         (F.col("expected_readings") - F.col("actual_readings")).alias("missing_readings"),
-        half_up(score, 2).alias("quality_percentage"),
-        (score >= spec.good_percent).alias("is_good_quality"),
+        half_up(F.col("score"), 2).alias("quality_percentage"),
+        (F.col("score") >= spec.good_percent).alias("is_good_quality"),
     )

@@ -79,13 +79,16 @@ def violators(
     """Good-quality meters over the limit in some period, with the saving from going back to normal."""
     flagged = flag_over(with_quality(consumption, quality).drop("is_good_quality"), threshold)
 
-    def saving(prefix: str) -> Column:
+    def unrounded(prefix: str) -> Column:
         surplus = (F.col(f"{prefix}_avg_mf") - threshold.normal_watts) * F.col(f"{prefix}_reading_count")
-        cost = surplus / float(energy.readings_per_hour) / 1000.0 * energy.tariff
-        return F.when(F.col(f"over_in_{prefix}"), half_up(cost, 3)).otherwise(0.0)
+        return surplus / float(energy.readings_per_hour) / 1000.0 * energy.tariff
+
+    def saving(prefix: str) -> Column:
+        return F.when(F.col(f"over_in_{prefix}"), half_up(F.col(f"_{prefix}_saving"), 3)).otherwise(0.0)
 
     return (
         flagged.where("over_in_either")
+        .withColumns({f"_{p}_saving": unrounded(p) for p in ("morning", "evening")})
         .withColumns(
             {
                 "violation_category": violation_category(),
@@ -97,6 +100,7 @@ def violators(
             "total_potential_savings_sar",
             F.col("potential_savings_morning_sar") + F.col("potential_savings_evening_sar"),
         )
+        .drop("_morning_saving", "_evening_saving")
     )
 
 

@@ -19,6 +19,7 @@ from wattline.operators.staging import exclude_dates, stage_readings, stage_sche
 from wattline.operators.violations import regional_consumption, regional_violators, violators
 from wattline.sources.delimited import Resolver, list_files, read_readings
 from wattline.sources.runlog import append_records, append_stats, hand_over, read_stats, take_over
+from wattline.sources.scratch import scratch_area
 from wattline.sources.tables import (
     EmptyOutput,
     VersionedTable,
@@ -81,8 +82,9 @@ def files_to_clean(
     files = list_files(spark, raw_folder)
     if files.isEmpty():
         return 0
-    clean, _ = read_readings(spark, files, resolver=resolver, on_reject=on_reject, with_hash=with_hash)
-    write_quarters(clean, places.clean(run))
+    with scratch_area(spark):
+        clean, _ = read_readings(spark, files, resolver=resolver, on_reject=on_reject, with_hash=with_hash)
+        write_quarters(clean, places.clean(run))
     if not has_data(spark, places.clean(run)):
         delete_path(spark, places.clean(run))
         raise EmptyOutput(f"no rows written from {raw_folder}")
@@ -136,6 +138,19 @@ def readings_to_models(
     tables; nothing is derived twice. Consumption recomputes only meters with newer readings, and
     recorded (meter, quarter) pairs of violators stay as they are, unless ``full_refresh``.
     """
+    with scratch_area(spark):
+        return _build_models(spark, places, run, schedule, sites, spec, full_refresh)
+
+
+def _build_models(
+    spark: SparkSession,
+    places: Places,
+    run: Run,
+    schedule: DataFrame,
+    sites: DataFrame,
+    spec: ModelSpec,
+    full_refresh: bool,
+) -> dict[str, DataFrame]:
     fact = spark.read.parquet(places.readings)
     # sorted by day inside files, so date filters skip row groups without another shuffle
     staged_rows = stage_readings(fact, spec.outliers).sortWithinPartitions("reading_date", "meter_id")

@@ -12,7 +12,7 @@ from wattline.operators.loading import LoadCounts, insert_if_absent
 from wattline.operators.staging import keep_first
 from wattline.sources.delimited import Resolver, file_columns, read_readings
 from wattline.sources.runlog import append_records, read_stats
-from wattline.sources.scratch import written
+from wattline.sources.scratch import scratch_area, written
 
 LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -47,11 +47,11 @@ def load_files(
 ) -> LoadCounts | None:
     """Read, harmonise and load one set of files; loading the same set again adds nothing."""
     spark = files.sparkSession
-    clean, _ = read_readings(spark, files, resolver=resolver, on_reject=on_reject)
-    batch = written(clean, "arrivals")
-    if batch.isEmpty():
-        return None
-    return insert_if_absent(spark, one_row_per_key(batch), target)
+    with scratch_area(spark):
+        clean, _ = read_readings(spark, files, resolver=resolver, on_reject=on_reject)
+        # the files are parsed once; counting, looking for known keys and inserting read this copy
+        batch = written(one_row_per_key(clean), "arrivals")
+        return None if batch.isEmpty() else insert_if_absent(spark, batch, target)
 
 
 def start_loading(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from wattline.operators.joins import MAX_BROADCAST_ROWS, join_per_key
 from wattline.sources.scratch import written
 from wattline.sources.tables import EmptyOutput, VersionedTable, has_data, write_by_day
 
+log = logging.getLogger(__name__)
+
 DAY = "reading_date"
 MAX_DAY_LIST = 2_000
 
@@ -67,7 +70,9 @@ def insert_if_absent(
     if rows_input == 0:
         raise EmptyOutput("the batch holds no rows")
     fresh, cluster_by = rows, [k for k in keys if k in rows.columns]
-    if set(keys) <= set(rows.columns) and has_data(spark, path):
+    if len(cluster_by) < len(keys):
+        log.warning("key columns %s are not in the batch: appending all rows to %s", keys, path)
+    elif has_data(spark, path):
         target = spark.read.schema(rows.select(*keys, DAY).schema).parquet(path)
         fresh = absent_rows(rows, _same_days(target, rows).select(*keys).distinct(), keys)
     inserted = write_by_day(fresh, path, DAY, cluster_by)

@@ -71,6 +71,8 @@ def files_to_clean(
     resolver: Resolver | None = None,
     on_reject: str = "fail",
     with_hash: bool = True,
+    compression: str = "snappy",
+    row_group_bytes: int | None = None,
 ) -> int:
     """All CSV files of a folder to clean Parquet by quarter, in one job; returns rows written.
 
@@ -84,7 +86,7 @@ def files_to_clean(
         return 0
     with scratch_area(spark):
         clean, _ = read_readings(spark, files, resolver=resolver, on_reject=on_reject, with_hash=with_hash)
-        write_quarters(clean, places.clean(run))
+        write_quarters(clean, places.clean(run), compression, row_group_bytes)
     if not has_data(spark, places.clean(run)):
         delete_path(spark, places.clean(run))
         raise EmptyOutput(f"no rows written from {raw_folder}")
@@ -177,6 +179,10 @@ def _build_models(
     else:
         over = flagged.replace(violators(usage, quality, spec.threshold, spec.energy))
 
+    # the version before stays for readers that are still on it
+    consumed.drop_old(keep=2)
+    flagged.drop_old(keep=2)
+
     regional = replace_table(
         regional_consumption(usage, quality, spec.region, spec.threshold), places.model("consumption_riyadh")
     )

@@ -190,12 +190,17 @@ def test_whole_run(spark, tmp_path, reference):
     assert [r.meter_id for r in models["violators"].collect()] == ["7"]
     assert models["riyadh_quarter_report"].first().total_meters_before_quality_filter == 2
 
+    first_day = tmp_path / "root" / "models" / "staged_readings" / "reading_date=2024-01-01"
+    before = sorted(p.name for p in first_day.iterdir())
+
     # the next day brings readings of one meter, and repeats old ones
     put(raw, "two.csv", "METER;TIME;ACTIVE_POWER", *[r.replace(",", ";") for r in rows_for(3, "7")])
     assert files_to_clean(spark, str(raw), places, RUN2) == 14
     counts = clean_to_readings(spark, places, RUN2)
     assert (counts.rows_inserted, counts.rows_skipped) == (2, 12)
     models = readings_to_models(spark, places, RUN2, *reference, SPEC)
+    assert sorted(p.name for p in first_day.iterdir()) == before  # only the new day is staged
+    assert models["staged_readings"].count() == 10
     usage = {r.meter_id: r for r in models["consumption_analysis"].collect()}
     assert usage["7"].total_sum_consumption == 4200.0 and usage["8"].total_sum_consumption == 3200.0
     over = models["violators"].collect()
@@ -215,6 +220,31 @@ def test_whole_run(spark, tmp_path, reference):
     assert files == {"one.csv": 12, "two.csv": 2}
 
 
+def test_staged_days_follow_the_facts(spark, tmp_path):
+    """Late copies, new days and rows without a key: day by day equals staging everything."""
+    from wattline.operators.loading import insert_if_absent
+    from wattline.operators.staging import stage_readings
+    from wattline.plans.refresh import refresh_staged
+
+    places = Places(str(tmp_path / "root"))
+    schema = "ROW_HASH long, METER_ID string, DATA_TIME timestamp_ntz, IMPORT_ACTIVE_POWER double"
+    at = [datetime(2024, 1, d, 8) for d in (1, 2, 3)]
+    loads = [
+        [(1, "a", at[0], 5.0), (2, "a", at[1], 5.0), (42, None, at[0], 1.0)],
+        [(3, "b", at[0], 6.0), (4, "a", at[0], 9.0)],  # late rows for the first day, one a higher copy
+        [(5, "a", at[2], 7.0), (43, "c", None, 8.0)],
+        [(2, "a", at[1], 5.0)],  # known: nothing changes
+    ]
+    for rows in loads:
+        insert_if_absent(spark, spark.createDataFrame(rows, schema), places.readings)
+        fact = spark.read.parquet(places.readings)
+        got = sorted(map(str, refresh_staged(spark, fact, places).collect()))
+        assert got == sorted(map(str, stage_readings(fact).collect()))
+    assert len(got) == 5
+    again = refresh_staged(spark, spark.read.parquet(places.readings), places, full_refresh=True)
+    assert sorted(map(str, again.collect())) == got
+
+
 def test_run_without_rows_fails(spark, tmp_path):
     raw, places = tmp_path / "raw", Places(str(tmp_path / "root"))
     put(raw, "one.csv", "METER_ID,DATA_TIME,IMPORT_ACTIVE_POWER")

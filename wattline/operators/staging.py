@@ -34,22 +34,42 @@ def mask_outliers(watts: Column, spec: OutlierSpec = PRESET.outliers) -> Column:
     return F.when((watts >= spec.low) & (watts <= spec.high), half_up(watts, 3))
 
 
-def stage_readings(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFrame:
-    """One row per meter and time, outliers masked, calendar parts derived.
-
-    ``clean`` has METER_ID, DATA_TIME (zone-free, whole minutes) and IMPORT_ACTIVE_POWER; names are
-    matched case-insensitively. Of several rows with one key the one with the highest power is
-    kept, nulls last. Every other staged column is a function of the key, so that row is just the
-    maximum of the power: a hash aggregate that already collapses copies before the shuffle, with
-    no sort and no window. Rows lacking meter or time share one key and so leave one row in all.
-    """
-    raw = clean.select(
+def _raw(clean: DataFrame) -> DataFrame:
+    return clean.select(
         F.col("METER_ID").cast("string").alias("meter_id"),
         F.col("DATA_TIME").alias("reading_at"),
         F.col("IMPORT_ACTIVE_POWER").alias("watts"),
     )
-    has_key = F.col("meter_id").isNotNull() & F.col("reading_at").isNotNull()
-    keyed = raw.where(has_key).groupBy("meter_id", "reading_at").agg(F.max("watts").alias("watts"))
+
+
+def _has_key() -> Column:
+    return F.col("meter_id").isNotNull() & F.col("reading_at").isNotNull()
+
+
+def _staged(chosen: DataFrame, spec: OutlierSpec) -> DataFrame:
+    return chosen.select(
+        "meter_id",
+        "reading_at",
+        mask_outliers(F.col("watts"), spec).alias("active_power_watts"),
+        F.to_date("reading_at").alias("reading_date"),
+        second_of_day(F.col("reading_at")).alias("reading_time"),
+        quarter_label(F.col("reading_at")).alias("quarter"),
+    )
+
+
+def stage_keyed(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFrame:
+    """The staged rows that have meter and time.
+
+    Of several rows with one key the one with the highest power is kept, nulls last. Every other
+    staged column is a function of the key, so that row is just the maximum of the power: a hash
+    aggregate that already collapses copies before the shuffle, with no sort and no window.
+    """
+    keyed = _raw(clean).where(_has_key()).groupBy("meter_id", "reading_at").agg(F.max("watts").alias("watts"))
+    return _staged(keyed, spec)
+
+
+def stage_unkeyed(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFrame:
+    """Rows lacking meter or time share one key, so at most one staged row in all."""
     first = F.struct(
         F.col("watts").isNull().alias("no_watts"),
         (-F.col("watts")).alias("falling"),
@@ -58,20 +78,17 @@ def stage_readings(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> Dat
         "reading_at",
         "watts",
     )
-    unkeyed = (
-        raw.where(~has_key)
-        .agg(F.min(first).alias("row"))
-        .where("row is not null")
-        .select("row.meter_id", "row.reading_at", "row.watts")
-    )
-    return keyed.unionByName(unkeyed).select(
-        "meter_id",
-        "reading_at",
-        mask_outliers(F.col("watts"), spec).alias("active_power_watts"),
-        F.to_date("reading_at").alias("reading_date"),
-        second_of_day(F.col("reading_at")).alias("reading_time"),
-        quarter_label(F.col("reading_at")).alias("quarter"),
-    )
+    one = _raw(clean).where(~_has_key()).agg(F.min(first).alias("row")).where("row is not null")
+    return _staged(one.select("row.meter_id", "row.reading_at", "row.watts"), spec)
+
+
+def stage_readings(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFrame:
+    """One row per meter and time, outliers masked, calendar parts derived.
+
+    ``clean`` has METER_ID, DATA_TIME (zone-free, whole minutes) and IMPORT_ACTIVE_POWER; names are
+    matched case-insensitively.
+    """
+    return stage_keyed(clean, spec).unionByName(stage_unkeyed(clean, spec))
 
 
 def exclude_dates(staged: DataFrame, bounds: tuple[date | None, date | None] | None) -> DataFrame:

@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 
 from wattline.operators import checks, reports, stats
 from wattline.operators.consumption import consumption, daily_usage
-from wattline.operators.loading import LoadCounts, insert_if_absent, new_pairs, readings_of_changed_meters, upsert
+from wattline.operators.loading import DAY, LoadCounts, insert_if_absent, new_pairs, readings_of_changed_meters, upsert
 from wattline.operators.nearest import nearest_location
 from wattline.operators.periods import attach_periods
 from wattline.operators.quality import meter_quality
-from wattline.operators.staging import exclude_dates, stage_readings, stage_schedule, stage_sites
+from wattline.operators.staging import exclude_dates, stage_keyed, stage_schedule, stage_sites, stage_unkeyed
 from wattline.operators.violations import regional_consumption, regional_violators, violators
 from wattline.sources.delimited import Resolver, list_files, read_readings
 from wattline.sources.runlog import append_records, append_stats, hand_over, read_stats, take_over
-from wattline.sources.scratch import scratch_area
+from wattline.sources.scratch import scratch_area, written
 from wattline.sources.tables import (
     EmptyOutput,
     VersionedTable,
@@ -27,9 +27,10 @@ from wattline.sources.tables import (
     has_data,
     read_parquet_tree,
     replace_table,
+    write_by_day,
     write_quarters,
 )
-from wattline.spec import PRESET, ModelSpec
+from wattline.spec import PRESET, ModelSpec, OutlierSpec
 
 
 @dataclass(frozen=True)
@@ -125,6 +126,34 @@ def clean_to_readings(spark: SparkSession, places: Places, run: Run) -> LoadCoun
     return counts
 
 
+def refresh_staged(
+    spark: SparkSession, fact: DataFrame, places: Places, spec: OutlierSpec = PRESET.outliers, full_refresh: bool = False
+) -> DataFrame:
+    """Staged readings as a table by day, where only days that got new rows are staged again.
+
+    A reading's key contains its time, so copies never cross days, and the fact table only grows, so
+    a day has changed exactly when its number of rows has. The counts (read from file footers)
+    are recorded after the days are written: a run that fails in between stages them again. The one
+    row for readings without a full key is kept apart. Other outlier bounds need ``full_refresh``.
+    """
+    path, marks = places.model("staged_readings"), VersionedTable(spark, places.model("staged_days"))
+    days = written(fact.groupBy(DAY).agg(F.count("*").alias("n_rows")), "days")
+    todo, only_its_days = fact, False
+    if marks.exists() and not full_refresh:
+        known = marks.read().select(F.col(DAY).alias("day"), F.col("n_rows").alias("n"))
+        same = F.col(DAY).eqNullSafe(F.col("day")) & (F.col("n_rows") == F.col("n"))
+        changed = days.join(known, same, "left_anti").where(F.col(DAY).isNotNull())
+        # one short row per calendar day
+        listed = [row[0] for row in changed.select(DAY).collect()]
+        todo, only_its_days = fact.where(F.col(DAY).isin(listed) if listed else F.lit(False)), True
+    keyed = stage_keyed(todo, spec)
+    write_by_day(keyed, path, DAY, ["meter_id", "reading_at"], mode="overwrite", only_its_days=only_its_days)
+    unkeyed = replace_table(stage_unkeyed(fact, spec), places.model("staged_without_key"))
+    marks.replace(days)
+    marks.drop_old(keep=2)
+    return spark.read.schema(keyed.schema).parquet(path).select(*keyed.columns).unionByName(unkeyed)
+
+
 def readings_to_models(
     spark: SparkSession,
     places: Places,
@@ -136,8 +165,8 @@ def readings_to_models(
 ) -> dict[str, DataFrame]:
     """Build all models from the fact table.
 
-    Staged readings are written once and read by every model after that, as are the per-meter
-    tables; nothing is derived twice. Consumption recomputes only meters with newer readings, and
+    Staged readings are written once, by day, and read by every model after that, as are the
+    per-meter tables; nothing is derived twice. Consumption recomputes only meters with newer readings, and
     recorded (meter, quarter) pairs of violators stay as they are, unless ``full_refresh``.
     """
     with scratch_area(spark):
@@ -154,9 +183,7 @@ def _build_models(
     full_refresh: bool,
 ) -> dict[str, DataFrame]:
     fact = spark.read.parquet(places.readings)
-    # sorted by day inside files, so date filters skip row groups without another shuffle
-    staged_rows = stage_readings(fact, spec.outliers).sortWithinPartitions("reading_date", "meter_id")
-    staged = replace_table(staged_rows, places.model("staged_readings"))
+    staged = refresh_staged(spark, fact, places, spec.outliers, full_refresh)
     readings = exclude_dates(staged, spec.exclude)
     calendar = replace_table(stage_schedule(schedule), places.model("staged_schedule"))
     site_rows = replace_table(stage_sites(sites), places.model("staged_sites"))

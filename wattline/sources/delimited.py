@@ -210,23 +210,26 @@ def read_layouts(spark: SparkSession, mapped: DataFrame) -> DataFrame:
     usable = mapped.where("kind <> 'reject'").select(
         "path", "separator", "kind", F.size("headers").alias("width"), F.sort_array(F.map_entries("mapping")).alias("at")
     )
-    layouts = usable.groupBy("separator", "kind", "width", "at").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    layouts: dict[tuple, list[str]] = {}
+    for row in usable.toLocalIterator():
+        layout = (row["separator"], row["kind"], row["width"], tuple((e["key"], e["value"]) for e in row["at"]))
+        layouts.setdefault(layout, []).append(row["path"])
     frames = []
-    for layout in layouts.orderBy("separator", "kind", "width").toLocalIterator():
-        schema = ", ".join(f"c{i} string" for i in range(layout["width"]))
+    for (separator, kind, width, at), paths in sorted(layouts.items()):
         rows = (
-            spark.read.schema(schema)
+            spark.read.schema(", ".join(f"c{i} string" for i in range(width)))
             .option("header", True)
-            .option("sep", layout["separator"])
+            .option("sep", separator)
             .option("quote", '"')
             .option("mode", "PERMISSIVE")
-            .csv(layout["paths"])
+            .csv(sorted(paths))
         )
-        names = {entry["key"]: entry["value"] for entry in layout["at"]}
-        order = READING_COLUMNS if layout["kind"] == "full" else REQUIRED_COLUMNS
+        position = dict(at)
+        order = READING_COLUMNS if kind == "full" else REQUIRED_COLUMNS
         frames.append(
             rows.select(
-                *[F.col(f"c{names[n]}").alias(n) for n in order], F.col("_metadata.file_name").alias("source_filename")
+                *[F.col(f"c{position[n]}").alias(n) for n in order],
+                F.col("_metadata.file_name").alias("source_filename"),
             )
         )
     if not frames:

@@ -58,10 +58,12 @@ def write_quarters(clean: DataFrame, path: str, compression: str = "snappy", row
     writer.parquet(path)
 
 
-def write_by_day(df: DataFrame, path: str, day: str, cluster_by: list[str], mode: str = "append") -> int:
+def write_by_day(
+    df: DataFrame, path: str, day: str, cluster_by: list[str], mode: str = "append", only_its_days: bool = False
+) -> int:
     """Fact rows in one folder per day, clustered inside files; returns the number of rows written.
 
-    The rebalance keeps files large and splits a day that holds most rows over several tasks. The
+    With mode ``overwrite``, ``only_its_days`` leaves the folders of other days alone. The rebalance keeps files large and splits a day that holds most rows over several tasks. The
     count is taken in the stage that writes, where a retried task counts once.
     """
     written = Observation()
@@ -71,6 +73,7 @@ def write_by_day(df: DataFrame, path: str, day: str, cluster_by: list[str], mode
         .observe(written, F.count("*").alias("n"))
         .write.mode(mode)
         .partitionBy(day)
+        .option("partitionOverwriteMode", "dynamic" if only_its_days else "static")
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .parquet(path)
     )

@@ -1,0 +1,69 @@
+import zlib
+
+import numpy as np
+
+from wattline.llm import langid
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, d int, t int, score int"
+
+
+def test_convolution_equals_the_plain_sum():
+    rng = np.random.default_rng(0)
+    x = np.stack([langid.windows(bytes(rng.integers(0, 256, langid.WINDOW, dtype=np.uint8)))[0] for _ in range(5)])
+    net = langid.fit(x, np.array([0, 1, 0, 1, 0]), ["a", "b"], epochs=1)
+    pooled = []
+    for row in x:
+        parts = []
+        for w in langid.WIDTHS:
+            places = [sum(net.embed[row[i + j]] @ net.filters[w][j] for j in range(w)) for i in range(langid.WINDOW)]
+            parts.append(np.max(places, axis=0))
+        pooled.append(np.maximum(np.concatenate(parts) + net.bias, 0))
+    logits = np.array(pooled) @ net.dense + net.out
+    want = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+    assert np.allclose(net.scorer()(x), want, atol=1e-4)
+
+
+def test_windows_cover_the_text():
+    text = bytes(range(1, 256)) * 3
+    cut = langid.windows(text)
+    assert b"".join(bytes(w[: langid.WINDOW]) for w in cut).rstrip(b"\0") == text
+    assert len(langid.windows(b"")) == 1 and len(langid.windows(b"x" * langid.WINDOW)) == 1
+
+
+def test_held_out_accuracy_and_odd_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.collect()
+    held = {r.doc_id for r in rows if zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
+    net = langid.train(docs.where(~docs.doc_id.isin(list(held))))
+    odd = spark.createDataFrame(
+        [(-1, None, None, None, None, 1, 2, 3), (-2, "", "en", "s", 0, 1, 2, 3), (-3, "12 %%% …", "en", None, 3, 1, 2, 3), (None, "the of and", None, None, 3, 1, 2, 3),
+         (-4, "x", "en", None, 1, 1, 2, 3), (-5, "the of and that with " * 40_000, None, None, 3, 1, 2, 3), (-5, "the of and that with " * 40_000, None, None, 3, 1, 2, 3)],
+        SCHEMA,
+    )
+    both = docs.selectExpr("*", "1 as d", "2 as t", "3 as score").union(odd)
+    got = langid.identify(both, net).collect()
+    assert len(got) == len(rows) + 7
+    by_id = {r.doc_id: r for r in got}
+    for i in (-1, -2, -3):
+        assert by_id[i].lang_pred == "und" and by_id[i].score == 0
+    assert by_id[-5].lang_pred == "en" and by_id[None].lang_pred in net.labels and by_id[-4].lang_pred in net.labels
+    assert all(0 <= r.score <= 1 for r in got)
+    right = [by_id[r.doc_id].lang_pred == r.lang for r in rows if r.doc_id in held]
+    assert np.mean(right) > 0.95
+    kept = langid.keep_identified(both, net)
+    assert kept.columns == both.columns and {-1, -2, -3}.isdisjoint({r.doc_id for r in kept.collect()})
+    assert {r.doc_id for r in rows} <= {r.doc_id for r in kept.collect()}
+
+
+def test_nothing_to_learn(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert langid.train(empty) is None and langid.identify(empty, None).count() == 0
+    unlabelled = spark.createDataFrame([(1, "hello", None, None, 1, 1, 1, 1), (2, "…", "en", None, 1, 1, 1, 1)], SCHEMA)
+    assert langid.train(unlabelled) is None
+    assert {(r.lang_pred, r.score) for r in langid.identify(unlabelled, None).collect()} == {("und", 0.0)}
+
+
+def test_training_is_repeatable(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    one, two = langid.train(docs), langid.train(docs.repartition(7))
+    assert np.allclose(one.dense, two.dense)

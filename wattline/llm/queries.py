@@ -5,18 +5,56 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import sentencepieces, simhash
-from wattline.llm.common import table
+from wattline.llm import decontaminate, hmm, langid, passages, sentencepieces, simhash, suffixes, tokenfiles, vectors
+from wattline.llm.common import crc_part, table
+
+
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = crc_part("doc_id", 3) == 1
+    predicted = langid.identify(docs, langid.train(docs.where(~held_out)))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op3_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return vectors.search(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+def op4_collinear_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents")).drop("doc_key")
 
 
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_pigeonhole_edits(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op7_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm.score_texts(table(spark, folder, "documents"), crc_part("doc_id", 7) == 2)
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return sentencepieces.encode(table(spark, folder, "documents"), model, digests=True)
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash, op8_sentencepiece)}
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfiles.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+def op10_suffix_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents"), digests=True)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id, op3_adaptive_scan, op4_collinear_passages, op5_simhash, op6_pigeonhole_edits, op7_hidden_markov, op8_sentencepiece,
+        op9_token_files, op10_suffix_groups,
+    )
+}
 ORACLES: dict[str, str] = {}

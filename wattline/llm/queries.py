@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import decontaminate, hmm, langid, passages, sentencepieces, simhash, suffixes, tokenfiles, vectors
+from wattline.llm import decontaminate, hmm, langid, pages, passages, sentencepieces, simhash, suffixes, tokenfiles, vectors
 from wattline.llm.common import crc_part, table
 
 
@@ -16,6 +16,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_wrapper_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.main_text(table(spark, folder, "pages"))
+
+
 def op3_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     return vectors.search(rows, rows.where("vec_id % 20 = 0"), k=20)
@@ -53,7 +57,7 @@ def op10_suffix_groups(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_language_id, op3_adaptive_scan, op4_collinear_passages, op5_simhash, op6_pigeonhole_edits, op7_hidden_markov, op8_sentencepiece,
+        op1_language_id, op2_wrapper_text, op3_adaptive_scan, op4_collinear_passages, op5_simhash, op6_pigeonhole_edits, op7_hidden_markov, op8_sentencepiece,
         op9_token_files, op10_suffix_groups,
     )
 }

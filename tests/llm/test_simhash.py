@@ -54,6 +54,18 @@ def test_odd_rows(spark):
     ])
 
 
+def test_one_of_each_group_stays(spark):
+    texts = [(5, "a b c d e f"), (3, "a b c d e f"), (None, "a b c d e f"), (9, "other words are here now"), (9, "other words are here now"), (None, None),
+             (None, "quite a different text again"), (9, "the same id with other words")]
+    df = rows(spark, texts)
+    kept = simhash.one_per_group(df)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(3, "a b c d e f"), (9, "other words are here now"), (None, None), (None, "quite a different text again"), (9, "the same id with other words")], key=str
+    )
+    assert simhash.one_per_group(df.where("false")).count() == 0
+
+
 def test_empty_table(spark):
     frame = simhash.near_duplicates(rows(spark, [(1, "a")]).where("false"))
     assert frame.columns == ["doc_id", "fingerprint", "component_id"] and frame.count() == 0

@@ -19,6 +19,11 @@ def crc_part(doc_id: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    """A hash of id and text that stands for a row; rows that repeat both share it."""
+    return F.xxhash64(F.col(doc_id).cast("long").cast("string"), F.col(text).cast("string"))
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as UTF-8 bytes, null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]

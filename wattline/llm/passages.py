@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import small_batches, utf8
+from wattline.llm.common import row_key, small_batches, utf8
 from wattline.sources.scratch import written
 
 SHINGLE = 5  # words of a seed
@@ -46,26 +46,38 @@ def seeds(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per text and different seed: its first place, and the later ones where it recurs in the text."""
     for batch in small_batches(batches, "t", 8 << 20):
-        hashes, keys, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        hashes, keys, places, more = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
         for k, t in zip(batch.column("k").to_pylist(), utf8(batch.column("t"))):
             h, p = seeds(t.lower().split())
-            hashes.append(h), places.append(p), keys.append(np.full(len(h), k, np.int64))
-        columns = [pa.array(np.concatenate(c)) for c in (hashes, keys, places)]
-        yield pa.RecordBatch.from_arrays(columns, names=["h", "k", "p"])
+            once, first = np.unique(h, return_index=True)
+            later: list = [None] * len(once)
+            if len(once) < len(h):
+                again = np.setdiff1d(np.arange(len(h)), first)
+                for i, place in zip(np.searchsorted(once, h[again]).tolist(), p[again].tolist()):
+                    later[i] = [*(later[i] or ()), place]
+            hashes.append(once), places.append(p[first]), keys.append(np.full(len(once), k, np.int64)), more.extend(later)
+        columns = [pa.array(np.concatenate(c)) for c in (hashes, keys, places)] + [pa.array(more, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["h", "k", "p", "more"])
 
 
 def _to_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each seed after the first of its run of equal hashes, with that first one. Rows come sorted by
-    (h, k, p); only the first row of the open run is held, however long the run."""
+    """Ties each seed to its first occurrence: across texts the first text's, inside a text the text's own. Rows come
+    sorted by (h, k); only the first row of the open run is held, however long the run."""
     open_h = open_k = open_p = before = None
     for batch in batches:
         h, k, p = (batch.column(c).to_numpy() for c in ("h", "k", "p"))
         if not len(h):
             continue
-        again = np.concatenate([[(h[0], k[0], p[0]) == before], (h[1:] == h[:-1]) & (k[1:] == k[:-1]) & (p[1:] == p[:-1])])
-        before = (h[-1], k[-1], p[-1])
-        h, k, p = h[~again], k[~again], p[~again]  # rows that repeat are one document
+        again = np.concatenate([[(h[0], k[0]) == before], (h[1:] == h[:-1]) & (k[1:] == k[:-1])])  # rows that repeat are one document
+        before = (h[-1], k[-1])
+        ties = [np.zeros((0, 4), np.int64)]
+        for i in np.flatnonzero(batch.column("more").is_valid().to_numpy(zero_copy_only=False) & ~again):
+            later = np.array(batch.column("more")[int(i)].as_py(), np.int64)
+            own = np.full(len(later), k[i])
+            ties.append(np.stack([own, own, later, np.full(len(later), p[i])], axis=1))
+        h, k, p = h[~again], k[~again], p[~again]
         if open_h is not None:
             h, k, p = np.append(open_h, h), np.append(open_k, k), np.append(open_p, p)
         if not len(h):
@@ -74,8 +86,9 @@ def _to_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
         open_h, open_k, open_p = h[first[-1]], k[first[-1]], p[first[-1]]
         later = np.flatnonzero(first != np.arange(len(h)))
-        columns = [pa.array(c) for c in (k[later], k[first[later]], p[later], p[first[later]])]
-        yield pa.RecordBatch.from_arrays(columns, names=["k", "rk", "p", "rp"])
+        ties.append(np.stack([k[later], k[first[later]], p[later], p[first[later]]], axis=1))
+        tied = np.concatenate(ties)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in tied.T], names=["k", "rk", "p", "rp"])
 
 
 def chains(places: np.ndarray, sources: np.ndarray) -> list[tuple[list[int], list[int]]]:
@@ -252,10 +265,6 @@ def similar_spans(runs: list[Run], least_words: int, similarity: float) -> list[
     return similar_spans(runs[:cut], least_words, similarity) + similar_spans(runs[cut:], least_words, similarity)
 
 
-def _key(doc_id: str, text: str):
-    return F.xxhash64(F.col(doc_id).cast("string"), F.col(text))
-
-
 def repeated_passages(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = MIN_WORDS, similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -263,15 +272,16 @@ def repeated_passages(
     (doc_id, start, end, source_doc_id, source_start, source_end, similarity, doc_key), places in words.
 
     Words are split at white space, letter case of A-Z aside. Every occurrence but the first (in an arbitrary fixed
-    order of documents) is reported, with the first as its source: seeds are tied to their first occurrence only, so
-    rows grow with the text, never with pairs of copies. Exact copies of a whole text report the whole text. Rows that
+    order of documents) is reported, with the first as its source, or where a text repeats its own words with its first
+    place in the text: seeds are tied to one earlier occurrence only, so rows grow with the text, never with pairs of
+    copies, and a seed that recurs in a text is shuffled once for it. Exact copies of a whole text report the whole text. Rows that
     repeat both id and text count as one document; null or short texts have no passages; an empty table none.
     doc_key is the hash of id and text, for joining the result back to rows with repeated or null ids.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
-    rows = rows.where("length(t) > 0").withColumn("k", _key("d", "t"))
-    found = rows.select("k", "t").mapInArrow(_seed_rows, "h long, k long, p long")
-    tied = found.repartition("h").sortWithinPartitions("h", "k", "p").mapInArrow(_to_first, "k long, rk long, p long, rp long")
+    rows = rows.where("length(t) > 0").withColumn("k", row_key("d", "t"))
+    found = rows.select("k", "t").mapInArrow(_seed_rows, "h long, k long, p long, more array<long>")
+    tied = found.repartition("h").sortWithinPartitions("h", "k").mapInArrow(_to_first, "k long, rk long, p long, rp long")
     least = max(2 * SHINGLE, least_words // 2)  # a chain's seeds may miss the ends of its passage
     linked = tied.repartition("k", "rk").sortWithinPartitions("k", "rk", "p")
     chained = written(linked.mapInArrow(lambda it: _chain_rows(it, least), "k long, rk long, at array<int>, src array<int>"), "chains")
@@ -350,8 +360,7 @@ def without_repeats(
     spans = found.groupBy("doc_key").agg(F.collect_set(F.struct("start", "end")).alias("doc_spans"))  # at most one per chain of a text
     names, position = docs.columns, docs.columns.index(text)
     renamed = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    key = F.xxhash64(F.col(f"c{names.index(doc_id)}").cast("long").cast("string"), F.col(f"c{position}").cast("string"))
-    joined = renamed.withColumn("doc_key", key).join(spans, "doc_key", "left")
+    joined = renamed.withColumn("doc_key", row_key(f"c{names.index(doc_id)}", f"c{position}")).join(spans, "doc_key", "left")
     column = f"c{position}"
 
     @F.pandas_udf("string")

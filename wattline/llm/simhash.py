@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import small_batches, utf8
+from wattline.llm.common import row_key, small_batches, utf8
 from wattline.llm.components import components
 from wattline.sources.scratch import written
 
@@ -42,15 +42,16 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) for every row; fp is the fingerprint as a signed long. Null text counts as empty."""
+    """(doc_id, key, fp) for every row; key is a hash of id and text, fp the fingerprint as a signed long. Null text
+    counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "t", 32 << 20):
             values = np.array([fingerprint(t, shingle) for t in utf8(batch.column("t"))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("d"), pa.array(values)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("d"), batch.column("k"), pa.array(values)], names=["doc_id", "key", "fp"])
 
-    picked = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    picked = docs.select(F.col(doc_id).cast("long").alias("d"), row_key(doc_id, text).alias("k"), F.col(text).cast("string").alias("t"))
+    return picked.mapInArrow(run, "doc_id long, key long, fp long")
 
 
 def _segments(distance: int) -> list[tuple[int, int]]:
@@ -132,6 +133,13 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return grouped.mapInArrow(lambda it: _linked_runs(it, distance), "a long, b long").distinct()
 
 
+def _groups(prints: DataFrame, distance: int) -> DataFrame:
+    """(fp, root) for every different fingerprint; root names its component."""
+    distinct = written(prints.select("fp").distinct(), "distinct")
+    roots = components(links(distinct, distance)).withColumnRenamed("node", "fp")
+    return distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = DISTANCE
 ) -> DataFrame:
@@ -141,12 +149,22 @@ def near_duplicates(
     included. Null or wordless texts have fingerprint zero and are linked like any other; a repeated row is
     returned once per row; a component of null ids only has a null component_id; an empty table gives none.
     """
-    prints = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
-    roots = components(links(distinct, distance))
-    labelled = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    labelled = labelled.select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    least = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = labelled.select("fp", "root").join(least, "root").select("fp", "component_id")
+    prints = written(fingerprints(docs, doc_id, text, shingle).drop("key"), "fingerprints")
+    groups = written(_groups(prints, distance), "groups")
+    # ids first shrink to one per fingerprint, then to one per component: a hot group is combined before each shuffle
+    per_print = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(groups, "fp")
+    least = per_print.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = groups.join(least, "root").select("fp", "component_id")
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(named, "fp").select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
+def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = DISTANCE) -> DataFrame:
+    """The documents, same columns, one of each component: the one with the smallest id (null ids last, then by a
+    hash of the text). Rows that repeat id and text are one document."""
+    prints = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key"))
+    per_print = prints.groupBy("fp").agg(first.alias("first")).join(_groups(prints, distance), "fp")
+    kept = per_print.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias("_kept"))
+    keyed = docs.withColumn("_kept", row_key(doc_id, text))
+    return keyed.join(kept, "_kept", "left_semi").dropDuplicates(["_kept"]).select(*docs.columns)

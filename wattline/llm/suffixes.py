@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import small_batches, utf8
+from wattline.llm.common import row_key, small_batches, utf8
 from wattline.sources.scratch import written
 
 LENGTH = 200  # bytes of a repeated string
@@ -232,10 +232,6 @@ def anchors(data: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np
     return np.concatenate(hashes), np.concatenate(places)
 
 
-def _key():
-    return F.xxhash64(F.col("d").cast("string"), F.col("t"))
-
-
 def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
     """Anchors with a hash of the bytes around them, within reach of a string that holds them."""
     reach = length - anchor
@@ -319,13 +315,14 @@ def remove_repeats(
     matter. Equal neighbourhoods of an anchor are counted, not listed: a neighbourhood that occurs twice is
     repeated as a whole, and only the different ones of an anchor (at most ``2 * length`` bytes each) are sorted.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t")).withColumn("k", _key())
+    rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t")).withColumn("k", row_key("d", "t"))
     found = rows.where(F.octet_length("t") >= length).select("k", "t").mapInArrow(
         lambda it: _anchor_rows(it, length, anchor), "h long, k long, p long, c long, l int, r int"
     )
-    found = found.repartition("h")
+    found = written(found, "anchors")
+    # counts combine before their shuffle, and the join may split an anchor that very many texts share
     twice = found.groupBy("h").agg(F.count("*").alias("n"), (F.min("c") != F.max("c")).alias("differ")).where("n > 1")
-    hits = written(found.join(twice.select("h", "differ").hint("shuffle_merge"), "h"), "anchors")
+    hits = written(found.join(twice.select("h", "differ").hint("merge"), "h"), "hits")
     kinds = hits.groupBy("h", "c").agg(F.count("*").alias("n"), F.first("differ").alias("differ"), F.min(F.struct("k", "p", "l", "r")).alias("one"))
     kinds = written(kinds.select("h", "c", "n", "differ", "one.*"), "neighbourhoods")
     some = kinds.where("differ").select("h", "c", "k", "p", "l", "r")

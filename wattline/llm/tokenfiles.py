@@ -24,8 +24,11 @@ HEADER = 17  # bytes before the first block
 _ROW_BYTES = 8 << 20  # text of one row of a file, at least one document
 _LANES = 4096  # blocks coded abreast
 _CACHED = 400_000
-_SEGMENT = re.compile(r"\s*\S+|\s+")
-_ODD = re.compile("[\x1c-\x1f]")  # white space to one side, signs to the other: never cut around them
+_SIGNS = frozenset(".,;:!?")
+# byte-level models write bytes that are no visible Latin-1 sign as the signs from 256 on, in order
+_BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+# runs of white space, and signs that are white space to one side only: such texts are encoded whole
+_ODD = re.compile("\\s\\s|[\x1c-\x1f]")
 
 # ---- the coder ------------------------------------------------------------
 # An id is one of 2 + classes symbols: what followed the last two ids last time (order 2), what followed the last id
@@ -257,10 +260,10 @@ def unpack(body: bytes) -> np.ndarray:
 
 
 class Encoder:
-    """Byte-level ids of texts by the tokenizers library, which sees each different stretch once.
+    """Byte-level ids of texts by the tokenizers library, which sees each different word once.
 
     No token of such a model spans from a sign to the white space after it, so a text can be cut before every
-    run of white space.
+    space that stands alone between two signs.
     """
 
     def __init__(self, path: str):
@@ -269,22 +272,43 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their names in a text are ordinary text
-        self.cache: dict[str, bytes] = {}
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        self.tokenize = self.library.model.tokenize
+        self.cache: dict[str, bytes] = {}  # ids of a word with a space before it
+
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a space and a word. Letters with a sign behind them are two stretches whatever stands around them, and
+        go to the library's model as such; anything else takes the library's whole way."""
+        letters, sign = (word[:-1], word[-1]) if word[-1:] in _SIGNS else (word, "")
+        if not letters.isalpha():
+            return self._plain(" " + word)
+        found = self.tokenize((" " + letters).encode().decode("latin-1").translate(_BYTE_SIGNS))
+        if sign:
+            found += self.tokenize(sign)
+        return np.array([t.id for t in found], "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         if len(self.cache) > _CACHED:
             self.cache.clear()
         cache = self.cache
-        cut = [None if _ODD.search(t) else _SEGMENT.findall(t) for t in texts]
-        fresh = list({s for c in cut if c for s in c if s not in cache})
-        for low in range(0, len(fresh), 10_000):
-            part = fresh[low : low + 10_000]
-            cache.update(zip(part, self._plain(part)))
-        return [self._plain([t])[0] if c is None else b"".join(map(cache.__getitem__, c)) for t, c in zip(texts, cut)]
+        cut = [None if _ODD.search(t) else t.split(" ") for t in texts]
+        fresh: set[str] = set()
+        for c in cut:
+            if c:
+                fresh.update(c[1:])
+        for word in fresh:
+            if word not in cache:
+                cache[word] = self._word(word)
+        out = []
+        for t, c in zip(texts, cut):
+            if c is None:
+                out.append(self._plain(t))
+            else:
+                out.append(self._plain(c[0]) + b"".join(map(cache.__getitem__, c[1:])))
+        return out
 
 
 @cache

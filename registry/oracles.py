@@ -1,6 +1,6 @@
 """The same results in plain SQL (DuckDB), written independently of the library.
 
-Rounding is ``floor(x * 10^n + 0.5) / 10^n``. Sums of rounded values go through whole
+Rounding is the engine's ``round`` after a nudge of 1e-9, on both sides. Sums of rounded values go through whole
 thousandths, so they do not depend on the order of addition.
 """
 
@@ -22,15 +22,20 @@ STEPS = {
     "dedup": """
 select * exclude (rn) from (
   select *, row_number() over (partition by meter_id, data_time order by import_active_power desc nulls last, src_id) as rn
+  from clean) where rn = 1""",
+    "bounded": """
+select * exclude (rn) from (
+  select *, row_number() over (partition by meter_id, data_time
+    order by case when import_active_power between 0 and 1000000000 then import_active_power end desc nulls last, src_id) as rn
   from clean) where rn = 1""",
     "staged": """
 select meter_id, data_time as reading_at,
   case when import_active_power > 1000000000 or import_active_power < 0 then null
-       else floor(import_active_power * 1000 + 0.5) / 1000 end as active_power_watts,
+       else round(import_active_power + 1e-9, 3) end as active_power_watts,
   cast(data_time as date) as reading_date,
   cast(hour(data_time) * 3600 + minute(data_time) * 60 + second(data_time) as int) as reading_time,
   year(data_time) || '-Q' || quarter(data_time) as quarter
-from dedup""",
+from bounded""",
     "kept": "select * from staged where reading_date not between date '2024-01-10' and date '2024-01-15'",
     "sites": """
 select meter_id, multiplication_factor, case when x is null or y is null then null else y end as lat,
@@ -57,7 +62,7 @@ select s.meter_id, s.multiplication_factor, s.lat as meter_lat, s.lon as meter_l
 from sites s cross join (select distinct original_coordinate, lat, lon from schedule) l""",
     "nearest": """
 select meter_id, multiplication_factor, meter_lat, meter_lon, region, province, nearest_prayer_coordinate,
-  case when meter_lat is null then null else floor(metres + 0.5) end as distance_meters, rn
+  case when meter_lat is null then null else round(metres + 1e-9) end as distance_meters, rn
 from (select *, row_number() over (partition by meter_id
         order by case when meter_lat is not null then metres end nulls first, nearest_prayer_coordinate) as rn
       from distances) where rn = 1""",
@@ -84,22 +89,22 @@ from (select *, cast(floor(active_power_watts * 1000 + 0.5) as bigint) as k from
 group by meter_id""",
     "rounded": """
 select meter_id,
-  floor(cast(t_sum as double) / cast(nullif(t_n * 1000, 0) as double) * 1000 + 0.5) / 1000 as total_avg_consumption,
+  round(cast(t_sum as double) / cast(nullif(t_n * 1000, 0) as double) + 1e-9, 3) as total_avg_consumption,
   cast(t_sum as double) / 1000 as total_sum_consumption, t_n as total_reading_count,
-  floor(cast(m_sum as double) / cast(nullif(m_n * 1000, 0) as double) * 1000 + 0.5) / 1000 as morning_avg_consumption,
+  round(cast(m_sum as double) / cast(nullif(m_n * 1000, 0) as double) + 1e-9, 3) as morning_avg_consumption,
   cast(m_sum as double) / 1000 as morning_sum_consumption, m_n as morning_reading_count,
-  floor(cast(e_sum as double) / cast(nullif(e_n * 1000, 0) as double) * 1000 + 0.5) / 1000 as evening_avg_consumption,
+  round(cast(e_sum as double) / cast(nullif(e_n * 1000, 0) as double) + 1e-9, 3) as evening_avg_consumption,
   cast(e_sum as double) / 1000 as evening_sum_consumption, e_n as evening_reading_count,
   min_reading_date, max_reading_date, readings_with_prayer_times, quarter
 from totals""",
     "consumption": """
 select a.*, n.multiplication_factor, n.region, n.province,
-  floor((total_sum_consumption * multiplication_factor / 2e0) / 1e3 * 1000 + 0.5) / 1000 as total_energy_kwh,
-  floor((morning_sum_consumption * multiplication_factor / 2e0) / 1e3 * 1000 + 0.5) / 1000 as morning_energy_kwh,
-  floor((evening_sum_consumption * multiplication_factor / 2e0) / 1e3 * 1000 + 0.5) / 1000 as evening_energy_kwh,
-  floor((total_sum_consumption * multiplication_factor / 2e0) / 1e3 * 32e-2 * 1000 + 0.5) / 1000 as total_cost_sar,
-  floor((morning_sum_consumption * multiplication_factor / 2e0) / 1e3 * 32e-2 * 1000 + 0.5) / 1000 as morning_cost_sar,
-  floor((evening_sum_consumption * multiplication_factor / 2e0) / 1e3 * 32e-2 * 1000 + 0.5) / 1000 as evening_cost_sar,
+  round((total_sum_consumption * multiplication_factor / 2e0) / 1e3 + 1e-9, 3) as total_energy_kwh,
+  round((morning_sum_consumption * multiplication_factor / 2e0) / 1e3 + 1e-9, 3) as morning_energy_kwh,
+  round((evening_sum_consumption * multiplication_factor / 2e0) / 1e3 + 1e-9, 3) as evening_energy_kwh,
+  round((total_sum_consumption * multiplication_factor / 2e0) / 1e3 * 32e-2 + 1e-9, 3) as total_cost_sar,
+  round((morning_sum_consumption * multiplication_factor / 2e0) / 1e3 * 32e-2 + 1e-9, 3) as morning_cost_sar,
+  round((evening_sum_consumption * multiplication_factor / 2e0) / 1e3 * 32e-2 + 1e-9, 3) as evening_cost_sar,
   case when morning_avg_consumption is null and evening_avg_consumption is null then 'NO_PERIOD_DATA'
        when morning_avg_consumption is null then 'NO_MORNING_DATA'
        when evening_avg_consumption is null then 'NO_EVENING_DATA' else 'COMPLETE' end as data_quality_flag
@@ -108,7 +113,7 @@ where morning_avg_consumption is not null or evening_avg_consumption is not null
     "quality": """
 select meter_id, min_date, max_date, date_range_days, expected_readings, actual_readings, zero_readings, null_readings,
   expected_readings - actual_readings as missing_readings,
-  floor(cast(actual_readings - zero_readings as double) / cast(expected_readings as double) * 100 * 100 + 0.5) / 100 as quality_percentage,
+  round(cast(actual_readings - zero_readings as double) / cast(expected_readings as double) * 100 + 1e-9, 2) as quality_percentage,
   cast(actual_readings - zero_readings as double) / cast(expected_readings as double) * 100 >= 50 as is_good_quality
 from (select meter_id, min(reading_date) as min_date, max(reading_date) as max_date,
         date_diff('day', min(reading_date), max(reading_date)) as date_range_days,
@@ -137,9 +142,9 @@ select *, case when over_in_both then 'BOTH_PERIODS' when over_in_morning then '
     "violators": """
 select *, potential_savings_morning_sar + potential_savings_evening_sar as total_potential_savings_sar
 from (select * exclude (is_good_quality),
-        case when over_in_morning then floor((morning_avg_mf - 500) * morning_reading_count / 2e0 / 1e3 * 32e-2 * 1000 + 0.5) / 1000
+        case when over_in_morning then round((morning_avg_mf - 500) * morning_reading_count / 2e0 / 1e3 * 32e-2 + 1e-9, 3)
           else 0.0e0 end as potential_savings_morning_sar,
-        case when over_in_evening then floor((evening_avg_mf - 500) * evening_reading_count / 2e0 / 1e3 * 32e-2 * 1000 + 0.5) / 1000
+        case when over_in_evening then round((evening_avg_mf - 500) * evening_reading_count / 2e0 / 1e3 * 32e-2 + 1e-9, 3)
           else 0.0e0 end as potential_savings_evening_sar
       from labelled where over_in_either)""",
     "regional": "select * from flagged where region = 'ASIA' and province like '%NATION_1%'",
@@ -208,7 +213,7 @@ def _csv_rows() -> str:
 select meter_id as "METER_ID", date_trunc('minute', data_time) as "DATA_TIME", import_active_power as "IMPORT_ACTIVE_POWER",
   strftime(date_trunc('minute', data_time), '%Y-%m-%d %H:%M:%S') as "DATA_TIME_STR",
   year(data_time) || '-Q' || quarter(data_time) as "QUARTER"
-from fx_readings cross join (select unnest([0, 1, 2, 3]) as layout)"""
+from fx_readings cross join (select unnest([0, 1, 2, 3, 4, 5]) as layout)"""
 
 
 ORACLES = {
@@ -216,7 +221,7 @@ ORACLES = {
     "dedup_latest": _sql("select * from dedup"),
     "outlier_mask": _sql(
         "select src_id, case when import_active_power > 1000000000 or import_active_power < 0 then null "
-        "else floor(import_active_power * 1000 + 0.5) / 1000 end as active_power_watts from fx_readings"
+        "else round(import_active_power + 1e-9, 3) end as active_power_watts from fx_readings"
     ),
     "exclude_dates": _sql("select * from kept"),
     "exclusion_stats": _sql(
@@ -299,17 +304,17 @@ select (select count(distinct q.meter_id) from quality q join nearest n on q.met
   count(distinct meter_id) as total_meters_after_quality_filter,
   count(*) filter (over_in_morning) as overs_morning, count(*) filter (over_in_evening) as overs_evening,
   count(*) filter (over_in_both) as overs_both, count(*) filter (over_in_either) as overs_either,
-  floor(cast(sum(case when over_in_morning then cast(morning_energy_kwh as decimal(20,3)) else 0 end)
-    + sum(case when over_in_evening then cast(evening_energy_kwh as decimal(20,3)) else 0 end) as double) / 1e6 * 100 + 0.5) / 100
+  round(cast(sum(case when over_in_morning then cast(morning_energy_kwh as decimal(20,3)) else 0 end)
+    + sum(case when over_in_evening then cast(evening_energy_kwh as decimal(20,3)) else 0 end) as double) / 1e6 + 1e-9, 2)
     as over_consumers_gwh,
-  floor(cast(sum(case when over_in_morning then cast(morning_cost_sar as decimal(20,3)) else 0 end)
-    + sum(case when over_in_evening then cast(evening_cost_sar as decimal(20,3)) else 0 end) as double) / 1e6 * 100 + 0.5) / 100
+  round(cast(sum(case when over_in_morning then cast(morning_cost_sar as decimal(20,3)) else 0 end)
+    + sum(case when over_in_evening then cast(evening_cost_sar as decimal(20,3)) else 0 end) as double) / 1e6 + 1e-9, 2)
     as over_consumers_cost_million_sar,
-  floor(cast(sum(case when not over_in_morning then cast(morning_energy_kwh as decimal(20,3)) else 0 end)
-    + sum(case when not over_in_evening then cast(evening_energy_kwh as decimal(20,3)) else 0 end) as double) / 1e6 * 100 + 0.5) / 100
+  round(cast(sum(case when not over_in_morning then cast(morning_energy_kwh as decimal(20,3)) else 0 end)
+    + sum(case when not over_in_evening then cast(evening_energy_kwh as decimal(20,3)) else 0 end) as double) / 1e6 + 1e-9, 2)
     as regular_consumers_gwh,
-  floor(cast(sum(case when not over_in_morning then cast(morning_cost_sar as decimal(20,3)) else 0 end)
-    + sum(case when not over_in_evening then cast(evening_cost_sar as decimal(20,3)) else 0 end) as double) / 1e6 * 100 + 0.5) / 100
+  round(cast(sum(case when not over_in_morning then cast(morning_cost_sar as decimal(20,3)) else 0 end)
+    + sum(case when not over_in_evening then cast(evening_cost_sar as decimal(20,3)) else 0 end) as double) / 1e6 + 1e-9, 2)
     as regular_consumers_cost_million_sar,
   14094 as team_total_meters_before, 12673 as team_total_meters_after, 6591 as team_overs_morning, 7027 as team_overs_evening,
   5959 as team_overs_both, 7659 as team_overs_either, 60.34e0 as team_over_consumers_gwh,
@@ -320,17 +325,17 @@ from regional"""
     "daily_usage": _sql(
         """
 select meter_id, reading_date as date, year(reading_date) || '-Q' || quarter(reading_date) as quarter,
-  floor(cast(sum(cast(floor(active_power_watts * 1000 + 0.5) as bigint)) as double)
-    / cast(nullif(count(active_power_watts) * 1000, 0) as double) * 1000 + 0.5) / 1000 as avg_daily_power_watts,
+  round(cast(sum(cast(floor(active_power_watts * 1000 + 0.5) as bigint)) as double)
+    / cast(nullif(count(active_power_watts) * 1000, 0) as double) + 1e-9, 3) as avg_daily_power_watts,
   max(active_power_watts) as max_daily_power_watts, min(active_power_watts) as min_daily_power_watts, count(*) as readings_count
 from staged group by meter_id, reading_date"""
     ),
     "region_summary": _sql(
         """
 select region, count(*) as meter_count,
-  floor(cast(sum(cast(total_avg_consumption as decimal(20,3))) as double) / count(total_avg_consumption) * 100 + 0.5) / 100 as avg_consumption_w,
-  floor(cast(sum(cast(total_energy_kwh as decimal(20,3))) as double) * 100 + 0.5) / 100 as total_energy_kwh,
-  floor(cast(sum(cast(total_cost_sar as decimal(20,3))) as double) * 100 + 0.5) / 100 as total_cost_sar
+  round(cast(sum(cast(total_avg_consumption as decimal(20,3))) as double) / count(total_avg_consumption) + 1e-9, 2) as avg_consumption_w,
+  round(cast(sum(cast(total_energy_kwh as decimal(20,3))) as double) + 1e-9, 2) as total_energy_kwh,
+  round(cast(sum(cast(total_cost_sar as decimal(20,3))) as double) + 1e-9, 2) as total_cost_sar
 from consumption group by region"""
     ),
     "top_violators": _sql(
@@ -358,11 +363,18 @@ union all select * from new""",
 select cast(o_custkey as varchar) as meter_id, year(o_orderdate) || '-Q' || quarter(o_orderdate) as quarter, count(*) as n
 from orders group by 1, 2 having count(*) filter (o_orderpriority = '1-URGENT') = 0""",
     "incremental_consumption": _incremental(),
+    "insert_if_absent_hash": _sql(
+        """
+select meter_id as "METER_ID", data_time as "DATA_TIME", import_active_power as "IMPORT_ACTIVE_POWER", src_id,
+  cast(data_time as date) as reading_date
+from (select case when src_id % 50 <> 0 then meter_id end as meter_id, case when src_id % 70 <> 0 then data_time end as data_time,
+        import_active_power, src_id from clean) r"""
+    ),
     "latest_run_stats": _sql("select * from daily_runs where run_id = (select max(run_id) from daily_runs)"),
     "filter_effectiveness": _sql(
         "select cast(run_timestamp as date) as run_date, stage_name, cast(sum(rows_input) as bigint) as total_input, "
         "cast(sum(rows_filtered) as bigint) as total_filtered, "
-        "floor(cast(sum(rows_filtered) as double) / cast(sum(rows_input) as double) * 100 * 100 + 0.5) / 100 as filter_pct "
+        "round(cast(sum(rows_filtered) as double) / cast(sum(rows_input) as double) * 100 + 1e-9, 2) as filter_pct "
         "from daily_runs group by 1, 2"
     ),
     "run_not_in": _sql(
@@ -420,7 +432,9 @@ from (values (0, ',', 'meter_id id meter_no data_time import_active_power import
         'full', 0, 3, 4),
        (1, ';', 'Reading_DateTime MTR_ID note ACTIVE_POWER', 'required', 1, 0, 3),
        (2, chr(9), 'METER IMPORT_POWER TIMESTAMP', 'required', 0, 2, 1),
-       (3, '|', 'STATUS DT METERID KW_IMP', 'required', 2, 1, 3))
+       (3, '|', 'STATUS DT METERID KW_IMP', 'required', 2, 1, 3),
+       (4, ',', ' METER_ID note, free DATA_TIME IMPORT_ACTIVE_POWER', 'required', 1, 3, 4),
+       (5, ';', 'METER_ID  DATA_TIME IMPORT_ACTIVE_POWER ', 'required', 0, 2, 3))
   v(layout, separator, headers, kind, meter_position, time_position, power_position)
 cross join (select count(*) as n_rows, count(distinct meter_id) as n_meters from fx_readings) c"""
     ),
@@ -428,5 +442,15 @@ cross join (select count(*) as n_rows, count(distinct meter_id) as n_meters from
         'select meter_id as "METER_ID", data_time as "DATA_TIME", import_active_power as "IMPORT_ACTIVE_POWER", '
         "year(data_time) || '-Q' || quarter(data_time) as \"QUARTER\" from dedup"
     ),
+    "file_stats_run": _sql(
+        """
+select 'etl' as stage_name, 'success' as status, cast(null as varchar) as error_message, cast(6 * count(*) as bigint) as rows_input,
+  cast(6 * count(*) as bigint) as rows_output, cast(0 as bigint) as rows_filtered, min(cast(data_time as date)) as min_reading_date,
+  max(cast(data_time as date)) as max_reading_date, cast(6 * count(*) filter (import_active_power is null) as bigint) as rows_with_null_power,
+  cast(6 * count(*) filter (import_active_power = 0) as bigint) as rows_with_zero_power
+from fx_readings
+union all select 'etl', 'failed', 'no column for METER_ID, IMPORT_ACTIVE_POWER', 0, null, null, null, null, null, null"""
+    ),
     "whole_run": _sql("select * from violators"),
+    "whole_run_twice": _incremental(),
 }

@@ -25,6 +25,7 @@ from wattline.operators.staging import (
 from wattline.operators.violations import flag_over, regional_consumption, regional_violators, violation_category, violators, with_quality
 from wattline.plans.refresh import Places, Run, clean_to_readings, files_to_clean, readings_to_models
 from wattline.sources.delimited import list_files, map_headers, read_layouts, read_readings, sniff_headers
+from wattline.sources.runlog import take_over
 from wattline.sources.scratch import scratch_path, written
 from wattline.sources.tables import VersionedTable, write_by_day
 from wattline.spec import READING_COLUMNS, ModelSpec, QualitySpec, RegionSpec
@@ -207,7 +208,7 @@ def nearest_by_cells(spark, folder):
 
 def attach_periods_salted(spark, folder):
     calendar = schedule(spark, folder)
-    return attach_periods(staged(spark, folder), locations(spark, folder, calendar), calendar, max_broadcast_rows=0)
+    return attach_periods(staged(spark, folder), locations(spark, folder, calendar), calendar, max_broadcast_bytes=0)
 
 
 def period_flags(spark, folder):
@@ -281,6 +282,23 @@ def insert_if_absent_query(spark, folder):
     return spark.read.parquet(path).select("meter_id", "data_time", "import_active_power", "src_id", "reading_date")
 
 
+def insert_if_absent_hash(spark, folder):
+    """Three loads by the default key, the first of a part, of readings some of which lack meter or time: in
+    the end every reading is there as often as in one load."""
+    path = scratch_path(spark, "hashed")
+    rows = clean(spark, folder).select(
+        F.when(F.col("src_id") % 50 != 0, F.col("meter_id")).alias("METER_ID"),
+        F.when(F.col("src_id") % 70 != 0, F.col("data_time")).alias("DATA_TIME"),
+        F.col("import_active_power").alias("IMPORT_ACTIVE_POWER"),
+        "src_id",
+    )
+    rows = rows.withColumn("ROW_HASH", row_hash(F.col("METER_ID"), time_text(F.col("DATA_TIME"))))
+    loading.insert_if_absent(spark, rows.where(F.col("DATA_TIME").isNull() | (F.to_date("DATA_TIME") < F.lit(MIDDLE))), path)
+    loading.insert_if_absent(spark, rows, path)
+    loading.insert_if_absent(spark, rows, path)
+    return spark.read.parquet(path).drop("ROW_HASH")
+
+
 def upsert_by_key(spark, folder):
     """Per-meter totals before the 15th, then totals of the rest with one more column."""
     events = table(spark, folder, "events").withColumn("meter_id", F.col("user_id").cast("string"))
@@ -303,7 +321,7 @@ def changed_meters_query(spark, folder):
 def readings_of_changed(spark, folder):
     readings = staged(spark, folder)
     covered = _before(readings, LAST_DAY, "reading_date").groupBy("meter_id").agg(F.max("reading_date").alias("max_reading_date"))
-    return loading.readings_of_changed_meters(readings, covered, max_broadcast_rows=0)
+    return loading.readings_of_changed_meters(readings, covered, max_broadcast_bytes=0)
 
 
 def new_pairs_query(spark, folder):
@@ -413,9 +431,15 @@ LAYOUTS = [
     (";", ["Reading_DateTime", "MTR_ID", "note", "ACTIVE_POWER"]),
     ("\t", ["METER", "IMPORT_POWER", "TIMESTAMP"]),
     ("|", ["STATUS", "DT", "METERID", "KW_IMP"]),
+    # an unnamed index column and a name that holds the separator; an unnamed column inside and one at the end
+    (",", ["", "METER_ID", "note, free", "DATA_TIME", "IMPORT_ACTIVE_POWER"]),
+    (";", ["METER_ID", "", "DATA_TIME", "IMPORT_ACTIVE_POWER", ""]),
 ]
 
 
+LAYOUT_FILES = "part-*.{csv,txt}"
+
+
 def write_layouts(spark, folder) -> str:
     """The readings written as CSV once per layout, with differing ids, headers and separators."""
     root = scratch_path(spark, "csv")
@@ -433,8 +457,15 @@ def write_layouts(spark, folder) -> str:
                 return F.col("time")
             if name in ("IMPORT_ACTIVE_POWER", "ACTIVE_POWER", "IMPORT_POWER", "KW_IMP"):
                 return F.col("power")
-            return F.lit(f"a{sep}b")
-
+            return F.lit(f"a{sep}b") if name else F.lit("5")
+
+        if "" in headers:  # the CSV writer cannot write a column without a name
+            quoted = [f'"{h}"' if sep in h else h for h in headers]
+            cells = [F.concat(F.lit('"'), value(h), F.lit('"')) if sep in h else value(h) for h in headers]
+            lines = rows.select(F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in cells]).alias("value"))
+            first = spark.createDataFrame([(sep.join(quoted),)], "value string")
+            first.unionByName(lines).coalesce(1).write.option("compression", "none").text(f"{root}/layout={number}")
+            continue
         (
             rows.select(*[value(h).alias(h) for h in headers])
             .write.option("header", True)
@@ -446,18 +477,18 @@ def write_layouts(spark, folder) -> str:
 
 
 def csv_harmonised(spark, folder):
-    files = list_files(spark, write_layouts(spark, folder), recursive=True)
+    files = list_files(spark, write_layouts(spark, folder), LAYOUT_FILES, recursive=True)
     rows, _ = read_readings(spark, files)
     return rows.select("METER_ID", "DATA_TIME", "IMPORT_ACTIVE_POWER", "DATA_TIME_STR", "QUARTER")
 
 
 def header_mapping(spark, folder):
     """Per written layout: how its headers were mapped, and what was read through that mapping."""
-    files = list_files(spark, write_layouts(spark, folder), recursive=True)
+    files = list_files(spark, write_layouts(spark, folder), LAYOUT_FILES, recursive=True)
     mapped = map_headers(sniff_headers(files))
     layout = F.regexp_extract("path", r"layout=(\d+)", 1).cast("int")
     found = mapped.select(
-        "source_filename",
+        "path",
         layout.alias("layout"),
         "separator",
         F.concat_ws(" ", "headers").alias("headers"),
@@ -466,34 +497,67 @@ def header_mapping(spark, folder):
         F.col("mapping")["DATA_TIME"].alias("time_position"),
         F.col("mapping")["IMPORT_ACTIVE_POWER"].alias("power_position"),
     )
-    names = [c for c in found.columns if c != "source_filename"]
-    rows = read_layouts(spark, mapped).join(found, "source_filename")
+    names = [c for c in found.columns if c != "path"]
+    rows = read_layouts(spark, mapped).withColumnRenamed("source_filename", "path").join(found, "path")
     return rows.groupBy(*names).agg(F.count("*").alias("n_rows"), F.countDistinct("METER_ID").alias("n_meters"))
 
 
+def file_stats_run(spark, folder):
+    """Statistics of a run over the written files and some whose headers are unknown, by outcome."""
+    places, root = Places(scratch_path(spark, "run")), write_layouts(spark, folder)
+    odd = raw_readings(spark, folder).select(F.col("meter_id").alias("Serial"), F.lit("x").alias("DATA_TIME"))
+    odd.write.option("header", True).csv(f"{root}/layout=odd")
+    files_to_clean(spark, root, places, RUN, on_reject="skip", recursive=True, pattern=LAYOUT_FILES)
+    recorded = take_over(spark, places.handed_over(RUN))
+    return recorded.groupBy("stage_name", "status", "error_message").agg(
+        F.sum("rows_input").alias("rows_input"),
+        F.sum("rows_output").alias("rows_output"),
+        F.sum("rows_filtered").alias("rows_filtered"),
+        F.min("min_reading_date").alias("min_reading_date"),
+        F.max("max_reading_date").alias("max_reading_date"),
+        F.sum("rows_with_null_power").alias("rows_with_null_power"),
+        F.sum("rows_with_zero_power").alias("rows_with_zero_power"),
+    )
+
+
 def stream_ingest(spark, folder):
     """The written files loaded by the file stream: one row per meter and minute."""
-    files = arriving_files(spark, write_layouts(spark, folder), recursive=True)
+    files = arriving_files(spark, write_layouts(spark, folder), LAYOUT_FILES, recursive=True)
     target = scratch_path(spark, "streamed")
     start_loading(files, target, scratch_path(spark, "stream-checkpoint"), run_id=RUN.run_id).awaitTermination()
     return spark.read.parquet(target).select("METER_ID", "DATA_TIME", "IMPORT_ACTIVE_POWER", "QUARTER")
 
 
-def whole_run(spark, folder, model="violators"):
-    """CSV files to clean Parquet to fact table to models; the violators at the end."""
-    places = Places(scratch_path(spark, "run"))
+def _load(spark, places, run, rows):
     raw = scratch_path(spark, "raw")
-    rows = raw_readings(spark, folder).select(
+    text = rows.select(
         F.col("meter_id").alias("METER_ID"),
         F.date_format("data_time", "yyyy-MM-dd HH:mm:ss").alias("DATA_TIME"),
         F.col("import_active_power").alias("IMPORT_ACTIVE_POWER"),
     )
-    rows.write.option("header", True).csv(raw)
-    files_to_clean(spark, raw, places, RUN)
-    clean_to_readings(spark, places, RUN)
+    text.write.option("header", True).csv(raw)
+    files_to_clean(spark, raw, places, run)
+    clean_to_readings(spark, places, run)
+
+
+def whole_run(spark, folder, model="violators"):
+    """CSV files to clean Parquet to fact table to models; the violators at the end."""
+    places = Places(scratch_path(spark, "run"))
+    _load(spark, places, RUN, raw_readings(spark, folder))
     return readings_to_models(spark, places, RUN, schedule_rows(spark, folder), site_rows(spark, folder), SPEC)[model]
 
 
+def whole_run_twice(spark, folder):
+    """Two loads by date with a model run after each: consumption as the second, incremental run leaves it."""
+    places, rows = Places(scratch_path(spark, "run")), raw_readings(spark, folder)
+    inputs = schedule_rows(spark, folder), site_rows(spark, folder)
+    _load(spark, places, RUN, _before(rows, LAST_DAY))
+    readings_to_models(spark, places, RUN, *inputs, SPEC)
+    second = Run("run_2", datetime(2024, 2, 2))
+    _load(spark, places, second, _from(rows, LAST_DAY))
+    return readings_to_models(spark, places, second, *inputs, SPEC)["consumption_analysis"]
+
+
 QUERIES = {
     # staging: W1 P6 P7 P8 A7 A8 J11 F1-F12 F14-F17
     "stage_readings": staged,
@@ -528,6 +592,7 @@ QUERIES = {
     "top_complete": lambda s, d: reports.top_complete(usage(s, d)),
     # incremental: K1-K5 J7 J8 J10 A15 ST3
     "insert_if_absent": insert_if_absent_query,
+    "insert_if_absent_hash": insert_if_absent_hash,
     "upsert_by_key": upsert_by_key,
     "changed_meters": changed_meters_query,
     "readings_of_changed_meters": readings_of_changed,
@@ -547,5 +612,7 @@ QUERIES = {
     "csv_harmonised": csv_harmonised,
     "header_mapping": header_mapping,
     "stream_ingest": stream_ingest,
+    "file_stats_run": file_stats_run,
     "whole_run": whole_run,
+    "whole_run_twice": whole_run_twice,
 }

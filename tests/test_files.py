@@ -15,7 +15,7 @@ from wattline.sources.delimited import (
     sniff_headers,
 )
 from wattline.sources.reference import load_reference, normal_header, read_schedule, read_sites
-from wattline.sources.runlog import read_stats
+from wattline.sources.runlog import read_stats, take_over
 from wattline.sources.tables import EmptyOutput
 from wattline.spec import HEADER_ALIASES, READING_COLUMNS, ModelSpec, QualitySpec
 from wattline.streaming.arrivals import arriving_files, load_files, start_loading
@@ -46,11 +46,11 @@ def test_separators_and_headers(spark, tmp_path):
     got = {r.source_filename: (r.separator, r.headers) for r in sniff_headers(list_files(spark, str(tmp_path))).collect()}
     assert set(got) == {f"{n}.csv" for n in ("comma", "semi", "tab", "pipe", "tie", "none", "bom", "blank", "long")}
     assert got["comma.csv"] == (",", ["a", "b", "c"])
-    assert got["semi.csv"] == (";", ["x", "y, z", "w"])
+    assert got["semi.csv"] == (";", ["x", "y, z", "w", ""])
     assert got["tab.csv"] == ("\t", ["a", "b"])
     assert got["pipe.csv"] == ("|", ["a", "b", "c"])
     assert got["tie.csv"][0] == "," and got["none.csv"] == (",", ["abc"])
-    assert got["bom.csv"] == (",", ["a", "b"]) and got["blank.csv"] == (",", [])
+    assert got["bom.csv"] == (",", ["a", "b"]) and got["blank.csv"] == (",", [""])
     assert len(got["long.csv"][1]) == 9000
 
 
@@ -113,7 +113,7 @@ def test_read_readings(spark, tmp_path):
     assert (rows["8"].DATA_TIME, rows["8"].IMPORT_ACTIVE_POWER, rows["8"].QUARTER) == (None, None, None)
     assert (rows["9"].DATA_TIME, rows["9"].IMPORT_ACTIVE_POWER) == (datetime(2025, 8, 2), None)
     assert (rows["1"].EXPORT_ACTIVE_POWER, rows["1"].STATUS, rows["7"].STATUS) == (2.5, "ok", None)
-    counts = {r.source_filename: r.rows_input for r in count_rows(read_layouts(spark, mapped)).collect()}
+    counts = {r.path.rsplit("/", 1)[1]: r.rows_input for r in count_rows(read_layouts(spark, mapped)).collect()}
     assert counts == {"a.csv": 3, "full.csv": 1}
     plain, _ = read_readings(spark, list_files(spark, str(tmp_path)), with_hash=False)
     assert "ROW_HASH" not in plain.columns
@@ -137,6 +137,118 @@ def test_rejects_and_resolver(spark, tmp_path):
     assert sorted((r.METER_ID, r.IMPORT_ACTIVE_POWER) for r in resolved.collect()) == [("1", 5.0), ("2", 6.0)]
 
 
+def test_columns_are_read_from_their_true_place(spark, tmp_path):
+    put(tmp_path, "index.csv", ",METER_ID,DATA_TIME,IMPORT_ACTIVE_POWER", "0,7,2025-01-01,5")
+    put(tmp_path, "inner.csv", "METER_ID;;DATA_TIME;IMPORT_ACTIVE_POWER", "7;9;2025-01-01;5")
+    put(tmp_path, "quoted.csv", '"note, free",METER_ID,DATA_TIME,IMPORT_ACTIVE_POWER', '"a, b",7,2025-01-01,5')
+    put(tmp_path, "end.csv", "METER_ID,DATA_TIME,IMPORT_ACTIVE_POWER,", "7,2025-01-01,5,")
+    put(tmp_path, "full.csv", ",".join(READING_COLUMNS) + ",", ",".join({"METER_ID": "7", "DATA_TIME": "2025-01-01", "IMPORT_ACTIVE_POWER": "5"}.get(c, "1") for c in READING_COLUMNS) + ",")
+    clean, mapped = read_readings(spark, list_files(spark, str(tmp_path)))
+    rows = clean.collect()
+    assert len(rows) == 5 and all((r.METER_ID, r.DATA_TIME, r.IMPORT_ACTIVE_POWER) == ("7", datetime(2025, 1, 1), 5.0) for r in rows)
+    assert {r.source_filename: r.kind for r in mapped.collect()}["full.csv"] == "full"
+
+
+ODD_NAMES = ["a b.csv", "a#b.csv", "a%20b.csv", "a[1].csv", "a{1}.csv", "a+b.csv", "é.csv"]
+
+
+def test_odd_file_names(spark, tmp_path):
+    for i, name in enumerate(ODD_NAMES):
+        put(tmp_path / "raw", name, "METER,TIME,ACTIVE_POWER", *[f"{i},2025-01-0{d + 1},5" for d in range(i + 1)])
+    places = Places(str(tmp_path / "root"))
+    assert files_to_clean(spark, str(tmp_path / "raw"), places, RUN1) == sum(range(1, len(ODD_NAMES) + 1))
+    recorded = {r.source_filename: (r.status, r.rows_input, r.rows_output) for r in take_over(spark, places.handed_over(RUN1)).collect()}
+    assert recorded == {name: ("success", i + 1, i + 1) for i, name in enumerate(ODD_NAMES)}
+
+
+def test_equal_names_in_different_folders(spark, tmp_path):
+    put(tmp_path / "raw" / "x", "f.csv", "METER,TIME,ACTIVE_POWER", "1,2025-01-01,5")
+    put(tmp_path / "raw" / "y", "f.csv", "METER;TIME;ACTIVE_POWER", "2;2025-01-01;5", "2;2025-01-02;5")
+    places = Places(str(tmp_path / "root"))
+    files_to_clean(spark, str(tmp_path / "raw"), places, RUN1, recursive=True)
+    assert sorted((r.source_filename, r.rows_input) for r in take_over(spark, places.handed_over(RUN1)).collect()) == [("f.csv", 1), ("f.csv", 2)]
+
+
+def test_files_without_a_line_end(spark, tmp_path):
+    (tmp_path / "binary.csv").write_bytes(b"x" * 600_000)
+    put(tmp_path, "cr.csv", "METER,TIME,ACTIVE_POWER", "1,2025-01-01,5", end="\r")
+    files = list_files(spark, str(tmp_path))
+    with pytest.raises(UnmappableFiles, match="binary.csv: no line end"):
+        read_readings(spark, files)
+    clean, mapped = read_readings(spark, files, on_reject="skip")
+    assert [(r.METER_ID, r.IMPORT_ACTIVE_POWER) for r in clean.collect()] == [("1", 5.0)]
+    assert "no line end" in mapped.where("kind = 'reject'").first().problem
+
+
+def test_repeated_steps_change_nothing(spark, tmp_path):
+    raw, places = tmp_path / "raw", Places(str(tmp_path / "root"))
+    put(raw, "one.csv", "METER_ID,DATA_TIME,IMPORT_ACTIVE_POWER", *rows_for(1), "9,bad,1", ",2024-01-01,2")
+    put(raw, "odd.csv", "Serial,When", "1,2")
+    for _ in range(2):
+        assert files_to_clean(spark, str(raw), places, RUN1, on_reject="skip") == 6
+    assert clean_to_readings(spark, places, RUN1).rows_inserted == 6
+    assert clean_to_readings(spark, places, RUN1).rows_inserted == 0
+    etl = read_stats(spark, places.stats).where("stage_name = 'etl'").collect()
+    assert sorted((r.source_filename, r.status, r.rows_input, r.error_message) for r in etl) == [
+        ("odd.csv", "failed", 0, "no column for METER_ID, DATA_TIME, IMPORT_ACTIVE_POWER"),
+        ("one.csv", "success", 6, None),
+    ]
+    natural = Places(str(tmp_path / "natural"))
+    files_to_clean(spark, str(raw), natural, RUN1, on_reject="skip")
+    for inserted in (6, 0, 0):  # nulls in the key are known after the first load
+        assert clean_to_readings(spark, natural, RUN1, ["METER_ID", "DATA_TIME"]).rows_inserted == inserted
+
+
+def test_failed_rebuild_loses_nothing(spark, tmp_path, monkeypatch):
+    from wattline.operators.loading import insert_if_absent
+    from wattline.plans import refresh
+    from wattline.spec import OutlierSpec
+
+    places = Places(str(tmp_path / "root"))
+    schema = "ROW_HASH long, METER_ID string, DATA_TIME timestamp_ntz, IMPORT_ACTIVE_POWER double"
+    rows = [(i, "a", datetime(2024, 1, 1 + i % 3, i % 24), float(i)) for i in range(50)]
+    insert_if_absent(spark, spark.createDataFrame(rows, schema), places.readings)
+    fact = spark.read.parquet(places.readings)
+    staged = sorted(map(str, refresh.refresh_staged(spark, fact, places).collect()))
+
+    def fails(df, path, *args, **kwargs):
+        from wattline.sources.tables import delete_path
+
+        delete_path(spark, path)
+        raise OSError("no space")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh, "write_by_day", fails)
+        with pytest.raises(OSError):
+            refresh.refresh_staged(spark, fact, places, full_refresh=True)
+    assert sorted(map(str, refresh.refresh_staged(spark, fact, places).collect())) == staged
+
+    # a day corrected with as many rows is staged again, and other bounds stage everything again
+    corrected = [(i, m, t, p + 0.5) for i, m, t, p in rows if t.day == 2]
+    day = spark.createDataFrame(corrected, schema).withColumn("reading_date", F.to_date("DATA_TIME"))
+    day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("reading_date").parquet(places.readings)
+    spark.catalog.refreshByPath(places.readings)
+    fact = spark.read.parquet(places.readings)
+    got = refresh.refresh_staged(spark, fact, places)
+    highest = {t: max(p for _, _, u, p in corrected if u == t) for _, _, t, _ in corrected}
+    assert got.where("day(reading_date) = 2").agg(F.sum("active_power_watts")).first()[0] == sum(highest.values())
+    narrow = refresh.refresh_staged(spark, fact, places, OutlierSpec(low=0, high=10))
+    assert narrow.agg(F.max("active_power_watts")).first()[0] <= 10
+
+
+def test_two_years_of_schedule_are_refused(spark, tmp_path, reference):
+    from wattline.operators.checks import CheckFailed
+
+    raw, places = tmp_path / "raw", Places(str(tmp_path / "root"))
+    put(raw, "one.csv", "METER_ID,DATA_TIME,IMPORT_ACTIVE_POWER", *rows_for(1))
+    files_to_clean(spark, str(raw), places, RUN1)
+    clean_to_readings(spark, places, RUN1)
+    times, sites = reference
+    twice = times.unionByName(times.withColumn("Date", F.regexp_replace("Date", "2023", "2024")))
+    with pytest.raises(CheckFailed, match="schedule days repeat"):
+        readings_to_models(spark, places, RUN1, twice, sites, SPEC)
+
+
 def test_files_of_one_layout_are_one_scan(spark, tmp_path):
     for i in range(5):
         put(tmp_path, f"f{i}.csv", "METER,TIME,ACTIVE_POWER", f"{i},2025-01-01,5")
@@ -278,7 +390,7 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     assert run().count() == 8
     assert run().count() == 8
     logged = sorted((r.source_filename, r.rows_output, r.rows_filtered) for r in read_stats(spark, log).collect())
-    assert logged[0] == ("batch_0", 4, 0) and logged[1][1:] == (4, 4) and len(logged) == 2
+    assert logged[0] == ("batch_0", 4, 4) and logged[1][1:] == (4, 4) and len(logged) == 2
 
 
 def test_repeated_batch_adds_nothing(spark, tmp_path):
@@ -289,11 +401,30 @@ def test_repeated_batch_adds_nothing(spark, tmp_path):
 
 
 def test_stream_equals_batch(spark, tmp_path):
+    """One file per batch, against the batch steps over all files; undated and id-less rows included."""
+    from wattline.operators.staging import stage_readings
+
+    places, calls = Places(str(tmp_path / "root")), []
+    for day in (1, 2, 3):
+        odd = ["9,bad,1", "9,bad,2", ",2024-01-05,3"] if day == 1 else []
+        put(tmp_path / "raw", f"{day}.csv", "METER_ID,DATA_TIME,IMPORT_ACTIVE_POWER", *rows_for(day), *odd)
+    files = arriving_files(spark, str(tmp_path / "raw"), max_files_per_batch=1)
+    start_loading(files, str(tmp_path / "s"), str(tmp_path / "c"), run_id="s", recompute=calls.append).awaitTermination()
+    files_to_clean(spark, str(tmp_path / "raw"), places, RUN1)
+    clean_to_readings(spark, places, RUN1)
+    columns = ["METER_ID", "DATA_TIME", "IMPORT_ACTIVE_POWER", "ROW_HASH"]
+    one, two = (spark.read.parquet(p).select(columns) for p in (str(tmp_path / "s"), places.readings))
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and one.count() == 15 and len(calls) == 3
+    assert stage_readings(one).exceptAll(stage_readings(two)).isEmpty()
+
+
+def test_stream_keeps_one_copy_and_counts_the_others(spark, tmp_path):
     for day in (1, 2, 3):
         put(tmp_path / "raw", f"{day}.csv", "METER_ID,DATA_TIME,IMPORT_ACTIVE_POWER", *rows_for(day), *rows_for(1))
     files = arriving_files(spark, str(tmp_path / "raw"), max_files_per_batch=1)
     start_loading(files, str(tmp_path / "s"), str(tmp_path / "c"), run_id="s").awaitTermination()
-    load_files(list_files(spark, str(tmp_path / "raw")), str(tmp_path / "b"))
+    counts = load_files(list_files(spark, str(tmp_path / "raw")), str(tmp_path / "b"))
+    assert (counts.rows_input, counts.rows_inserted) == (24, 12)
     columns = ["METER_ID", "DATA_TIME", "IMPORT_ACTIVE_POWER", "ROW_HASH"]
     one, two = (spark.read.parquet(str(tmp_path / n)).select(columns) for n in "sb")
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and one.count() == 12

@@ -63,6 +63,9 @@ def test_half_up(spark):
     )
     assert got[:5] == [2.675, 1.001, -1.001, 0.0, None]
     assert math.isnan(got[5]) and got[6] == 1e17
+    ties = [(2.675,), (1.005,), (0.285,), (-1.005,), (0.125,), (1.0049,)]
+    assert values(spark, ties, "x double", half_up(F.col("x"), 2)) == [2.68, 1.01, 0.29, -1.01, 0.13, 1.0]
+    assert values(spark, [(32.0425,)], "x double", half_up(F.col("x"), 3)) == [32.043]
 
 
 def test_ids(spark):

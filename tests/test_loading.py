@@ -43,6 +43,18 @@ def test_insert_if_absent(spark, tmp_path):
     assert undated.rows_inserted == 0
 
 
+def test_nulls_in_a_natural_key_are_equal(spark, tmp_path):
+    path, keys = str(tmp_path / "target"), ["METER_ID", "DATA_TIME"]
+    rows = batch(spark, (1, "a", T1, 1.0), (2, None, T1, 2.0), (3, "a", None, 3.0))
+    assert [insert_if_absent(spark, rows, path, keys).rows_inserted for _ in range(3)] == [3, 0, 0]
+
+
+def test_equal_hashes_of_different_days_are_different(spark, tmp_path):
+    path = str(tmp_path / "target")
+    insert_if_absent(spark, batch(spark, (1, "a", T1, 1.0)), path)
+    assert insert_if_absent(spark, batch(spark, (1, "b", T2, 1.0)), path).rows_inserted == 1
+
+
 def test_insert_without_key_appends(spark, tmp_path):
     path = str(tmp_path / "target")
     rows = batch(spark, (1, "a", T1, 1.0)).drop("ROW_HASH")
@@ -122,8 +134,8 @@ def test_changed_meters(spark):
     ).withColumn("reading_at", F.col("reading_date").cast("timestamp_ntz"))
     done = spark.createDataFrame([("a", date(2024, 1, 3)), ("b", date(2024, 1, 2))], "meter_id string, max_reading_date date")
     assert [r.meter_id for r in changed_meters(readings, done).collect()] == ["a"]
-    for bound in (0, 100):
-        assert readings_of_changed_meters(readings, done, max_broadcast_rows=bound).count() == 2
+    for bound in (0, 10_000):
+        assert readings_of_changed_meters(readings, done, max_broadcast_bytes=bound).count() == 2
     assert high_water_mark(done.where("false")).first()[0] == date(1900, 1, 1)
     assert changed_meters(readings, done.where("false")).count() == 3
 

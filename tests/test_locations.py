@@ -79,6 +79,6 @@ def test_salted_join_equals_broadcast_join(spark, how):
     facts = spark.range(2000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     right = facts.where("id % 2 = 0").select("k").distinct().withColumn("v", F.length("k"))
     small = join_per_key(facts, right, ["k"], how, F.col("id"))
-    large = join_per_key(facts, right, ["k"], how, F.col("id"), max_broadcast_rows=0)
+    large = join_per_key(facts, right, ["k"], how, F.col("id"), max_broadcast_bytes=0)
     assert small.columns == large.columns
     assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.collect()), key=str)

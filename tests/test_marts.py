@@ -72,16 +72,16 @@ def test_wrapped_periods(spark):
     assert not any(r.m for r in flags) and all(r.e for r in flags)
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_calendar_join(spark, max_rows):
+@pytest.mark.parametrize("max_bytes", [0, 100_000])
+def test_calendar_join(spark, max_bytes):
     """Any year matches by month and day; 29 February needs a leap calendar; two years repeat rows."""
     rows = [("a", datetime(2024, 2, 28, 1), 1.0), ("a", datetime(2024, 2, 29, 1), 1.0), ("lost", datetime(2024, 2, 28, 1), 1.0)]
     common = calendar(spark, [date(2023, 2, 28)])
-    got = attach_periods(readings(spark, rows), places(spark, "a"), common, max_broadcast_rows=max_rows)
+    got = attach_periods(readings(spark, rows), places(spark, "a"), common, max_broadcast_bytes=max_bytes)
     assert sorted((r.meter_id, r.reading_date.day, r.fajr_time) for r in got.collect() if r.fajr_time) == [("a", 28, 16800)]
     assert got.count() == 3
     two_years = common.unionByName(calendar(spark, [date(2022, 2, 28)]))
-    assert attach_periods(readings(spark, rows), places(spark, "a"), two_years, max_broadcast_rows=max_rows).count() == 4
+    assert attach_periods(readings(spark, rows), places(spark, "a"), two_years, max_broadcast_bytes=max_bytes).count() == 4
     assert [tuple(r) for r in schedule_repeats(two_years).collect()] == [("x", 2, 28, 2)] and schedule_repeats(common).isEmpty()
 
 

@@ -77,8 +77,20 @@ def test_nearest_has_no_cross_join(places, inline):
 def test_salted_join_spreads_a_meter(clean, places):
     sites, schedule = places
     located = written(nearest_location(sites, schedule), "located")
-    text = plan(attach_periods(stage_readings(clean), located, schedule, max_broadcast_rows=0))
-    assert "_salt" in text and "hashpartitioning(meter_id" in text
+    text = plan(attach_periods(stage_readings(clean), located, schedule, max_broadcast_bytes=0))
+    assert "BroadcastHashJoin" not in text
+    joined = [line for line in text.splitlines() if "SortMergeJoin" in line]
+    assert len(joined) == 2 and all("_salt" in line for line in joined)
+
+
+def test_only_a_small_right_side_is_broadcast(clean):
+    from wattline.operators.joins import join_per_key, row_bytes
+
+    right = clean.groupBy("METER_ID").agg(F.max("IMPORT_ACTIVE_POWER").alias("most"))
+    assert row_bytes(right) == 112
+    small = plan(join_per_key(clean, right, ["METER_ID"], "left", F.col("DATA_TIME"), rows=10))
+    large = plan(join_per_key(clean, right, ["METER_ID"], "left", F.col("DATA_TIME"), rows=10_000_000))
+    assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large
 
 
 @pytest.mark.parametrize("model", [meter_quality, daily_usage])

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.operators.joins import MAX_BROADCAST_ROWS, join_per_key
+from wattline.operators.joins import MAX_BROADCAST_BYTES, join_per_key
 from wattline.sources.scratch import written
 from wattline.sources.tables import EmptyOutput, VersionedTable, has_data, write_by_day
 
@@ -29,15 +30,17 @@ class LoadCounts:
 
 
 def absent_rows(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of the batch whose key the target lacks; copies inside the batch stay."""
-    return batch.join(target.select(*keys), keys, "left_anti")
+    """Rows of the batch whose key the target lacks; copies inside the batch stay. Nulls in a key are equal."""
+    known = target.select(*[F.col(k).alias(f"_known_{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_known_{i}")) for i, k in enumerate(keys)]
+    return batch.join(known, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def _same_days(target: DataFrame, batch: DataFrame) -> DataFrame:
     """The part of a day-partitioned target that can hold keys of the batch.
 
-    A key fixes its time and so its day; the day list prunes folders at planning time. Batches over
-    very many days fall back to their range of days. Both only leave out days the batch lacks.
+    Only rows of one day are compared (see ``insert_if_absent``); this spares the scan the folders of other days
+    at planning time, by a list of days or, for batches over very many, by their range.
     """
     days = batch.select(DAY).distinct().limit(MAX_DAY_LIST + 1).collect()
     known = [row[0] for row in days if row[0] is not None]
@@ -61,7 +64,8 @@ def insert_if_absent(
     Existing rows are never changed. Copies inside one batch are kept, as is everything on the
     first load and everything in a batch without the key columns. Only the target's folders for
     the batch's days are read; their keys are made distinct before the join (copies collapse
-    before the shuffle), and a key with very many batch rows is left to the runtime skew split.
+    before the shuffle), and a key with very many batch rows is left to the runtime skew split. Keys are
+    compared within one day, nulls being equal: chance matches of hashes across days cannot lose a reading.
     The inserted rows are counted in the stage that writes, where a retried task counts once.
     """
     keys = ["ROW_HASH"] if keys is None else keys
@@ -73,8 +77,9 @@ def insert_if_absent(
     if len(cluster_by) < len(keys):
         log.warning("key columns %s are not in the batch: appending all rows to %s", keys, path)
     elif has_data(spark, path):
-        target = spark.read.schema(rows.select(*keys, DAY).schema).parquet(path)
-        fresh = absent_rows(rows, _same_days(target, rows).select(*keys).distinct(), keys)
+        both = [DAY, *[k for k in keys if k != DAY]]
+        target = spark.read.schema(rows.select(*both).schema).parquet(path)
+        fresh = absent_rows(rows, _same_days(target, rows).select(*both).distinct(), both)
     inserted = write_by_day(fresh, path, DAY, cluster_by)
     return LoadCounts(rows_input, inserted)
 
@@ -89,10 +94,11 @@ def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def upsert(table: VersionedTable, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Apply ``upserted`` to a table; the first run is a full build."""
+    """Apply ``upserted`` to a table; the first run is a full build. The new rows are computed once: they are
+    written before their keys are held against the old ones."""
     if not table.exists():
         return table.replace(new)
-    return table.replace(upserted(table.read(), new, keys))
+    return table.replace(upserted(table.read(), written(new, "upsert"), keys))
 
 
 def high_water_mark(result: DataFrame) -> DataFrame:
@@ -112,7 +118,7 @@ def changed_meters(readings: DataFrame, result: DataFrame) -> DataFrame:
 
 
 def readings_of_changed_meters(
-    readings: DataFrame, result: DataFrame, *, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    readings: DataFrame, result: DataFrame, *, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """All readings, old and new, of the changed meters. The meter list is written once: it is
     counted to choose the join, then joined."""
@@ -122,7 +128,7 @@ def readings_of_changed_meters(
         ["meter_id"],
         "left_semi",
         F.col("reading_at"),
-        max_broadcast_rows=max_broadcast_rows,
+        max_broadcast_bytes=max_broadcast_bytes,
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions import add_minutes
-from wattline.operators.joins import MAX_BROADCAST_ROWS, join_per_key
+from wattline.operators.joins import MAX_BROADCAST_BYTES, join_per_key
 from wattline.spec import PRESET, PeriodSpec
 
 
@@ -35,7 +35,7 @@ def attach_periods(
     *,
     location_rows: int | None = None,
     schedule_rows: int | None = None,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Left-join each reading with the periods of its meter's location on that calendar day.
 
@@ -51,7 +51,7 @@ def attach_periods(
         "left",
         F.col("reading_at"),
         rows=location_rows,
-        max_broadcast_rows=max_broadcast_rows,
+        max_broadcast_bytes=max_broadcast_bytes,
     )
     dated = located.withColumns({"_month": F.month("reading_date"), "_day": F.dayofmonth("reading_date")})
     joined = join_per_key(
@@ -61,7 +61,7 @@ def attach_periods(
         "left",
         F.col("meter_id"),
         rows=schedule_rows,
-        max_broadcast_rows=max_broadcast_rows,
+        max_broadcast_bytes=max_broadcast_bytes,
     )
     return joined.select(
         "meter_id",

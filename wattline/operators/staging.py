@@ -46,11 +46,16 @@ def _has_key() -> Column:
     return F.col("meter_id").isNotNull() & F.col("reading_at").isNotNull()
 
 
-def _staged(chosen: DataFrame, spec: OutlierSpec) -> DataFrame:
+def _inside(spec: OutlierSpec) -> Column:
+    watts = F.col("watts")
+    return F.when((watts >= spec.low) & (watts <= spec.high), watts)
+
+
+def _staged(chosen: DataFrame) -> DataFrame:
     return chosen.select(
         "meter_id",
         "reading_at",
-        mask_outliers(F.col("watts"), spec).alias("active_power_watts"),
+        half_up(F.col("watts"), 3).alias("active_power_watts"),
         F.to_date("reading_at").alias("reading_date"),
         second_of_day(F.col("reading_at")).alias("reading_time"),
         quarter_label(F.col("reading_at")).alias("quarter"),
@@ -60,12 +65,13 @@ def _staged(chosen: DataFrame, spec: OutlierSpec) -> DataFrame:
 def stage_keyed(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFrame:
     """The staged rows that have meter and time.
 
-    Of several rows with one key the one with the highest power is kept, nulls last. Every other
-    staged column is a function of the key, so that row is just the maximum of the power: a hash
-    aggregate that already collapses copies before the shuffle, with no sort and no window.
+    Of several rows with one key the one with the highest power inside the bounds is kept: a copy that is
+    out of bounds (or NaN) never displaces a good one. Every other staged column is a function of the key, so that
+    row is just the maximum of the power: a hash aggregate that already collapses copies before the
+    shuffle, with no sort and no window.
     """
-    keyed = _raw(clean).where(_has_key()).groupBy("meter_id", "reading_at").agg(F.max("watts").alias("watts"))
-    return _staged(keyed, spec)
+    keyed = _raw(clean).where(_has_key()).groupBy("meter_id", "reading_at").agg(F.max(_inside(spec)).alias("watts"))
+    return _staged(keyed)
 
 
 def stage_unkeyed(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFrame:
@@ -78,8 +84,9 @@ def stage_unkeyed(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> Data
         "reading_at",
         "watts",
     )
-    one = _raw(clean).where(~_has_key()).agg(F.min(first).alias("row")).where("row is not null")
-    return _staged(one.select("row.meter_id", "row.reading_at", "row.watts"), spec)
+    bounded = _raw(clean).where(~_has_key()).withColumn("watts", _inside(spec))
+    one = bounded.agg(F.min(first).alias("row")).where("row is not null")
+    return _staged(one.select("row.meter_id", "row.reading_at", "row.watts"))
 
 
 def stage_readings(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFrame:

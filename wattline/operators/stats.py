@@ -102,13 +102,14 @@ def file_stats(
 ) -> DataFrame:
     """One row per input file: counts of what was written beside what was read.
 
-    ``clean`` carries ``source_filename``; ``inputs`` has source_filename, file_size_bytes and
-    rows_input. Without rows_input the rows written stand in for it, which is exact where nothing
-    between scan and write drops rows. A missing meter id counts as one distinct value. Files
-    without any written row are reported as failed.
+    ``clean`` carries ``source_filename``; ``inputs`` has the same name under ``path`` (else ``source_filename``),
+    file_size_bytes, rows_input (null: the file was not read) and, where a file was turned away, its ``problem``.
+    The rows show base names. A missing meter id counts as one distinct value. Files without any written
+    row are reported as failed, with their problem.
     """
     watts, at = F.col("IMPORT_ACTIVE_POWER"), F.col("DATA_TIME")
-    profile = clean.groupBy("source_filename").agg(
+    key = "path" if "path" in inputs.columns else "source_filename"
+    profile = clean.groupBy(F.col("source_filename").alias(key)).agg(
         F.count("*").alias("rows_output"),
         (F.countDistinct("METER_ID") + F.max(F.col("METER_ID").isNull().cast("int"))).alias("unique_meters"),
         F.to_date(F.min(at)).alias("min_reading_date"),
@@ -116,21 +117,21 @@ def file_stats(
         F.count_if(watts.isNull()).alias("rows_with_null_power"),
         F.count_if(watts == 0).alias("rows_with_zero_power"),
     )
-    joined = inputs.join(profile, "source_filename", "left")
-    if "rows_input" not in inputs.columns:
-        joined = joined.withColumn("rows_input", F.coalesce("rows_output", F.lit(0)))
+    joined = inputs.join(profile, key, "left").withColumn("rows_input", F.coalesce("rows_input", F.lit(0)))
+    nothing = F.lit("no rows written")
+    problem = F.coalesce("problem", nothing) if "problem" in inputs.columns else nothing
     failed = F.col("rows_output").isNull()
     lost = F.col("rows_input") - F.col("rows_output")
     return as_stats(
         joined.withColumns(
             {
                 **_run(run_id, run_timestamp, "etl"),
-                "source_filename": F.col("source_filename"),
+                "source_filename": F.element_at(F.split(key, "/"), -1),
                 "rows_filtered": F.when(~failed, F.when(F.col("rows_input") > 0, lost).otherwise(0)),
                 "filter_reason": F.when(lost > 0, "date_parse_failures"),
                 "processing_seconds": F.lit(seconds),
                 "status": F.when(failed, "failed").otherwise("success"),
-                "error_message": F.when(failed, "no rows written"),
+                "error_message": F.when(failed, F.substring(problem, 1, 500)),
             }
         )
     )

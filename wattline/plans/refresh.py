@@ -13,12 +13,12 @@ from wattline.operators import checks, reports, stats
 from wattline.operators.consumption import consumption, daily_usage
 from wattline.operators.loading import DAY, LoadCounts, insert_if_absent, new_pairs, readings_of_changed_meters, upsert
 from wattline.operators.nearest import nearest_location
-from wattline.operators.periods import attach_periods
+from wattline.operators.periods import attach_periods, schedule_repeats
 from wattline.operators.quality import meter_quality
 from wattline.operators.staging import exclude_dates, stage_keyed, stage_schedule, stage_sites, stage_unkeyed
 from wattline.operators.violations import regional_consumption, regional_violators, violators
-from wattline.sources.delimited import Resolver, list_files, read_readings
-from wattline.sources.runlog import append_records, append_stats, hand_over, read_stats, take_over
+from wattline.sources.delimited import Resolver, count_rows, list_files, read_layouts, read_readings
+from wattline.sources.runlog import append_new_stats, append_records, append_stats, hand_over, read_stats, take_over
 from wattline.sources.scratch import scratch_area, written
 from wattline.sources.tables import (
     EmptyOutput,
@@ -71,34 +71,39 @@ def files_to_clean(
     *,
     resolver: Resolver | None = None,
     on_reject: str = "fail",
+    recursive: bool = False,
+    pattern: str = "*.csv",
     with_hash: bool = True,
     compression: str = "snappy",
     row_group_bytes: int | None = None,
 ) -> int:
-    """All CSV files of a folder to clean Parquet by quarter, in one job; returns rows written.
+    """All CSV files of a folder (by default those named so) to clean Parquet by quarter, in one job; returns rows written.
 
     No file is a clean no-op. A run that reads files but writes nothing removes its output and
-    fails. Nothing between the scan and the write drops a row, so the rows written per file are
-    also the rows read.
+    fails. A repeated run writes its folder anew. The rows of each file are counted by a scan of their own, without
+    parsing values; with ``on_reject="skip"`` the files turned away appear in the statistics with their problem.
     """
     started = monotonic()
-    files = list_files(spark, raw_folder)
+    files = list_files(spark, raw_folder, pattern, recursive)
     if files.isEmpty():
         return 0
     with scratch_area(spark):
-        clean, _ = read_readings(spark, files, resolver=resolver, on_reject=on_reject, with_hash=with_hash)
+        clean, mapped = read_readings(spark, files, resolver=resolver, on_reject=on_reject, with_hash=with_hash)
+        mapped = written(mapped, "mapped")
         write_quarters(clean, places.clean(run), compression, row_group_bytes)
-    if not has_data(spark, places.clean(run)):
-        delete_path(spark, places.clean(run))
-        raise EmptyOutput(f"no rows written from {raw_folder}")
-    back = read_parquet_tree(spark, places.clean(run))
-    rows = stats.file_stats(back, files, run.run_id, run.run_timestamp, monotonic() - started)
-    hand_over(rows, places.handed_over(run))
+        if not has_data(spark, places.clean(run)):
+            delete_path(spark, places.clean(run))
+            raise EmptyOutput(f"no rows written from {raw_folder}")
+        back = read_parquet_tree(spark, places.clean(run))
+        inputs = files.join(mapped.select("path", "problem"), "path", "left").join(count_rows(read_layouts(spark, mapped)), "path", "left")
+        rows = stats.file_stats(back, inputs, run.run_id, run.run_timestamp, monotonic() - started)
+        hand_over(rows, places.handed_over(run))
     return take_over(spark, places.handed_over(run)).agg(F.sum("rows_output")).first()[0]
 
 
-def clean_to_readings(spark: SparkSession, places: Places, run: Run) -> LoadCounts:
-    """Add this run's clean rows to the fact table unless their key is there; record statistics."""
+def clean_to_readings(spark: SparkSession, places: Places, run: Run, keys: list[str] | None = None) -> LoadCounts:
+    """Add this run's clean rows to the fact table unless their key (the row hash, or ``keys``) is there; record
+    statistics."""
     started = monotonic()
     record = {
         "run_id": run.run_id,
@@ -106,10 +111,10 @@ def clean_to_readings(spark: SparkSession, places: Places, run: Run) -> LoadCoun
         "source_filename": "all_files",
         "stage_name": "upload",
     }
-    append_stats(take_over(spark, places.handed_over(run)), places.stats)
+    append_new_stats(take_over(spark, places.handed_over(run)), places.stats)
     try:
         batch = read_parquet_tree(spark, places.clean(run)).drop("quarter_folder")
-        counts = insert_if_absent(spark, batch, places.readings)
+        counts = insert_if_absent(spark, batch, places.readings, keys)
     except Exception as error:
         failure = {"status": "failed", "error_message": str(error), "processing_seconds": monotonic() - started}
         append_records(spark, [{**record, **failure}], places.stats)
@@ -126,23 +131,36 @@ def clean_to_readings(spark: SparkSession, places: Places, run: Run) -> LoadCoun
     return counts
 
 
+def _day_marks(fact: DataFrame, spec: OutlierSpec) -> DataFrame:
+    """Per day a hash of the set of its files, from file names alone, beside the bounds it is staged with."""
+    files = fact.select(DAY, "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    one = F.xxhash64("file_path", "file_size", F.col("file_modification_time").cast("string"))
+    return files.groupBy(DAY).agg(F.hash(F.sort_array(F.collect_list(one))).alias("files"), F.count("*").alias("n_files")).withColumns(
+        {"low": F.lit(float(spec.low)), "high": F.lit(float(spec.high))}
+    )
+
+
 def refresh_staged(
     spark: SparkSession, fact: DataFrame, places: Places, spec: OutlierSpec = PRESET.outliers, full_refresh: bool = False
 ) -> DataFrame:
-    """Staged readings as a table by day, where only days that got new rows are staged again.
+    """Staged readings as a table by day, where only days whose facts changed are staged again.
 
-    A reading's key contains its time, so copies never cross days, and the fact table only grows, so
-    a day has changed exactly when its number of rows has. The counts (read from file footers)
-    are recorded after the days are written: a run that fails in between stages them again. The one
-    row for readings without a full key is kept apart. Other outlier bounds need ``full_refresh``.
+    A reading's key contains its time, so copies never cross days. A day is unchanged when it consists of the same
+    files (path, size and time of writing) and was staged with the same outlier bounds; both are recorded after the
+    days are written, so a run that fails before stages them again. A full rebuild forgets the record first: if it
+    fails, the next run rebuilds everything. The one row for readings without a full key is kept apart.
     """
     path, marks = places.model("staged_readings"), VersionedTable(spark, places.model("staged_days"))
-    days = written(fact.groupBy(DAY).agg(F.count("*").alias("n_rows")), "days")
+    days = written(_day_marks(fact, spec), "days")
     todo, only_its_days = fact, False
-    if marks.exists() and not full_refresh:
-        known = marks.read().select(F.col(DAY).alias("day"), F.col("n_rows").alias("n"))
-        same = F.col(DAY).eqNullSafe(F.col("day")) & (F.col("n_rows") == F.col("n"))
-        changed = days.join(known, same, "left_anti").where(F.col(DAY).isNotNull())
+    known = marks.read() if marks.exists() and not full_refresh else None
+    if known is not None and known.where((F.col("low") == float(spec.low)) & (F.col("high") == float(spec.high))).isEmpty():
+        known = None  # staged with other bounds, or nothing staged
+    if known is None:
+        marks.clear()
+    else:
+        old = known.select(F.col(DAY).alias("day"), F.col("files").alias("known_files"))
+        changed = days.where(F.col(DAY).isNotNull()).join(old, (F.col(DAY) == F.col("day")) & (F.col("files") == F.col("known_files")), "left_anti")
         # one short row per calendar day
         listed = [row[0] for row in changed.select(DAY).collect()]
         todo, only_its_days = fact.where(F.col(DAY).isin(listed) if listed else F.lit(False)), True
@@ -186,6 +204,8 @@ def _build_models(
     staged = refresh_staged(spark, fact, places, spec.outliers, full_refresh)
     readings = exclude_dates(staged, spec.exclude)
     calendar = replace_table(stage_schedule(schedule), places.model("staged_schedule"))
+    # two schedule rows for a calendar day of a location would double its readings
+    checks.require_none(schedule_repeats(calendar), "schedule days repeat")
     site_rows = replace_table(stage_sites(sites), places.model("staged_sites"))
     locations = replace_table(nearest_location(site_rows, calendar), places.model("meter_locations"))
     quality = replace_table(meter_quality(readings, spec.quality), places.model("meter_quality"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -14,6 +15,9 @@ from wattline.sources.scratch import written
 from wattline.spec import HEADER_ALIASES, POWER_COLUMNS, READING_COLUMNS, REQUIRED_COLUMNS, SEPARATORS
 
 
+MAX_HEADER_BYTES = 1 << 19
+
+
 class UnmappableFiles(ValueError):
     """Some files' headers cannot be mapped to the required columns."""
 
@@ -26,51 +30,81 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv", recursi
 
 def file_columns(listed: DataFrame) -> DataFrame:
     """The file frame all functions here take, from a binary-file listing (batch or stream)."""
-    return listed.select(
-        "path",
-        F.element_at(F.split("path", "/"), -1).alias("source_filename"),
-        F.col("length").alias("file_size_bytes"),
-    )
+    path = one_spelling(F.col("path"))
+    return listed.select(path.alias("path"), base_name(path).alias("source_filename"), F.col("length").alias("file_size_bytes"))
+
+
+def one_spelling(path: Column) -> Column:
+    """A file's full path as the file listing spells it: local paths have one slash after the scheme."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def base_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
 
+def scanned_path() -> Column:
+    """The path of the file a row was scanned from, in the listing's spelling (scans encode odd characters)."""
+    return one_spelling(F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
 
-def sniff_headers(files: DataFrame, max_tasks: int = 1_000) -> DataFrame:
+
+def literal_path(path: str) -> str:
+    """A path for a reader, which would take these characters as patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def open_file(path: str):
+    """A stream of a file's bytes; the path is taken as it is, whatever characters it holds."""
+    from pyarrow import fs
+
+    scheme, authority, rest = re.match(r"^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(?://([^/]*))?(.*)$", path, re.S).groups()
+    if scheme in (None, "file"):
+        return fs.LocalFileSystem().open_input_stream(rest)
+    store, base = fs.FileSystem.from_uri(f"{ {'s3a': 's3', 's3n': 's3'}.get(scheme, scheme)}://{authority or ''}/")
+    return store.open_input_stream(base.rstrip("/") + rest)
+
+
+def sniff_headers(files: DataFrame, max_header_bytes: int = MAX_HEADER_BYTES) -> DataFrame:
     """Header line, separator and header names of each file.
 
-    Each task opens its share of the files and reads up to the first line end only; a Spark text
-    scan would have to read the files whole.
+    Each task opens its share of the files and reads up to the first line end (of any kind) only; a Spark text
+    scan would have to read the files whole. A file without a line end in its first ``max_header_bytes`` has no header
+    line (null) unless it ends before. Names are in file order, one per column: columns without a name are empty.
     """
 
     def first_lines(batches):
         import pyarrow as pa
-        from pyarrow import fs
-        from urllib.parse import unquote, urlparse
 
         def first_line(path):
-            parts = urlparse(path)
-            if parts.scheme in ("", "file"):
-                store, name = fs.LocalFileSystem(), unquote(parts.path)
-            else:
-                scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
-                store, name = fs.FileSystem.from_uri(path.replace(parts.scheme, scheme, 1))
             data = b""
-            with store.open_input_stream(name) as stream:
-                while b"\n" not in data:
-                    chunk = stream.read(65536)
+            with open_file(path) as stream:
+                while len(data) < max_header_bytes and not re.search(rb"[\r\n]", data):
+                    chunk = stream.read(min(65536, max_header_bytes - len(data)))
                     if not chunk:
                         break
                     data += chunk
-            return data.split(b"\n", 1)[0].decode("utf-8-sig", "replace").strip()
+                else:
+                    if not re.search(rb"[\r\n]", data):
+                        return None
+            return re.split(rb"[\r\n]", data, maxsplit=1)[0].decode("utf-8-sig", "replace").strip(" ")
 
         for batch in batches:
             lines = [first_line(path) for path in batch.column("path").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lines, pa.string())], [*batch.schema.names, "header_line"])
 
-    spread = files.repartition(max(1, min(max_tasks, files.count() // 4)))
+    # a few files per task, and for very many files a hundred
+    count = files.count()
+    spread = files.repartition(max(1, min(count // 4, max(1_000, count // 100))))
     lines = spread.mapInArrow(first_lines, T.StructType([*spread.schema, T.StructField("header_line", T.StringType())]))
     separator = detect_separator(F.col("header_line"))
     return lines.withColumn("separator", separator).withColumn("headers", header_names(F.col("header_line"), F.col("separator")))
 
 
+def named_headers() -> Column:
+    """The header names that are not empty."""
+    return F.filter("headers", lambda h: F.length(h) > 0)
+
+
 def detect_separator(line: Column) -> Column:
     """The candidate that occurs most often; earlier candidates win ties, none present means comma."""
 
@@ -85,10 +119,11 @@ def detect_separator(line: Column) -> Column:
 
 
 def header_names(line: Column, separator: Column) -> Column:
-    """Unquoted, trimmed, non-empty names in file order."""
-    pattern = F.concat(F.lit("\\Q"), separator, F.lit("\\E"))
-    names = F.transform(F.split(line, pattern), lambda h: F.trim(F.replace(h, F.lit('"'), F.lit(""))))
-    return F.filter(names, lambda h: F.length(h) > 0)
+    """Unquoted, trimmed names in file order, one per column; separators inside quotes do not count."""
+    plain = F.concat(F.lit("\\Q"), separator, F.lit("\\E"))
+    outside = F.concat(plain, F.lit('(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    fields = F.when(F.contains(line, F.lit('"')), F.split(line, outside)).otherwise(F.split(line, plain))
+    return F.transform(fields, lambda h: F.trim(F.replace(h, F.lit('"'), F.lit(""))))
 
 
 def _normal(name: Column) -> Column:
@@ -109,7 +144,7 @@ def map_headers(sniffed: DataFrame, proposals: DataFrame | None = None) -> DataF
     upper = F.transform("headers", lambda h: _normal(h))
     files = sniffed.withColumn("upper_headers", upper)
     expected = F.array(*[F.lit(c) for c in READING_COLUMNS])
-    exact = F.col("upper_headers") == expected
+    exact = F.filter("upper_headers", lambda h: F.length(h) > 0) == expected
 
     # headers spelled alike: the last one counts
     def position(name: Column) -> Column:
@@ -132,12 +167,14 @@ def map_headers(sniffed: DataFrame, proposals: DataFrame | None = None) -> DataF
         "kind", F.when(exact, "full").when(all_found, "required").otherwise("reject")
     ).withColumn(
         "mapping",
-        F.when(exact, mapping({c: F.lit(i) for i, c in enumerate(READING_COLUMNS)})).when(all_found, mapping(aliases)),
+        F.when(exact, mapping({c: position(F.lit(c)) for c in READING_COLUMNS})).when(all_found, mapping(aliases)),
     )
     missing = F.filter(
         F.array(*[F.when(aliases[c].isNull(), F.lit(c)) for c in REQUIRED_COLUMNS]), lambda c: c.isNotNull()
     )
     reason = F.concat(F.lit("no column for "), F.concat_ws(", ", missing))
+    no_line = F.lit(f"no line end in the first {MAX_HEADER_BYTES} bytes")
+    reason = F.when(F.col("header_line").isNull(), no_line).otherwise(reason)
     mapped = mapped.withColumn("problem", F.when(F.col("kind") == "reject", reason))
     if proposals is not None:
         mapped = _apply_proposals(mapped, proposals)
@@ -150,6 +187,7 @@ def repair_proposals(sniffed: DataFrame, proposals: DataFrame) -> DataFrame:
     An exact name is kept, another case is corrected, a name the file lacks is dropped.
     """
     names = sniffed.select("path", F.posexplode("headers").alias("pos", "name"))
+    names = names.where("length(name) > 0")
     pairs = proposals.join(names, "path").where(_normal(F.col("incoming")) == _normal(F.col("name")))
     best = F.max_by(F.struct("pos", "name"), F.struct(F.col("name") == F.col("incoming"), "pos"))
     return pairs.groupBy("path", "incoming", "target").agg(best.alias("b")).select("path", "b.pos", "b.name", "target")
@@ -172,7 +210,8 @@ def _apply_proposals(mapped: DataFrame, proposals: DataFrame) -> DataFrame:
     )
     expected = F.array(*[F.lit(c) for c in READING_COLUMNS])
     lacking = F.array_except(expected, renamed)
-    repeated = F.size(F.array_distinct(renamed)) < F.size(renamed)
+    some = F.filter(renamed, lambda h: F.length(h) > 0)
+    repeated = F.size(F.array_distinct(some)) < F.size(some)
     complete = (F.size(lacking) == 0) & ~repeated
 
     def positions(columns: list[str], names: Column) -> Column:
@@ -200,11 +239,12 @@ def _apply_proposals(mapped: DataFrame, proposals: DataFrame) -> DataFrame:
 
 
 def read_layouts(spark: SparkSession, mapped: DataFrame) -> DataFrame:
-    """Rows of all mapped files as text columns under their expected names, with the file's name.
+    """Rows of all mapped files as text columns under their expected names, with the file's path in ``source_filename``.
 
     Files of one layout (separator and column positions) are one scan; there are as many scans as
     layouts, not files. Only file names reach the driver, which lists them for any scan anyway.
-    Columns are read by position, so repeated or odd header names do no harm.
+    Columns are read by their true position in the file, unnamed columns counted, so repeated or odd header
+    names do no harm.
     A file without data rows adds nothing; columns its layout lacks are null.
     """
     usable = mapped.where("kind <> 'reject'").select(
@@ -222,14 +262,14 @@ def read_layouts(spark: SparkSession, mapped: DataFrame) -> DataFrame:
             .option("sep", separator)
             .option("quote", '"')
             .option("mode", "PERMISSIVE")
-            .csv(sorted(paths))
+            .csv([literal_path(p) for p in sorted(paths)])
         )
         position = dict(at)
         order = READING_COLUMNS if kind == "full" else REQUIRED_COLUMNS
         frames.append(
             rows.select(
                 *[F.col(f"c{position[n]}").alias(n) for n in order],
-                F.col("_metadata.file_name").alias("source_filename"),
+                scanned_path().alias("source_filename"),
             )
         )
     if not frames:
@@ -273,20 +313,23 @@ def read_readings(
 
     ``resolver`` may propose mappings for files whose headers are unknown: it gets the rejected
     files (path, headers) and returns (path, incoming, target). Files still unknown stop the run
-    unless ``on_reject="skip"``; files without any header are always skipped.
+    unless ``on_reject="skip"``, when the mapping frame tells their problem; files without any header name are always
+    skipped.
     """
-    sniffed = written(sniff_headers(files), "headers").where(F.size("headers") > 0)
+    sniffed = written(sniff_headers(files), "headers").where(F.col("header_line").isNull() | (F.size(named_headers()) > 0))
     mapped = map_headers(sniffed)
     if resolver is not None:
         unknown = mapped.where("kind = 'reject'").select("path", "headers")
         mapped = map_headers(sniffed, resolver(unknown))
     if on_reject == "fail":
-        rejected = mapped.where("kind = 'reject'").select("source_filename", "problem").limit(20).collect()
-        if rejected:
-            raise UnmappableFiles("; ".join(f"{name}: {problem}" for name, problem in rejected))
+        rejected = mapped.where("kind = 'reject'").select("source_filename", "problem")
+        shown = rejected.limit(20).collect()
+        if shown:
+            more = rejected.count() - len(shown)
+            raise UnmappableFiles("; ".join(f"{name}: {problem}" for name, problem in shown) + (f"; and {more} more" if more else ""))
     return clean_readings(read_layouts(spark, mapped), with_hash), mapped
 
 
 def count_rows(raw: DataFrame) -> DataFrame:
-    """Rows per input file."""
-    return raw.groupBy("source_filename").agg(F.count("*").alias("rows_input"))
+    """Rows per input file, by its path."""
+    return raw.groupBy(F.col("source_filename").alias("path")).agg(F.count("*").alias("rows_input"))

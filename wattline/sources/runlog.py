@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattline.operators.loading import absent_rows
 from wattline.operators.stats import as_stats, from_json_rows, stats_rows, to_json_rows
 from wattline.sources.tables import has_data
 from wattline.spec import STATS_SCHEMA
@@ -24,6 +25,12 @@ def append_stats(stats: DataFrame, path: str) -> None:
     dated.sortWithinPartitions("stage_name", "source_filename").write.mode("append").partitionBy("run_date").parquet(path)
 
 
+def append_new_stats(stats: DataFrame, path: str) -> None:
+    """Append the rows whose run, stage and file are not recorded yet, so a repeated step adds nothing."""
+    spark, keys = stats.sparkSession, ["run_id", "stage_name", "source_filename"]
+    append_stats(absent_rows(as_stats(stats), read_stats(spark, path), keys), path)
+
+
 def append_records(spark: SparkSession, records: list[dict], path: str) -> None:
     if records:
         append_stats(stats_rows(spark, records).coalesce(1), path)
@@ -33,7 +40,7 @@ def read_stats(spark: SparkSession, path: str) -> DataFrame:
     """All statistics; an absent table reads as empty."""
     if not has_data(spark, path):
         return spark.createDataFrame([], STATS_SCHEMA)
-    return as_stats(spark.read.option("mergeSchema", True).parquet(path))
+    return as_stats(spark.read.schema(STATS_SCHEMA).parquet(path))
 
 
 def hand_over(stats: DataFrame, path: str) -> None:

@@ -41,14 +41,15 @@ def read_parquet_tree(spark: SparkSession, path: str, merge: bool = False) -> Da
 
 
 def write_quarters(clean: DataFrame, path: str, compression: str = "snappy", row_group_bytes: int | None = None) -> None:
-    """Clean readings, one folder per quarter (rows without a time go to the null folder).
+    """Clean readings, one folder per quarter (rows without a time go to the null folder), in place of what the
+    folder held: a repeated run writes the same again.
 
     Written straight from the scan, without a shuffle: input files cover few quarters each, so a
     task opens few output files, and a quarter holding most rows is written by many tasks.
     """
     writer = (
         clean.withColumn("quarter_folder", clean["QUARTER"])
-        .write.mode("append")
+        .write.mode("overwrite")
         .partitionBy("quarter_folder")
         .option("compression", compression)
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
@@ -80,12 +81,6 @@ def write_by_day(
     return written.get["n"]
 
 
-def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Full rebuild of a table that ``df`` does not read."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class VersionedTable:
     """A small table that may be rebuilt from its own content.
 
@@ -126,7 +121,24 @@ class VersionedTable:
         df.write.parquet(self._folder(existing[-1] + 1 if existing else 1))
         return self.read()
 
+    def clear(self) -> None:
+        """Delete all versions."""
+        delete_path(self.spark, self.path)
+
     def drop_old(self, keep: int = 2) -> None:
         """Delete all but the newest finished versions."""
         for version in self._committed()[:-keep]:
             delete_path(self.spark, self._folder(version))
+
+
+def replace_table(df: DataFrame, path: str) -> DataFrame:
+    """Full rebuild of a table. Readers keep the version before until the new one is complete; the one before that goes."""
+    table = VersionedTable(df.sparkSession, path)
+    rebuilt = table.replace(df)
+    table.drop_old(keep=2)
+    return rebuilt
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table written by ``replace_table``."""
+    return VersionedTable(spark, path).read()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,21 +38,27 @@ def arriving_files(
 
 
 def one_row_per_key(clean: DataFrame) -> DataFrame:
-    """One row per row hash, highest power first, so the choice does not depend on file order."""
-    power = F.col("IMPORT_ACTIVE_POWER").desc_nulls_last()
-    return keep_first(clean, ["ROW_HASH"], [power, F.col("METER_ID"), F.col("DATA_TIME"), F.col("source_filename")])
+    """One row per meter and minute, highest power first, so the choice does not depend on file order. Rows lacking
+    meter or time have no key to be copies by and all stay, as in a batch load."""
+    power, has_key = F.col("IMPORT_ACTIVE_POWER").desc_nulls_last(), F.col("METER_ID").isNotNull() & F.col("DATA_TIME").isNotNull()
+    keyed = keep_first(clean.where(has_key), ["METER_ID", "DATA_TIME"], [power, F.col("source_filename")])
+    return keyed.unionByName(clean.where(~has_key))
 
 
 def load_files(
-    files: DataFrame, target: str, *, resolver: Resolver | None = None, on_reject: str = "fail"
+    files: DataFrame, target: str, *, resolver: Resolver | None = None, on_reject: str = "fail", keys: list[str] | None = None
 ) -> LoadCounts | None:
-    """Read, harmonise and load one set of files; loading the same set again adds nothing."""
+    """Read, harmonise and load one set of files; loading the same set again adds nothing. Copies inside the set
+    count as skipped."""
     spark = files.sparkSession
     with scratch_area(spark):
         clean, _ = read_readings(spark, files, resolver=resolver, on_reject=on_reject)
         # the files are parsed once; counting, looking for known keys and inserting read this copy
-        batch = written(one_row_per_key(clean), "arrivals")
-        return None if batch.isEmpty() else insert_if_absent(spark, batch, target)
+        arrived = written(clean, "arrivals")
+        if arrived.isEmpty():
+            return None
+        counts = insert_if_absent(spark, written(one_row_per_key(arrived), "unique"), target, keys)
+        return LoadCounts(arrived.count(), counts.rows_inserted)
 
 
 def start_loading(
@@ -63,19 +70,24 @@ def start_loading(
     stats_path: str | None = None,
     resolver: Resolver | None = None,
     on_reject: str = "fail",
+    keys: list[str] | None = None,
     poll_seconds: int | None = None,
+    recompute: Callable[[SparkSession], object] | None = None,
 ) -> StreamingQuery:
-    """Load every arriving file. Without ``poll_seconds`` it takes what is there and stops.
+    """Load every arriving file. Without ``poll_seconds`` it takes what is there and stops. ``recompute`` runs after each
+    batch that added rows, e.g. ``readings_to_models`` with its incremental rules.
 
     A batch that is repeated after a failure finds its keys in the target and inserts nothing, and
     its statistics row, named after run and batch, is written once.
     """
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        counts = load_files(batch, target, resolver=resolver, on_reject=on_reject)
+        spark = batch.sparkSession
+        counts = load_files(batch, target, resolver=resolver, on_reject=on_reject, keys=keys)
+        if recompute is not None and counts is not None and counts.rows_inserted:
+            recompute(spark)
         if stats_path is None or counts is None:
             return
-        spark = batch.sparkSession
         name = f"batch_{batch_id}"
         recorded = read_stats(spark, stats_path).where((F.col("run_id") == run_id) & (F.col("source_filename") == name))
         if recorded.isEmpty():

@@ -302,8 +302,8 @@ def test_whole_run(spark, tmp_path, reference):
     assert [r.meter_id for r in models["violators"].collect()] == ["7"]
     assert models["riyadh_quarter_report"].first().total_meters_before_quality_filter == 2
 
-    first_day = tmp_path / "root" / "models" / "staged_readings" / "reading_date=2024-01-01"
-    before = sorted(p.name for p in first_day.iterdir())
+    first_days = [tmp_path / "root" / "models" / t / "reading_date=2024-01-01" for t in ("staged_readings", "meter_days")]
+    before = [sorted(p.name for p in day.iterdir()) for day in first_days]
 
     # the next day brings readings of one meter, and repeats old ones
     put(raw, "two.csv", "METER;TIME;ACTIVE_POWER", *[r.replace(",", ";") for r in rows_for(3, "7")])
@@ -311,7 +311,8 @@ def test_whole_run(spark, tmp_path, reference):
     counts = clean_to_readings(spark, places, RUN2)
     assert (counts.rows_inserted, counts.rows_skipped) == (2, 12)
     models = readings_to_models(spark, places, RUN2, *reference, SPEC)
-    assert sorted(p.name for p in first_day.iterdir()) == before  # only the new day is staged
+    assert [sorted(p.name for p in day.iterdir()) for day in first_days] == before  # only the new day is built
+    assert models["daily_usage"].count() == 5
     assert models["staged_readings"].count() == 10
     usage = {r.meter_id: r for r in models["consumption_analysis"].collect()}
     assert usage["7"].total_sum_consumption == 4200.0 and usage["8"].total_sum_consumption == 3200.0

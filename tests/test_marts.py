@@ -257,3 +257,29 @@ def test_top_and_summary(spark):
     assert [r.meter_id for r in reports.top_complete(flagged, 2).collect()] == ["bad", "both"]
     summary = reports.region_summary(flagged).collect()
     assert [tuple(r) for r in summary] == [("Central", 6, 1.25, 18e6, 5.4e6), ("Western", 1, 1.25, 3e6, 9e5)]
+
+
+def test_days_add_up_to_the_same_results(spark):
+    """Per-meter totals, quality, daily usage and statistics from the meters' days equal those from the readings."""
+    from wattline.operators.consumption import consumption_of_totals, daily_usage_of_days, meter_days, totals_of_days
+    from wattline.operators.quality import quality_of_days
+    from wattline.operators.stats import exclusion_stats, staging_stats
+
+    rows = [(m, datetime(2024, 1 + d // 28, 1 + d % 28, h, 30), w) for m in ("a", "b") for d in range(40) for h, w in ((1, 0.0), (9, 1.5 + d), (22, None), (23, 7.25))]
+    staged = readings(spark, [*rows, ("c", None, 3.0), (None, datetime(2024, 1, 3), 4.0)])
+    located, common = places(spark, "a", "b"), calendar(spark, [date(2023, m, d) for m in (1, 2) for d in range(1, 29)])
+    periods = attach_periods(staged, located, common)
+    days = meter_days(periods)
+    info = located.selectExpr("meter_id", "60.0 as multiplication_factor", "'r' as region", "'p' as province")
+
+    def same(one, two):
+        return sorted(map(str, one.select(two.columns).collect())) == sorted(map(str, two.collect()))
+
+    assert days.count() == 40 * 2 + 1  # rows without a full key are one
+    assert same(consumption(periods, info), consumption_of_totals(totals_of_days(days), info))
+    assert same(daily_usage(staged), daily_usage_of_days(days))
+    assert same(meter_quality(staged), quality_of_days(days))
+    at, bounds = datetime(2024, 3, 1), (date(2024, 1, 5), date(2024, 1, 9))
+    assert same(staging_stats(staged, staged, "r", at), staging_stats(staged, days, "r", at))
+    for limits in (bounds, None):
+        assert same(exclusion_stats(staged, limits, "r", at), exclusion_stats(days, limits, "r", at))

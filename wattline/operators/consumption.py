@@ -43,7 +43,10 @@ def meter_totals(periods: DataFrame, spec: PeriodSpec = PRESET.periods) -> DataF
         "max_reading_date": F.max("reading_date"),
         "readings_with_prayer_times": F.count("morning_start_time"),
     }
-    grouped = flagged.groupBy("meter_id").agg(*[c.alias(n) for n, c in aggregates.items()])
+    return _with_means(flagged.groupBy("meter_id").agg(*[c.alias(n) for n, c in aggregates.items()]))
+
+
+def _with_means(grouped: DataFrame) -> DataFrame:
     # unrounded means are columns of their own, so that rounding does not repeat their expressions
     means = grouped.withColumns({f"{p}_mean": _mean(f"{p}_milli", f"{p}_reading_count") for p in PREFIXES})
     return means.select(
@@ -64,6 +67,39 @@ def meter_totals(periods: DataFrame, spec: PeriodSpec = PRESET.periods) -> DataF
     )
 
 
+def meter_days(periods: DataFrame, spec: PeriodSpec = PRESET.periods) -> DataFrame:
+    """One additive row per meter and day, from which all per-meter, per-day and run totals follow.
+
+    Sums are whole thousandths and everything else is a count, a maximum or a minimum, so rows of different days
+    combine exactly, in any order.
+    """
+    flagged = periods.withColumns({"_morning": in_morning(spec), "_evening": in_evening()})
+    watts = F.col("active_power_watts")
+    aggregates = {
+        **_totals("total", None),
+        **_totals("morning", F.col("_morning")),
+        **_totals("evening", F.col("_evening")),
+        "readings_with_prayer_times": F.count("morning_start_time"),
+        "readings_count": F.count("*"),
+        "null_readings": F.count_if(watts.isNull()),
+        "zero_readings": F.count_if(watts == 0),
+        "max_daily_power_watts": F.max(watts),
+        "min_daily_power_watts": F.min(watts),
+    }
+    return flagged.groupBy("meter_id", "reading_date").agg(*[c.alias(n) for n, c in aggregates.items()])
+
+
+def totals_of_days(days: DataFrame) -> DataFrame:
+    """The same totals per meter as ``meter_totals`` gives, from the meters' days."""
+    summed = [f"{p}_{n}" for p in PREFIXES for n in ("milli", "reading_count")] + ["readings_with_prayer_times"]
+    grouped = days.groupBy("meter_id").agg(
+        *[F.sum(c).alias(c) for c in summed],
+        F.min("reading_date").alias("min_reading_date"),
+        F.max("reading_date").alias("max_reading_date"),
+    )
+    return _with_means(grouped)
+
+
 def completeness_label(morning: Column, evening: Column) -> Column:
     return (
         F.when(morning.isNull() & evening.isNull(), "NO_PERIOD_DATA")
@@ -79,13 +115,18 @@ def consumption(
     period_spec: PeriodSpec = PRESET.periods,
     energy: EnergySpec = PRESET.energy,
 ) -> DataFrame:
-    """Consumption, energy and cost per meter that has readings in at least one period.
+    """Consumption, energy and cost per meter that has readings in at least one period, from readings with periods."""
+    return consumption_of_totals(meter_totals(periods, period_spec), locations, energy)
+
+
+def consumption_of_totals(totals: DataFrame, locations: DataFrame, energy: EnergySpec = PRESET.energy) -> DataFrame:
+    """Consumption, energy and cost from totals per meter.
 
     Energy and cost start from the rounded sums; cost rounds once, from unrounded energy. The join
     is between per-meter frames, after aggregation.
     """
     # an average is there exactly when its period has a non-null reading
-    totals = meter_totals(periods, period_spec).where("morning_reading_count > 0 or evening_reading_count > 0")
+    totals = totals.where("morning_reading_count > 0 or evening_reading_count > 0")
     info = locations.select("meter_id", "multiplication_factor", "region", "province")
 
     def kwh(prefix: str) -> Column:
@@ -120,7 +161,16 @@ def daily_usage(staged: DataFrame) -> DataFrame:
         F.min(watts).alias("min_daily_power_watts"),
         F.count("*").alias("readings_count"),
     )
-    return grouped.withColumn("mean", _mean("total", "n")).select(
+    return _daily(grouped.withColumn("mean", _mean("total", "n")))
+
+
+def daily_usage_of_days(days: DataFrame) -> DataFrame:
+    """The same as ``daily_usage`` gives, from the meters' days: no grouping is left to do."""
+    return _daily(days.withColumn("mean", _mean("total_milli", "total_reading_count")))
+
+
+def _daily(means: DataFrame) -> DataFrame:
+    return means.select(
         "meter_id",
         F.col("reading_date").alias("date"),
         quarter_label(F.col("reading_date")).alias("quarter"),

@@ -118,16 +118,16 @@ def changed_meters(readings: DataFrame, result: DataFrame) -> DataFrame:
 
 
 def readings_of_changed_meters(
-    readings: DataFrame, result: DataFrame, *, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
+    readings: DataFrame, result: DataFrame, *, spread: str = "reading_at", max_broadcast_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
-    """All readings, old and new, of the changed meters. The meter list is written once: it is
+    """All readings (or days), old and new, of the changed meters. The meter list is written once: it is
     counted to choose the join, then joined."""
     return join_per_key(
         readings,
         written(changed_meters(readings, result), "changed"),
         ["meter_id"],
         "left_semi",
-        F.col("reading_at"),
+        F.col(spread),
         max_broadcast_bytes=max_broadcast_bytes,
     )
 

@@ -23,6 +23,22 @@ def meter_quality(readings: DataFrame, spec: QualitySpec = PRESET.quality) -> Da
         F.count_if(watts == 0).alias("zero_readings"),
         F.count_if(watts.isNull()).alias("null_readings"),
     )
+    return _scored(grouped, spec)
+
+
+def quality_of_days(days: DataFrame, spec: QualitySpec = PRESET.quality) -> DataFrame:
+    """The same scores as ``meter_quality`` gives, from the meters' days."""
+    grouped = days.groupBy("meter_id").agg(
+        F.min("reading_date").alias("min_date"),
+        F.max("reading_date").alias("max_date"),
+        F.sum("readings_count").alias("actual_readings"),
+        F.sum("zero_readings").alias("zero_readings"),
+        F.sum("null_readings").alias("null_readings"),
+    )
+    return _scored(grouped, spec)
+
+
+def _scored(grouped: DataFrame, spec: QualitySpec) -> DataFrame:
     span = F.datediff("max_date", "min_date").cast("bigint")
     scored = grouped.withColumns({"date_range_days": span, "expected_readings": span * spec.per_day}).where(
         "expected_readings > 0"

@@ -46,17 +46,25 @@ def _run(run_id: str, run_timestamp: datetime, stage: str) -> dict[str, Column]:
     }
 
 
+def _counts(staged: DataFrame) -> tuple[Column, Column, Column]:
+    """Readings, readings without power and with zero power that a row stands for."""
+    if "readings_count" in staged.columns:
+        return F.col("readings_count"), F.col("null_readings"), F.col("zero_readings")
+    watts = F.col("active_power_watts")
+    return F.lit(1).cast("long"), watts.isNull().cast("long"), F.coalesce((watts == 0).cast("long"), F.lit(0))
+
+
 def staging_stats(clean: DataFrame, staged: DataFrame, run_id: str, run_timestamp: datetime) -> DataFrame:
-    """What deduplication and masking did, as one row."""
+    """What deduplication and masking did, as one row. ``staged`` is the staged readings, or the meters' days."""
     raw = clean.agg(F.count("*"))
-    watts = F.col("active_power_watts")
+    rows, nulls, zeros = _counts(staged)
     out = staged.agg(
-        F.count("*").alias("rows_output"),
+        F.coalesce(F.sum(rows), F.lit(0)).alias("rows_output"),
         F.countDistinct("meter_id").alias("unique_meters"),
         F.min("reading_date").alias("min_reading_date"),
         F.max("reading_date").alias("max_reading_date"),
-        F.count_if(watts.isNull()).alias("rows_with_null_power"),
-        F.count_if(watts == 0).alias("rows_with_zero_power"),
+        F.coalesce(F.sum(nulls), F.lit(0)).alias("rows_with_null_power"),
+        F.coalesce(F.sum(zeros), F.lit(0)).alias("rows_with_zero_power"),
     ).withColumn("rows_input", raw.scalar())
     return as_stats(
         out.withColumns(
@@ -72,7 +80,7 @@ def staging_stats(clean: DataFrame, staged: DataFrame, run_id: str, run_timestam
 def exclusion_stats(
     staged: DataFrame, bounds: tuple[date | None, date | None] | None, run_id: str, run_timestamp: datetime
 ) -> DataFrame:
-    """What the date exclusion did, as one row from one pass.
+    """What the date exclusion did, as one row from one pass over the staged readings or the meters' days.
 
     ``rows_filtered`` counts rows inside the bounds; undated rows leave the output without being
     counted there.
@@ -80,10 +88,15 @@ def exclusion_stats(
     active = exclusion_active(bounds)
     day = F.col("reading_date")
     inside = day.between(F.lit(bounds[0]), F.lit(bounds[1])) if active else F.lit(False)
+    rows = _counts(staged)[0]
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, rows)), F.lit(0))
+
     counts = staged.agg(
-        F.count("*").alias("rows_input"),
-        F.count_if(~inside).alias("rows_output"),
-        F.count_if(inside).alias("rows_filtered"),
+        total(F.lit(True)).alias("rows_input"),
+        total(~inside).alias("rows_output"),
+        total(inside).alias("rows_filtered"),
         F.countDistinct(F.when(~inside, F.col("meter_id"))).alias("unique_meters"),
         F.min(F.when(~inside, day)).alias("min_reading_date"),
         F.max(F.when(~inside, day)).alias("max_reading_date"),

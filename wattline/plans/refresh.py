@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 from time import monotonic
@@ -10,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.operators import checks, reports, stats
-from wattline.operators.consumption import consumption, daily_usage
+from wattline.operators.consumption import consumption_of_totals, daily_usage_of_days, meter_days, totals_of_days
 from wattline.operators.loading import DAY, LoadCounts, insert_if_absent, new_pairs, readings_of_changed_meters, upsert
 from wattline.operators.nearest import nearest_location
 from wattline.operators.periods import attach_periods, schedule_repeats
-from wattline.operators.quality import meter_quality
+from wattline.operators.quality import quality_of_days
 from wattline.operators.staging import exclude_dates, stage_keyed, stage_schedule, stage_sites, stage_unkeyed
 from wattline.operators.violations import regional_consumption, regional_violators, violators
 from wattline.sources.delimited import Resolver, count_rows, list_files, read_layouts, read_readings
@@ -131,31 +132,35 @@ def clean_to_readings(spark: SparkSession, places: Places, run: Run, keys: list[
     return counts
 
 
-def _day_marks(fact: DataFrame, spec: OutlierSpec) -> DataFrame:
-    """Per day a hash of the set of its files, from file names alone, beside the bounds it is staged with."""
-    files = fact.select(DAY, "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+def _day_marks(source: DataFrame) -> DataFrame:
+    """Per day a hash of the set of its files, from file names alone."""
+    files = source.select(DAY, "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
     one = F.xxhash64("file_path", "file_size", F.col("file_modification_time").cast("string"))
-    return files.groupBy(DAY).agg(F.hash(F.sort_array(F.collect_list(one))).alias("files"), F.count("*").alias("n_files")).withColumns(
-        {"low": F.lit(float(spec.low)), "high": F.lit(float(spec.high))}
-    )
+    return files.groupBy(DAY).agg(F.hash(F.sort_array(F.collect_list(one))).alias("files"))
 
 
-def refresh_staged(
-    spark: SparkSession, fact: DataFrame, places: Places, spec: OutlierSpec = PRESET.outliers, full_refresh: bool = False
+def refresh_days(
+    source: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    path: str,
+    marks_path: str,
+    context: str,
+    cluster_by: list[str],
+    full_refresh: bool = False,
 ) -> DataFrame:
-    """Staged readings as a table by day, where only days whose facts changed are staged again.
+    """A table by day built from a table by day, where only days whose source changed are built again.
 
-    A reading's key contains its time, so copies never cross days. A day is unchanged when it consists of the same
-    files (path, size and time of writing) and was staged with the same outlier bounds; both are recorded after the
-    days are written, so a run that fails before stages them again. A full rebuild forgets the record first: if it
-    fails, the next run rebuilds everything. The one row for readings without a full key is kept apart.
+    A day is unchanged when its source consists of the same files (path, size and time of writing) and the table was
+    built in the same ``context``; both are recorded after the days are written, so a run that fails before builds
+    them again. A full rebuild forgets the record first: if it fails, the next run rebuilds everything.
     """
-    path, marks = places.model("staged_readings"), VersionedTable(spark, places.model("staged_days"))
-    days = written(_day_marks(fact, spec), "days")
-    todo, only_its_days = fact, False
+    spark = source.sparkSession
+    marks = VersionedTable(spark, marks_path)
+    days = written(_day_marks(source).withColumn("context", F.lit(context)), "days")
+    todo, only_its_days = source, False
     known = marks.read() if marks.exists() and not full_refresh else None
-    if known is not None and known.where((F.col("low") == float(spec.low)) & (F.col("high") == float(spec.high))).isEmpty():
-        known = None  # staged with other bounds, or nothing staged
+    if known is not None and known.where(F.col("context") == context).isEmpty():
+        known = None  # built in another context, or nothing built
     if known is None:
         marks.clear()
     else:
@@ -163,13 +168,40 @@ def refresh_staged(
         changed = days.where(F.col(DAY).isNotNull()).join(old, (F.col(DAY) == F.col("day")) & (F.col("files") == F.col("known_files")), "left_anti")
         # one short row per calendar day
         listed = [row[0] for row in changed.select(DAY).collect()]
-        todo, only_its_days = fact.where(F.col(DAY).isin(listed) if listed else F.lit(False)), True
-    keyed = stage_keyed(todo, spec)
-    write_by_day(keyed, path, DAY, ["meter_id", "reading_at"], mode="overwrite", only_its_days=only_its_days)
-    unkeyed = replace_table(stage_unkeyed(fact, spec), places.model("staged_without_key"))
+        todo, only_its_days = source.where(F.col(DAY).isin(listed) if listed else F.lit(False)), True
+    built = build(todo)
+    write_by_day(built, path, DAY, cluster_by, mode="overwrite", only_its_days=only_its_days)
     marks.replace(days)
     marks.drop_old(keep=2)
-    return spark.read.schema(keyed.schema).parquet(path).select(*keyed.columns).unionByName(unkeyed)
+    return spark.read.schema(built.schema).parquet(path).select(*built.columns)
+
+
+def refresh_staged(
+    spark: SparkSession, fact: DataFrame, places: Places, spec: OutlierSpec = PRESET.outliers, full_refresh: bool = False
+) -> DataFrame:
+    """Staged readings as a table by day (see ``refresh_days``). A reading's key contains its time, so copies never
+    cross days. The one row for readings without a full key is kept apart."""
+    keyed, unkeyed = _refresh_staged(fact, places, spec, full_refresh)
+    return keyed.unionByName(unkeyed)
+
+
+def _refresh_staged(fact: DataFrame, places: Places, spec: OutlierSpec, full_refresh: bool) -> tuple[DataFrame, DataFrame]:
+    keyed = refresh_days(
+        fact,
+        lambda rows: stage_keyed(rows, spec),
+        places.model("staged_readings"),
+        places.model("staged_days"),
+        f"{spec.low} {spec.high}",
+        ["meter_id", "reading_at"],
+        full_refresh,
+    )
+    return keyed, replace_table(stage_unkeyed(fact, spec), places.model("staged_without_key"))
+
+
+def _content(df: DataFrame) -> str:
+    """A hash of a small table's rows, in any order."""
+    one = F.xxhash64(*df.columns)
+    return str(tuple(df.agg(F.count("*"), F.sum(one % (1 << 40)), F.bit_xor(one)).first()))
 
 
 def readings_to_models(
@@ -183,8 +215,10 @@ def readings_to_models(
 ) -> dict[str, DataFrame]:
     """Build all models from the fact table.
 
-    Staged readings are written once, by day, and read by every model after that, as are the
-    per-meter tables; nothing is derived twice. Consumption recomputes only meters with newer readings, and
+    Staged readings are written by day, and so is a table of additive totals per meter and day, which alone is read by
+    every model after that. Both are built again for changed days only (the second one wholly when locations,
+    schedule or periods change), so a run reads the facts of changed days and otherwise small tables. Daily usage is a
+    view of the second. Consumption recomputes only meters with newer readings, and
     recorded (meter, quarter) pairs of violators stay as they are, unless ``full_refresh``.
     """
     with scratch_area(spark):
@@ -201,21 +235,27 @@ def _build_models(
     full_refresh: bool,
 ) -> dict[str, DataFrame]:
     fact = spark.read.parquet(places.readings)
-    staged = refresh_staged(spark, fact, places, spec.outliers, full_refresh)
-    readings = exclude_dates(staged, spec.exclude)
+    keyed, unkeyed = _refresh_staged(fact, places, spec.outliers, full_refresh)
     calendar = replace_table(stage_schedule(schedule), places.model("staged_schedule"))
     # two schedule rows for a calendar day of a location would double its readings
     checks.require_none(schedule_repeats(calendar), "schedule days repeat")
     site_rows = replace_table(stage_sites(sites), places.model("staged_sites"))
     locations = replace_table(nearest_location(site_rows, calendar), places.model("meter_locations"))
-    quality = replace_table(meter_quality(readings, spec.quality), places.model("meter_quality"))
-    daily = replace_table(daily_usage(readings), places.model("daily_usage"))
+
+    def totals(rows: DataFrame) -> DataFrame:
+        return meter_days(attach_periods(rows, locations, calendar, spec.periods), spec.periods)
+
+    context = f"{_content(locations)} {_content(calendar)} {spec.periods} {spec.outliers}"
+    dated = refresh_days(keyed, totals, places.model("meter_days"), places.model("meter_days_built"), context, ["meter_id"], full_refresh)
+    all_days = dated.unionByName(replace_table(totals(unkeyed), places.model("days_without_key")))
+    days = exclude_dates(all_days, spec.exclude)
+    quality = replace_table(quality_of_days(days, spec.quality), places.model("meter_quality"))
+    daily = daily_usage_of_days(days)
 
     consumed = VersionedTable(spark, places.model("consumption_analysis"))
     incremental = consumed.exists() and not full_refresh
-    todo = readings_of_changed_meters(readings, consumed.read()) if incremental else readings
-    periods = attach_periods(todo, locations, calendar, spec.periods)
-    fresh = consumption(periods, locations, spec.periods, spec.energy)
+    todo = readings_of_changed_meters(days, consumed.read(), spread="reading_date") if incremental else days
+    fresh = consumption_of_totals(totals_of_days(todo), locations, spec.energy)
     usage = upsert(consumed, fresh, ["meter_id"]) if incremental else consumed.replace(fresh)
     checks.require_none(checks.duplicate_keys(usage, ["meter_id"]), "meter_id repeats in consumption")
 
@@ -240,15 +280,16 @@ def _build_models(
     )
 
     stages = {
-        "staging": stats.staging_stats(fact, staged, run.run_id, run.run_timestamp),
-        "ramadan_filter": stats.exclusion_stats(staged, spec.exclude, run.run_id, run.run_timestamp),
+        "staging": stats.staging_stats(fact, all_days, run.run_id, run.run_timestamp),
+        "ramadan_filter": stats.exclusion_stats(all_days, spec.exclude, run.run_id, run.run_timestamp),
     }
     for stage, rows in stages.items():
         recorded = read_stats(spark, places.stats).where(F.col("stage_name") == stage)
         append_stats(stats.not_yet_run(rows, recorded), places.stats)
 
     return {
-        "staged_readings": staged,
+        "staged_readings": keyed.unionByName(unkeyed),
+        "meter_days": all_days,
         "meter_locations": locations,
         "meter_quality": quality,
         "daily_usage": daily,

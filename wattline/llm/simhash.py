@@ -165,6 +165,7 @@ def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     prints = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key"))
     per_print = prints.groupBy("fp").agg(first.alias("first")).join(_groups(prints, distance), "fp")
-    kept = per_print.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias("_kept"))
-    keyed = docs.withColumn("_kept", row_key(doc_id, text))
-    return keyed.join(kept, "_kept", "left_semi").dropDuplicates(["_kept"]).select(*docs.columns)
+    kept = per_print.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias("key"))
+    places = {name: f"c{i}" for i, name in enumerate(docs.columns)}  # no name of the documents can clash
+    keyed = docs.toDF(*places.values()).withColumn("key", row_key(places[doc_id], places[text]))
+    return keyed.join(kept, "key", "left_semi").dropDuplicates(["key"]).drop("key").toDF(*places)

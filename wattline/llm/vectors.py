@@ -193,7 +193,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "v
 
     count, bound = distinct.agg(F.count("*"), F.max("square")).first()
     lists = int(min(MAX_LISTS, max(1, round(count**0.5))))
-    taken = distinct.orderBy(F.xxhash64("key"), "key").limit(SAMPLE_PER_LIST * lists).select("vec").collect()
+    share = min(1.0, SAMPLE_PER_LIST * lists / count)
+    taken = sorted(distinct.where(F.shiftrightunsigned(F.xxhash64("key"), 11) / float(1 << 53) < share).select("key", "vec").collect())
+    if len(taken) < lists:  # a few vectors only
+        taken = sorted(distinct.select("key", "vec").limit(SAMPLE_PER_LIST * lists).collect())
     index = _fitted(np.frombuffer(b"".join(bytes(r.vec) for r in taken), "<f4").reshape(-1, dims), lists, bound * (1 + 1e-6), k)
     placed = written(_placed(distinct, index, dims, False), "lists")
     index.sizes[:] = 0

@@ -385,6 +385,36 @@ from (select case when src_id % 50 <> 0 then meter_id end as meter_id, case when
         "(select case when run_timestamp >= timestamp '2024-01-20' then run_id end from daily_runs)"
     ),
     "stats_json": _sql("select * from daily_runs"),
+    "stats_table": _sql("select * from daily_runs"),
+    "reference_load": _sql(
+        """
+select meter_number as "METER_NUMBER", factor_text as "MULTIPLICATION_FACTOR", x_text as "X_COORDINATES", cast(y_text as double) as "Y_COORDINATES",
+  region as "REGION", province as "PROVINCE", department as "DEPARTMENT_NAME", office as "OFFICE_NAME", true as "HAS_LOAD_TIME"
+from fx_sites"""
+    ),
+    "load_counts": _sql(
+        """
+select load, rows_input, rows_inserted, rows_input - rows_inserted as rows_skipped, 2 * n as rows_in_table, n as rows_with_key
+from (select count(*) as n, count(*) filter (data_time < timestamp '2024-01-20') as early from clean) c,
+  lateral (values (0, early, early), (1, n, n - early), (2, n, n)) v(load, rows_input, rows_inserted)"""
+    ),
+    "proposed_mapping": _sql(
+        """
+select v.*, case when kind = 'required' then n end as n_rows
+from (values (0, 'required', null, 0, 2),
+       (1, 'reject', 'no column for METER_ID, ID, METER_NO, IMPORT_ACTIVE_POWER, IMPORT_REACTIVE_POWER, IMPORT_APPARENT_POWER, '
+        || 'REACTIVE_POWER_IMPORT, EXPORT_ACTIVE_POWER, EXPORT_REACTIVE_POWER, EXPORT_APPARENT_POWER, REACTIVE_POWER_EXPORT, '
+        || 'IMPORT_FACTOR_POWER, EXPORT_FACTOR_POWER, STATUS', null, null),
+       (2, 'reject', 'names repeat after mapping', null, null)) v("case", kind, problem, meter_position, power_position)
+cross join (select cast(count(*) as bigint) as n from fx_readings) c"""
+    ),
+    "unhashed_run": _sql(
+        """
+select meter_id as "METER_ID", date_trunc('minute', data_time) as "DATA_TIME", import_active_power as "IMPORT_ACTIVE_POWER",
+  strftime(date_trunc('minute', data_time), '%Y-%m-%d %H:%M:%S') as "DATA_TIME_STR",
+  year(data_time) || '-Q' || quarter(data_time) as "QUARTER"
+from fx_readings"""
+    ),
     "file_profile": "select "
     + _stats_row(
         {
@@ -409,11 +439,24 @@ from (select case when src_id % 50 <> 0 then meter_id end as meter_id, case when
         "union all select 'data_time', count(*) filter (data_time is null) from clean "
         "union all select 'import_active_power', count(*) filter (import_active_power is null) from clean) where n_nulls > 0"
     ),
+    "table_checks_broken": _sql(
+        """
+select 'clean.unique.row_hash' as check_name, count(*) as n_violations
+  from (select meter_id, data_time from clean where src_id % 100 <> 0 group by 1, 2 having count(*) > 1)
+union all select 'clean.not_null.row_hash', count(*) filter (src_id % 100 = 0) from clean
+union all select 'clean.not_null.meter_id', count(*) filter (meter_id is null) from clean
+union all select 'clean.not_null.data_time', count(*) filter (data_time is null) from clean
+union all select 'consumption.unique.meter_id', count(*) filter (meter_id like '1%') from consumption
+union all select 'consumption.not_null.meter_id', count(*) filter (meter_id is null) from consumption
+union all select 'daily.unique.meter_id.date', count(distinct (meter_id, reading_date)) filter (day(reading_date) = 3) from staged
+union all select 'daily.not_null.meter_id', count(*) filter (meter_id is null) from staged
+union all select 'daily.not_null.date', count(distinct (meter_id, reading_date)) filter (day(reading_date) = 5) from staged"""
+    ),
     "table_checks": _sql(
         """
 select 'clean.unique.row_hash' as check_name, count(*) as n_violations
   from (select meter_id, data_time from clean group by 1, 2 having count(*) > 1)
-union all select 'clean.not_null.row_hash', 0 from (select count(*) from clean)
+union all select 'clean.not_null.row_hash', count(*) filter (meter_id is null and data_time is null) from clean
 union all select 'clean.not_null.meter_id', count(*) filter (meter_id is null) from clean
 union all select 'clean.not_null.data_time', count(*) filter (data_time is null) from clean
 union all select 'consumption.unique.meter_id', count(*) - count(distinct meter_id) from consumption

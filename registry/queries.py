@@ -24,10 +24,11 @@ from wattline.operators.staging import (
 )
 from wattline.operators.violations import flag_over, regional_consumption, regional_violators, violation_category, violators, with_quality
 from wattline.plans.refresh import Places, Run, clean_to_readings, files_to_clean, readings_to_models
-from wattline.sources.delimited import list_files, map_headers, read_layouts, read_readings, sniff_headers
-from wattline.sources.runlog import take_over
+from wattline.sources.delimited import count_rows, list_files, map_headers, read_layouts, read_readings, sniff_headers
+from wattline.sources.reference import load_reference
+from wattline.sources.runlog import append_new_stats, hand_over, read_stats, take_over
 from wattline.sources.scratch import scratch_path, written
-from wattline.sources.tables import VersionedTable, write_by_day
+from wattline.sources.tables import VersionedTable, read_parquet_tree, read_table, write_by_day
 from wattline.spec import READING_COLUMNS, ModelSpec, QualitySpec, RegionSpec
 from wattline.streaming.arrivals import arriving_files, start_loading
 
@@ -408,6 +409,71 @@ def file_profile(spark, folder):
     return stats.file_stats(rows, inputs, RUN.run_id, RUN.run_timestamp)
 
 
+def stats_table(spark, folder):
+    """Statistics handed over as JSON, taken over, appended by day of the run, twice, and read back."""
+    runs, place, path = daily_runs(spark, folder), scratch_path(spark, "handed"), scratch_path(spark, "stats")
+    hand_over(runs, place)
+    for _ in range(2):
+        append_new_stats(take_over(spark, place), path)
+    return read_stats(spark, path)
+
+
+def reference_load(spark, folder):
+    """The site sheet from CSV under normal names, with inferred types and a load time."""
+    sheet, path = scratch_path(spark, "sheet"), scratch_path(spark, "reference")
+    writer = site_rows(spark, folder).write.option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(sheet)
+    load_reference(spark, sheet, path)
+    loaded = read_table(spark, path)
+    return loaded.select(
+        *[F.col(c) for c in loaded.columns if c != "_LOADED_AT"], F.col("_LOADED_AT").isNotNull().alias("HAS_LOAD_TIME")
+    )
+
+
+def load_counts(spark, folder):
+    """What three loads report: a part, everything, and a batch without its key column."""
+    path = scratch_path(spark, "counted")
+    rows = clean(spark, folder).withColumn("ROW_HASH", row_hash(F.col("meter_id"), time_text(F.col("data_time"))))
+    loads = [_before(rows, MIDDLE), rows, rows.drop("ROW_HASH")]
+    counts = [loading.insert_if_absent(spark, batch, path, time="data_time") for batch in loads]
+    reported = [(i, c.rows_input, c.rows_inserted, c.rows_skipped) for i, c in enumerate(counts)]
+    told = spark.createDataFrame(reported, "load int, rows_input long, rows_inserted long, rows_skipped long")
+    there = spark.read.parquet(path).agg(F.count("*").alias("rows_in_table"), F.count("ROW_HASH").alias("rows_with_key"))
+    return told.crossJoin(F.broadcast(there))  # three rows and one
+
+
+def proposed_mapping(spark, folder):
+    """Files with unknown headers, mapped by proposals that misspell names, lack some, or name some twice."""
+    root = scratch_path(spark, "proposed")
+    rows = raw_readings(spark, folder).select("meter_id", F.date_format("data_time", "yyyy-MM-dd").alias("d"), "import_active_power")
+    for number in range(3):
+        rows.toDF("Serial", "When", "Load").write.option("header", True).csv(f"{root}/case={number}")
+    sniffed = written(sniff_headers(list_files(spark, root, recursive=True)), "sniffed")
+    case = F.regexp_extract("path", r"case=(\d)", 1).cast("int")
+    pairs = [
+        [("SERIAL", "METER_ID"), ("When", "DATA_TIME"), ("load ", "IMPORT_ACTIVE_POWER"), ("Ghost", "STATUS")],
+        [("When", "DATA_TIME")],
+        [("When", "DATA_TIME"), ("Load", "DATA_TIME")],
+    ]
+    wanted = spark.createDataFrame([(i, a, b) for i, p in enumerate(pairs) for a, b in p], "number int, incoming string, target string")
+    proposals = sniffed.select("path", case.alias("number")).join(wanted, "number").drop("number")
+    mapped = map_headers(sniffed, proposals)
+    found = mapped.select(
+        "path", case.alias("case"), "kind", "problem", F.col("mapping")["METER_ID"].alias("meter_position"), F.col("mapping")["IMPORT_ACTIVE_POWER"].alias("power_position")
+    )
+    counted = found.join(count_rows(read_layouts(spark, mapped)), "path", "left")
+    return counted.groupBy("case", "kind", "problem", "meter_position", "power_position").agg(F.sum("rows_input").alias("n_rows"))
+
+
+def unhashed_run(spark, folder):
+    """A run without row hashes under other writer settings: the clean table's rows."""
+    places, raw = Places(scratch_path(spark, "run")), scratch_path(spark, "raw")
+    _as_text(raw_readings(spark, folder)).write.option("header", True).csv(raw)
+    files_to_clean(spark, raw, places, RUN, with_hash=False, compression="zstd", row_group_bytes=1 << 20)
+    back = read_parquet_tree(spark, places.clean(RUN))
+    return back.drop("source_filename", "quarter_folder")
+
+
 def unique_check(spark, folder):
     return checks.duplicate_keys(clean(spark, folder), ["meter_id", "data_time"])
 
@@ -416,6 +482,18 @@ def not_null_check(spark, folder):
     return checks.null_counts(clean(spark, folder), ["meter_id", "data_time", "import_active_power"])
 
 
+def table_checks_broken(spark, folder):
+    """The standing checks on tables with faults put in: missing hashes, repeated meters, repeated and undated days."""
+    rows = clean(spark, folder)
+    missing = F.col("src_id") % 100 == 0
+    keyed = rows.withColumn("ROW_HASH", F.when(~missing, row_hash(F.col("meter_id"), time_text(F.col("data_time")))))
+    used = written(usage(spark, folder), "usage")
+    used = used.unionByName(used.where("meter_id like '1%'"))
+    daily = written(daily_usage(staged(spark, folder)), "daily")
+    daily = daily.unionByName(daily.where("day(date) = 3")).withColumn("date", F.when(F.dayofmonth("date") != 5, F.col("date")))
+    return checks.table_checks(keyed, used, daily)
+
+
 def table_checks(spark, folder):
     rows = clean(spark, folder)
     keyed = rows.withColumn("ROW_HASH", row_hash(F.col("meter_id"), time_text(F.col("data_time"))))
@@ -528,14 +606,17 @@ def stream_ingest(spark, folder):
     return spark.read.parquet(target).select("METER_ID", "DATA_TIME", "IMPORT_ACTIVE_POWER", "QUARTER")
 
 
-def _load(spark, places, run, rows):
-    raw = scratch_path(spark, "raw")
-    text = rows.select(
+def _as_text(rows):
+    return rows.select(
         F.col("meter_id").alias("METER_ID"),
         F.date_format("data_time", "yyyy-MM-dd HH:mm:ss").alias("DATA_TIME"),
         F.col("import_active_power").alias("IMPORT_ACTIVE_POWER"),
     )
-    text.write.option("header", True).csv(raw)
+
+
+def _load(spark, places, run, rows):
+    raw = scratch_path(spark, "raw")
+    _as_text(rows).write.option("header", True).csv(raw)
     files_to_clean(spark, raw, places, run)
     clean_to_readings(spark, places, run)
 
@@ -593,6 +674,7 @@ QUERIES = {
     # incremental: K1-K5 J7 J8 J10 A15 ST3
     "insert_if_absent": insert_if_absent_query,
     "insert_if_absent_hash": insert_if_absent_hash,
+    "load_counts": load_counts,
     "upsert_by_key": upsert_by_key,
     "changed_meters": changed_meters_query,
     "readings_of_changed_meters": readings_of_changed,
@@ -604,13 +686,18 @@ QUERIES = {
     "run_not_in": run_not_in,
     "run_not_in_null": run_not_in_null,
     "stats_json": stats_json,
+    "stats_table": stats_table,
     "file_profile": file_profile,
     "unique_check": unique_check,
     "not_null_check": not_null_check,
     "table_checks": table_checks,
+    "table_checks_broken": table_checks_broken,
     # files and streams: S1-S8 P1-P5 J12 U1-U3 ST1 ST2
     "csv_harmonised": csv_harmonised,
     "header_mapping": header_mapping,
+    "proposed_mapping": proposed_mapping,
+    "reference_load": reference_load,
+    "unhashed_run": unhashed_run,
     "stream_ingest": stream_ingest,
     "file_stats_run": file_stats_run,
     "whole_run": whole_run,

@@ -1,0 +1,92 @@
+"""The pipeline against plain stages: planted cases are caught, clean documents stay as they are."""
+
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+
+import corpus_pipeline
+from test_simhash import plain_components, plain_print
+from wattline.llm import decontaminate
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def prose(n, seed):
+    rng = random.Random(seed)
+    words = ["the", "of", "and", "to", "in", "with", "that", "for"] + [f"{a}{b}" for a in ("ro", "wen", "thal", "mis", "dor") for b in ("ble", "ting", "ner", "sy")]
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("tables")
+    passage, leak = prose(70, "p"), prose(40, "b")
+    texts = {i: prose(120, i) for i in range(40)}
+    texts |= {100: texts[3], 101: texts[3] + " more", 102: prose(60, "x") + " " + passage + " " + prose(60, "y"), 103: prose(50, "z") + " " + passage}
+    texts |= {104: prose(60, "l") + " " + leak.upper() + " " + prose(60, "m"), 105: "12 34 %%% …", 106: "", 107: None, 108: "the"}
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in texts.items()]
+    rows += [(None, prose(90, "nobody"), None, None, None), (39, texts[39], "en", "s", len(texts[39]))]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame([(1, leak), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    return str(root), texts, passage
+
+
+def test_stages(spark, folder):
+    root, texts, passage = folder
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    schema = docs.schema
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, root)
+        assert docs.columns == schema.names
+        rows = docs.collect()
+        docs = spark.createDataFrame(rows, schema)
+        kept[name] = {r.doc_id: r.text for r in rows}
+        assert all(r.n_chars == len(r.text) for r in rows if r.doc_id is not None)
+        if name == "near_duplicates":
+            assert len(rows) == len(kept[name])
+    clean = set(range(40)) - {3}
+    for name in kept:
+        assert {i: kept[name][i] for i in clean} == {i: texts[i] for i in clean} and None in kept[name]
+    assert {105, 106, 107}.isdisjoint(kept["language_id"]) and {100, 101, 102, 103, 104, 3} <= set(kept["language_id"])
+    before = [(i, plain_print(t)) for i, t in kept["language_id"].items() if i is not None]
+    least = plain_components(before)
+    assert {i for i in kept["near_duplicates"] if i is not None} == {i for (i, _), c in zip(before, least) if i == c}
+    assert 3 in kept["near_duplicates"] and 100 not in kept["near_duplicates"]
+    assert " ".join(t for t in kept["repeated_passages"].values()).count(passage) == 1
+    items = decontaminate.Matcher([(1, prose(40, "b"))])
+    assert 104 in kept["repeated_passages"]
+    want = {i for i, t in kept["repeated_passages"].items() if not items.any(decontaminate.normal(t))}
+    assert set(kept["benchmark_leaks"]) == want and 104 not in want
+
+
+def test_run_equals_its_stages(spark, folder):
+    root, _, _ = folder
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, root)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = []
+    for r in docs.collect():
+        ids = [*library.encode(r.text or ""), 2]
+        shas = [hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), library.decode(ids))]
+        want.append((r.doc_id, len(ids), *shas))
+    assert sorted(map(tuple, corpus_pipeline.run(spark, root).collect()), key=str) == sorted(want, key=str)
+
+
+def test_empty_documents(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_registered(spark):
+    import __spark_entry__ as entry
+    from wattline.llm.queries import QUERIES
+
+    assert entry.queries()["pipeline"] is corpus_pipeline.run
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} and set(QUERIES) <= set(entry.queries())

@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 from wattline.sources.scratch import written
 
 MAX_LISTS = 4096
-SAMPLE_PER_LIST = 32  # vectors per list that the lists' centres are fitted on: at most MAX_LISTS times this
+PER_LIST = 4096  # vectors a list is meant to hold
+SAMPLE_PER_LIST, LEAST_SAMPLE = 32, 4096  # vectors that the lists' centres are fitted on: at most MAX_LISTS * SAMPLE_PER_LIST
 TARGET = 0.97  # share of a sample query's true neighbours in the sample that the lists it looks into must hold
 SAMPLE_QUERIES = 512
-LEAST_LISTS = 8
+LEAST_LISTS = 4
 CHUNK = 4096  # vectors of a list scanned by one task at a time
 BLOCK = 16  # rotated dimensions added between two tests
 CONFIDENCE = 2.1  # of the test that abandons a candidate, in standard deviations of the partial distance
-_STRIDE = 512
+_FIRST, _STRIDE = 512, 2048  # candidates looked at before the limit is set, and at a time after that
 
 
 @dataclass
@@ -72,31 +73,37 @@ def fit_centres(x: np.ndarray, lists: int, rounds: int = 10, seed: int = 5) -> n
     return centres
 
 
-def scan(blocks: list[np.ndarray], query: np.ndarray, k: int) -> np.ndarray:
+def squared(blocks: list[np.ndarray]) -> list[np.ndarray]:
+    return [(b**2).sum(axis=1) for b in blocks]
+
+
+def scan(blocks: list[np.ndarray], query: np.ndarray, k: int, squares: list[np.ndarray] | None = None) -> np.ndarray:
     """Candidates that may be among the k nearest: each keeps adding blocks of rotated dimensions until its partial
-    distance, scaled to all dimensions, tells with confidence that it is beyond the k-th found so far."""
+    distance, scaled to all dimensions, tells with confidence that it is beyond the k-th found so far. ``squares`` are the
+    squared lengths by block. Survivors are gathered once they are few; while most survive, whole runs are cheaper."""
+    squares = squared(blocks) if squares is None else squares
     dims, n = sum(b.shape[1] for b in blocks), len(blocks[0])
     parts = np.split(query, np.cumsum([b.shape[1] for b in blocks])[:-1])
-    kept, dist, limit = np.zeros(0, np.int64), np.zeros(0), np.inf
-    for low in range(0, n, _STRIDE):
-        alive, partial, done = np.arange(low, min(n, low + _STRIDE)), 0.0, 0
-        for block, q in zip(blocks, parts):
-            diff = block[alive] - q
-            partial = partial + np.einsum("ij,ij->i", diff, diff)
+    kept, dist, limit, slack = np.zeros(0, np.int64), np.zeros(0), np.inf, 1e-9 * float(query @ query)  # for rounding
+    for low, high in zip([0, *range(_FIRST, n, _STRIDE)], [*range(_FIRST, n, _STRIDE), n]):
+        alive: slice | np.ndarray = slice(low, high)
+        partial, near, done = np.zeros(high - low), None, 0
+        for block, square, q in zip(blocks, squares, parts):
+            partial = partial + square[alive] - 2 * (block[alive] @ q) + q @ q
             done += len(q)
-            if done < dims:
-                near = partial * (dims / done) <= limit * (1 + CONFIDENCE / done**0.5) ** 2
-            else:
-                near = partial <= limit * (1 + 1e-9)
-            if not near.all():
-                alive, partial = alive[near], partial[near]
-            if not len(alive):
-                break
+            bound = limit * ((1 + CONFIDENCE / done**0.5) ** 2 * done / dims if done < dims else 1) * (1 + 1e-9) + slack
+            inside = partial <= bound
+            near = inside if near is None else near & inside
+            if 3 * np.count_nonzero(near) < len(near) or done == dims:
+                alive = (np.arange(low, high) if isinstance(alive, slice) else alive)[near]
+                partial, near = partial[near], None
+                if not len(alive):
+                    break
         if len(alive):
             kept, dist = np.concatenate([kept, alive]), np.concatenate([dist, partial])
             if len(dist) > k:
                 limit = np.partition(dist, k - 1)[k - 1]
-                inside = dist <= limit * (1 + 1e-9)
+                inside = dist <= limit * (1 + 1e-9) + slack
                 kept, dist = kept[inside], dist[inside]
     return kept
 
@@ -125,7 +132,7 @@ def _placed(vectors: DataFrame, index: Index, dims: int, query: bool) -> DataFra
 def _scanned(batches: Iterator[pa.RecordBatch], index: Index, dims: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (list, chunk, kind): the chunk's candidates first, then the queries that look into it, which
     pass through in batches. Emits each query's best candidates of the chunk with exact scores."""
-    place, keys, vecs, blocks = None, [], [], None
+    place, keys, vecs, blocks, squares = None, [], [], None, None
     width = index.k + 1
     for batch in batches:
         if not batch.num_rows:
@@ -146,9 +153,10 @@ def _scanned(batches: Iterator[pa.RecordBatch], index: Index, dims: int) -> Iter
                 own, all_keys = np.concatenate(vecs), np.concatenate(keys)
                 turned = index.turned(own, False)
                 blocks = [np.ascontiguousarray(turned[:, i : i + BLOCK]) for i in range(0, turned.shape[1], BLOCK)]
+                squares = squared(blocks)
                 own = own.astype(np.float64)
             for q, v, t in zip(key, vec.astype(np.float64), index.turned(vec, True)):
-                near = scan(blocks, t, width)
+                near = scan(blocks, t, width, squares)
                 score = (own[near] * v).sum(axis=1)
                 order = np.lexsort((all_keys[near], -score))
                 if len(order) > width:  # ties at the border stay; ids decide later
@@ -192,11 +200,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "v
     asked = written(asked, "queries")
 
     count, bound = distinct.agg(F.count("*"), F.max("square")).first()
-    lists = int(min(MAX_LISTS, max(1, round(count**0.5))))
-    share = min(1.0, SAMPLE_PER_LIST * lists / count)
+    lists = int(min(MAX_LISTS, max(1, round(count / PER_LIST))))
+    size = max(LEAST_SAMPLE, SAMPLE_PER_LIST * lists)
+    share = min(1.0, size / count)
     taken = sorted(distinct.where(F.shiftrightunsigned(F.xxhash64("key"), 11) / float(1 << 53) < share).select("key", "vec").collect())
     if len(taken) < lists:  # a few vectors only
-        taken = sorted(distinct.select("key", "vec").limit(SAMPLE_PER_LIST * lists).collect())
+        taken = sorted(distinct.select("key", "vec").limit(size).collect())
     index = _fitted(np.frombuffer(b"".join(bytes(r.vec) for r in taken), "<f4").reshape(-1, dims), lists, bound * (1 + 1e-6), k)
     placed = written(_placed(distinct, index, dims, False), "lists")
     index.sizes[:] = 0

@@ -10,6 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH_BYTES = 8 << 20
+
+
+def keep_batches_small(spark: SparkSession) -> None:
+    """Bound the batches that go to Python by bytes: by rows alone, long texts would fill a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import small_batches, strings
+from wattline.llm.common import keep_batches_small, small_batches, strings
 
 RATE = 0.1  # edits allowed per character of a test item
 BLOCK_CHARS = 4_000_000  # test-item characters held by one pass over the documents
@@ -185,6 +185,7 @@ def matches(
     nothing, repeated rows give repeated matches, empty tables none. Items go through in blocks of a bounded
     size, each against all documents, so nothing is shuffled and a hot source or a popular item costs no more.
     """
+    keep_batches_small(docs.sparkSession)
     schema = "doc_id long, item_id long, start int, end int, distance int"
     picked = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     found = None
@@ -213,6 +214,7 @@ def clean(
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """The documents, all columns as they are, that hold no test item."""
+    keep_batches_small(docs.sparkSession)
     schema = docs.schema
     for block in item_blocks(items, item_id, item_text, block_chars):
 

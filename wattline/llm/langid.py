@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import small_batches, utf8
+from wattline.llm.common import keep_batches_small, small_batches, utf8
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -128,6 +128,7 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     """Fit on at most ``per_language`` documents of each language, chosen by a hash of their ids, and
     PER_DOCUMENT windows of each, some cut short so that short texts are known too. Rows without language or
     letters are left out. None if nothing is left. Only these windows reach the driver."""
+    keep_batches_small(labelled.sparkSession)
     rows = labelled.select(
         F.xxhash64(F.col(doc_id).cast("string")).alias("h"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("g")
     ).where("t is not null and g is not null")
@@ -208,12 +209,14 @@ def identify(docs: DataFrame, net: Net | None, doc_id: str = "doc_id", text: str
                 [batch.column("d"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"]
             )
 
+    keep_batches_small(docs.sparkSession)
     picked = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     return picked.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, net: Net | None, text: str = "text", least: float = 0.4) -> DataFrame:
     """The rows, all columns as they are, whose language is known with a score of at least ``least``."""
+    keep_batches_small(docs.sparkSession)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

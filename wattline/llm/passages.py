@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import row_key, small_batches, utf8
+from wattline.llm.common import keep_batches_small, row_key, small_batches, utf8
 from wattline.sources.scratch import written
 
 SHINGLE = 5  # words of a seed
@@ -47,7 +47,7 @@ def seeds(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per text and different seed: its first place, and the later ones where it recurs in the text."""
-    for batch in small_batches(batches, "t", 8 << 20):
+    for batch in small_batches(batches, "t", 4 << 20):
         hashes, keys, places, more = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
         for k, t in zip(batch.column("k").to_pylist(), utf8(batch.column("t"))):
             h, p = seeds(t.lower().split())
@@ -278,6 +278,7 @@ def repeated_passages(
     repeat both id and text count as one document; null or short texts have no passages; an empty table none.
     doc_key is the hash of id and text, for joining the result back to rows with repeated or null ids.
     """
+    keep_batches_small(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     rows = rows.where("length(t) > 0").withColumn("k", row_key("d", "t"))
     found = rows.select("k", "t").mapInArrow(_seed_rows, "h long, k long, p long, more array<long>")
@@ -296,7 +297,7 @@ def repeated_passages(
 
 def _own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words around each chain in place of the whole text."""
-    for batch in small_batches(batches, "t", 16 << 20):
+    for batch in small_batches(batches, "t", 4 << 20):
         at = batch.column("at").to_pylist()
         lows, words, last, split = [], [], None, []
         for k, t, a in zip(batch.column("k").to_pylist(), utf8(batch.column("t")), at):
@@ -313,7 +314,7 @@ def _own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _aligned(batches: Iterator[pa.RecordBatch], least_words: int, similarity: float) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64()]
     names = ["doc_id", "start", "end", "source_doc_id", "source_start", "source_end", "similarity", "doc_key"]
-    for batch in small_batches(batches, "rt", 16 << 20):
+    for batch in small_batches(batches, "rt", 4 << 20):
         rows, last, split = [], None, []
         data = [batch.column(c).to_pylist() for c in ("k", "d", "rk", "rd", "low", "at", "src")]
         for k, d, rk, rd, low, at, src, words, text in zip(*data, utf8(batch.column("words")), utf8(batch.column("rt"))):

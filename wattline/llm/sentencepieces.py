@@ -13,13 +13,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import small_batches, strings
+from wattline.llm.common import keep_batches_small, small_batches, strings
 
 SPACE = "▁"
 END = 2
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6  # piece types of the model format
-_CACHED = 300_000
+_CACHED, _TESTED = 200_000, 300_000  # words and pair tests a task remembers
 
 
 class Pieces:
@@ -116,7 +116,7 @@ class Pieces:
                 key = last[start] << 20 | token
                 fits = memo.get(key)
                 if fits is None:
-                    if len(memo) > 1_000_000:
+                    if len(memo) > _TESTED:
                         memo.clear()
                     fits = memo[key] = self.compatible(last[start], token)
                 if not fits:
@@ -222,6 +222,9 @@ def encode(
             kind = pa.string() if digests else pa.list_(pa.int32())
             arrays = [batch.column("d"), pa.array(counts, pa.int64()), pa.array(first, kind), pa.array(second, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", *(c.split()[0] for c in values.split(", "))])
+        # the worker process lives on and may do other work next
+        pieces.cache.clear(), pieces.memo.clear()
 
+    keep_batches_small(docs.sparkSession)
     picked = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     return picked.mapInArrow(run, f"doc_id long, n_tokens long, {values}")

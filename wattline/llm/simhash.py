@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import row_key, small_batches, utf8
+from wattline.llm.common import keep_batches_small, row_key, small_batches, utf8
 from wattline.llm.components import components
 from wattline.sources.scratch import written
 
@@ -46,10 +46,11 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "t", 32 << 20):
+        for batch in small_batches(batches, "t", 8 << 20):
             values = np.array([fingerprint(t, shingle) for t in utf8(batch.column("t"))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("d"), batch.column("k"), pa.array(values)], names=["doc_id", "key", "fp"])
 
+    keep_batches_small(docs.sparkSession)
     picked = docs.select(F.col(doc_id).cast("long").alias("d"), row_key(doc_id, text).alias("k"), F.col(text).cast("string").alias("t"))
     return picked.mapInArrow(run, "doc_id long, key long, fp long")
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import row_key, small_batches, utf8
+from wattline.llm.common import keep_batches_small, row_key, small_batches, utf8
 from wattline.sources.scratch import written
 
 LENGTH = 200  # bytes of a repeated string
@@ -315,6 +315,7 @@ def remove_repeats(
     matter. Equal neighbourhoods of an anchor are counted, not listed: a neighbourhood that occurs twice is
     repeated as a whole, and only the different ones of an anchor (at most ``2 * length`` bytes each) are sorted.
     """
+    keep_batches_small(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t")).withColumn("k", row_key("d", "t"))
     found = rows.where(F.octet_length("t") >= length).select("k", "t").mapInArrow(
         lambda it: _anchor_rows(it, length, anchor), "h long, k long, p long, c long, l int, r int"

@@ -15,13 +15,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import small_batches, strings
+from wattline.llm.common import keep_batches_small, small_batches, strings
 from wattline.sources.scratch import scratch_path
 
 BLOCK = 2048  # ids coded from a fresh start
 MAGIC = b"WTK1"
 HEADER = 17  # bytes before the first block
-_ROW_BYTES = 8 << 20  # text of one row of a file, at least one document
+_ROW_BYTES = 16 << 20  # text of one row of a file, at least one document
 _LANES = 4096  # blocks coded abreast
 _CACHED = 400_000
 _SIGNS = frozenset(".,;:!?")
@@ -36,7 +36,7 @@ _ODD = re.compile("\\s\\s|[\x1c-\x1f]")
 # the adaptive counts kept for the order-2 prediction's record, the order-1 prediction's, and the last size class
 # (order 0), so the context with more evidence weighs more.
 # Class c holds the values of c binary digits; a file body has as many classes as its largest id needs.
-_SLOTS = 2048
+_SLOTS = 1024
 _CONFIDENT = 7
 _LIMIT = 1024  # a record's counts are halved when one gets beyond this
 _STEP = 24
@@ -47,39 +47,42 @@ class _Blocks:
     """The model's state for many blocks abreast; coder and decoder step it alike."""
 
     def __init__(self, lanes: int, classes: int):
+        kind = np.int32 if classes <= 32 else np.int64
         self.lanes = np.arange(lanes)
-        self.guess = np.full((2, lanes * _SLOTS), -1, np.int64)
+        self.base = self.lanes * _SLOTS
+        self.guess = np.full((2, lanes * _SLOTS), -1, kind)
         self.trust = np.zeros((2, lanes * _SLOTS), np.int8)
-        self.width = 2 * (_CONFIDENT + 1) + classes
-        self.records = np.ones((3, lanes * self.width, 2 + classes), np.int16)
+        self.width, self.symbols = 2 * (_CONFIDENT + 1) + classes, 2 + classes
+        self.records = [np.ones((lanes * self.width, self.symbols), np.int16) for _ in range(3)]
+        self.flat = [r.reshape(-1) for r in self.records]
+        self.first_row = self.lanes * self.width
         self.last = np.zeros((2, lanes), np.int64)  # the id before, and the one before that
         self.size = np.zeros(lanes, np.int64)
 
     def predict(self, n: int) -> None:
         """Predictions and mixed counts for the first n lanes."""
-        base, one, two = self.lanes[:n] * _SLOTS, self.last[0, :n], self.last[1, :n]
-        self.slots = (base + ((one * 40503 + two * 60493 + 7919) >> 3) % _SLOTS, base + (one * 40503 >> 2) % _SLOTS)
-        self.second, self.first = self.guess[0][self.slots[0]], self.guess[1][self.slots[1]]
-        same = (self.second == self.first).astype(np.int64)
-        row = self.lanes[:n] * self.width
-        self.rows = (
-            row + self.trust[0][self.slots[0]] * 2 + same,
-            row + self.trust[1][self.slots[1]] * 2 + same,
-            row + 2 * (_CONFIDENT + 1) + self.size[:n],
-        )
-        self.counts = self.records[0][self.rows[0]] + self.records[1][self.rows[1]] + self.records[2][self.rows[2]]
+        base, one, two, row = self.base[:n], self.last[0, :n], self.last[1, :n], self.first_row[:n]
+        mixed = one * 40503
+        self.slots = (base + (mixed + two * 60493 + 7919 >> 3) % _SLOTS, base + (mixed >> 2) % _SLOTS)
+        self.second, self.first = self.guess[0].take(self.slots[0]), self.guess[1].take(self.slots[1])
+        self.trusted = self.trust[0].take(self.slots[0]), self.trust[1].take(self.slots[1])
+        row = row + (self.second == self.first)
+        self.rows = (row + 2 * self.trusted[0], row + 2 * self.trusted[1], self.first_row[:n] + (2 * (_CONFIDENT + 1) + self.size[:n]))
+        self.counts = self.records[0].take(self.rows[0], axis=0)
+        self.counts += self.records[1].take(self.rows[1], axis=0)
+        self.counts += self.records[2].take(self.rows[2], axis=0)
         self.upper = np.cumsum(self.counts, axis=1, dtype=np.int32)
 
     def learn(self, n: int, ids: np.ndarray, symbols: np.ndarray) -> None:
-        for table, rows in zip(self.records, self.rows):
-            count = table[rows, symbols] + np.int16(_STEP)
-            table[rows, symbols] = count
-            if (count > _LIMIT).any():
+        for table, flat, rows in zip(self.records, self.flat, self.rows):
+            at = rows * self.symbols + symbols
+            count = flat.take(at) + np.int16(_STEP)
+            flat[at] = count
+            if count.max() > _LIMIT:
                 full = rows[count > _LIMIT]
                 table[full] = (table[full] + 1) >> 1
-        for guess, trust, slots, was in ((self.guess[0], self.trust[0], self.slots[0], self.second), (self.guess[1], self.trust[1], self.slots[1], self.first)):
-            right = was == ids
-            trust[slots] = np.where(right, np.minimum(trust[slots] + 1, _CONFIDENT), trust[slots] >> 1)
+        for guess, trust, slots, was, trusted in zip(self.guess, self.trust, self.slots, (self.second, self.first), self.trusted):
+            trust[slots] = np.where(was == ids, np.minimum(trusted + 1, _CONFIDENT), trusted >> 1)
             guess[slots] = ids
         self.size[:n] = size_class(ids)
         self.last[1, :n] = self.last[0, :n]
@@ -334,7 +337,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: s
             columns += [pa.array([counts], pa.list_(pa.int64())), pa.array([body], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "first", "doc_ids", "counts", "body"])
             first += sum(counts)
+        _encoder(tokenizer).cache.clear()  # the worker process lives on and may do other work next
 
+    keep_batches_small(docs.sparkSession)
     picked = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     ordered = picked.repartitionByRange("d").sortWithinPartitions("d", "t")
     coded = ordered.mapInArrow(run, "part long, first long, doc_ids array<long>, counts array<long>, body binary")

@@ -129,3 +129,31 @@ def test_cut_words():
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert ps.repeated_passages(empty).count() == 0 and ps.without_repeats(empty).count() == 0
+
+
+def share_found(spark, docs, wanted):
+    """Share of the spans (text, start, end) of which 50 words or more are reported from either of its two texts."""
+    found = ps.repeated_passages(frame(spark, docs)).collect()
+    for r in found:
+        own, source = docs[r.doc_id][r.start : r.end], docs[r.source_doc_id][r.source_start : r.source_end]
+        assert r.end - r.start >= 50 and ps.distance(own, source) <= 0.2 * max(len(own), len(source)) + 1e-9
+    seen = {(r.doc_id, r.source_doc_id) for r in found}
+    return sum((a, b) in seen or (b, a) in seen for a, b in wanted) / len(wanted)
+
+
+def test_fuzzy_passages_of_few_words(spark):
+    """Random one-word changes inside the passage; by construction every pair is a passage of similarity 0.8 or more."""
+    for edits, least in ((0.1, 0.97), (0.15, 0.95), (0.19, 0.92)):
+        docs, wanted = {}, []
+        for n in range(200):
+            rng = random.Random(f"{edits}-{n}")
+            passage = words(rng.choice([52, 56, 60]), f"{edits}p{n}")
+            copy = list(passage)
+            for at in rng.sample(range(3, len(copy) - 3), int(edits * len(copy))):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            docs[2 * n] = words(20, f"{edits}a{n}") + passage + words(20, f"{edits}b{n}")
+            docs[2 * n + 1] = words(20, f"{edits}c{n}") + copy + words(20, f"{edits}d{n}")
+            wanted.append((2 * n, 2 * n + 1))
+        share = share_found(spark, docs, wanted)
+        print("edits", edits, "found", share)
+        assert share >= least

@@ -16,7 +16,6 @@ from wattline.llm.common import keep_batches_small, row_key, small_batches, utf8
 from wattline.sources.scratch import written
 
 SHINGLE = 5  # words of a seed
-WINDOW = 8  # of so many seeds in a row the one with the least hash is kept, so 12 equal words share one
 MIN_WORDS = 50
 SIMILARITY = 0.8
 GAP_COST = 0.04  # per word skipped on either side; a seed is worth SHINGLE
@@ -26,7 +25,7 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def seeds(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of the kept seeds of a text, by winnowing: equal runs of words keep equal seeds."""
+    """(hash, place) of the seeds of a text, one per place."""
     count = len(words) - SHINGLE + 1
     if count < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -37,12 +36,7 @@ def seeds(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     mixed ^= mixed >> np.uint64(32)
     mixed *= _MIX[0]
     mixed ^= mixed >> np.uint64(29)
-    if count <= WINDOW:
-        place = np.array([int(mixed.argmin())])
-    else:
-        least = np.lib.stride_tricks.sliding_window_view(mixed, WINDOW).argmin(axis=1)
-        place = np.unique(least + np.arange(len(least)))
-    return mixed[place].view(np.int64), place
+    return mixed.view(np.int64), np.arange(count)
 
 
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +205,8 @@ def _beyond(own: list, source: list, i: int, j: int, step: int) -> Run | None:
         if best:
             x, y, k = best
             low, src = (i + x, j + y) if step > 0 else (i - x - k + 1, j - y - k + 1)
-            return Run(low, low + k, src, max(x, y))
+            skipped = (own[i : i + x], source[j : j + y]) if step > 0 else (own[i - x + 1 : i + 1], source[j - y + 1 : j + 1])
+            return Run(low, low + k, src, distance(*skipped))
     return None
 
 

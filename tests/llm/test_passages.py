@@ -157,3 +157,21 @@ def test_fuzzy_passages_of_few_words(spark):
         share = share_found(spark, docs, wanted)
         print("edits", edits, "found", share)
         assert share >= least
+
+
+def test_passages_of_known_pieces(spark):
+    """Two texts share a passage of which other texts hold pieces under 50 words."""
+    for lengths, own in (((45,), 15), ((45,), 20), ((45, 45), 0), ((45, 45, 45), 0)):
+        docs, wanted = {}, []
+        for n in range(100):
+            pieces = [words(m, f"{lengths}{own}{n}-{i}") for i, m in enumerate(lengths)]
+            passage, tag = sum(pieces, []) + words(own, f"{lengths}{own}own{n}"), f"{lengths}{own}{n}"
+            for i, piece in enumerate(pieces):
+                for j in range(3):
+                    docs[10_000 + len(docs)] = words(20, f"{tag}e{i}{j}") + piece + words(20, f"{tag}f{i}{j}")
+            for i in (2 * n, 2 * n + 1):
+                docs[i] = words(20, f"{tag}g{i}") + passage + words(20, f"{tag}h{i}")
+            wanted.append((2 * n, 2 * n + 1))
+        share = share_found(spark, docs, wanted)
+        print("pieces", lengths, own, "found", share)
+        assert share == 1

@@ -18,6 +18,7 @@ from wattline.sources.scratch import written
 SHINGLE = 5  # words of a seed
 MIN_WORDS = 50
 SIMILARITY = 0.8
+LEAST_SPAN = SHINGLE + 3  # words that a chain's seeds span at least: as many as cross a border of two pieces
 GAP_COST = 0.04  # per word skipped on either side; a seed is worth SHINGLE
 MARGIN = 64  # words beside a chain that the alignment may extend into
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
@@ -57,9 +58,10 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _to_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ties each seed to its first occurrence: across texts the first text's, inside a text the text's own. Rows come
-    sorted by (h, k); only the first row of the open run is held, however long the run."""
-    open_h = open_k = open_p = before = None
+    """Ties each seed to its first occurrence: across texts the first text's, inside a text the text's own. Across texts it
+    is also tied to the text before it, as the first may hold a part of the passage only. Rows come sorted by (h, k);
+    only the first and the last row of the open run are held, however long the run."""
+    held, before = np.zeros((3, 0), np.int64), None
     for batch in batches:
         h, k, p = (batch.column(c).to_numpy() for c in ("h", "k", "p"))
         if not len(h):
@@ -71,16 +73,19 @@ def _to_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             later = np.array(batch.column("more")[int(i)].as_py(), np.int64)
             own = np.full(len(later), k[i])
             ties.append(np.stack([own, own, later, np.full(len(later), p[i])], axis=1))
-        h, k, p = h[~again], k[~again], p[~again]
-        if open_h is not None:
-            h, k, p = np.append(open_h, h), np.append(open_k, k), np.append(open_p, p)
+        done = held.shape[1]
+        h, k, p = np.concatenate([held, np.stack([h[~again], k[~again], p[~again]])], axis=1)
         if not len(h):
             continue
         fresh = np.concatenate([[True], h[1:] != h[:-1]])
         first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-        open_h, open_k, open_p = h[first[-1]], k[first[-1]], p[first[-1]]
+        ends = sorted({int(first[-1]), len(h) - 1})
+        held = np.stack([h[ends], k[ends], p[ends]])
         later = np.flatnonzero(first != np.arange(len(h)))
+        later = later[later >= done]
         ties.append(np.stack([k[later], k[first[later]], p[later], p[first[later]]], axis=1))
+        later = later[first[later] != later - 1]
+        ties.append(np.stack([k[later], k[later - 1], p[later], p[later - 1]], axis=1))
         tied = np.concatenate(ties)
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in tied.T], names=["k", "rk", "p", "rp"])
 
@@ -268,7 +273,7 @@ def repeated_passages(
 
     Words are split at white space, letter case of A-Z aside. Every occurrence but the first (in an arbitrary fixed
     order of documents) is reported, with the first as its source, or where a text repeats its own words with its first
-    place in the text: seeds are tied to one earlier occurrence only, so rows grow with the text, never with pairs of
+    place in the text: seeds are tied to two earlier occurrences at most, so rows grow with the text, never with pairs of
     copies, and a seed that recurs in a text is shuffled once for it. Exact copies of a whole text report the whole text. Rows that
     repeat both id and text count as one document; null or short texts have no passages; an empty table none.
     doc_key is the hash of id and text, for joining the result back to rows with repeated or null ids.
@@ -278,7 +283,7 @@ def repeated_passages(
     rows = rows.where("length(t) > 0").withColumn("k", row_key("d", "t"))
     found = rows.select("k", "t").mapInArrow(_seed_rows, "h long, k long, p long, more array<long>")
     tied = found.repartition("h").sortWithinPartitions("h", "k").mapInArrow(_to_first, "k long, rk long, p long, rp long")
-    least = max(2 * SHINGLE, least_words // 2)  # a chain's seeds may miss the ends of its passage
+    least = min(LEAST_SPAN, least_words)  # the rest of the passage may be tied to other texts, the alignment finds it
     linked = tied.repartition("k", "rk").sortWithinPartitions("k", "rk", "p")
     chained = written(linked.mapInArrow(lambda it: _chain_rows(it, least), "k long, rk long, at array<int>, src array<int>"), "chains")
     # only the texts that chains touch move on; of equal rows one is enough
@@ -287,7 +292,9 @@ def repeated_passages(
     own = texts.join(chained, "k").mapInArrow(_own_words, "k long, d long, rk long, low int, words string, at array<int>, src array<int>")
     source = texts.select(F.col("k").alias("rk"), F.col("d").alias("rd"), F.col("t").alias("rt"))
     schema = "doc_id long, start int, end int, source_doc_id long, source_start int, source_end int, similarity double, doc_key long"
-    return own.join(source, "rk").mapInArrow(lambda it: _aligned(it, least_words, similarity), schema).distinct()
+    aligned = own.join(source, "rk").mapInArrow(lambda it: _aligned(it, least_words, similarity), f"{schema}, source_key long").distinct()
+    sorted_spans = aligned.repartition("doc_key").sortWithinPartitions("doc_key", "source_key", "start", F.desc("end"), "source_start", "source_end")
+    return sorted_spans.mapInArrow(_uncovered, schema)
 
 
 def _own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,8 +314,8 @@ def _own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _aligned(batches: Iterator[pa.RecordBatch], least_words: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64()]
-    names = ["doc_id", "start", "end", "source_doc_id", "source_start", "source_end", "similarity", "doc_key"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64()]
+    names = ["doc_id", "start", "end", "source_doc_id", "source_start", "source_end", "similarity", "doc_key", "source_key"]
     for batch in small_batches(batches, "rt", 4 << 20):
         rows, last, split = [], None, []
         data = [batch.column(c).to_pylist() for c in ("k", "d", "rk", "rd", "low", "at", "src")]
@@ -319,11 +326,25 @@ def _aligned(batches: Iterator[pa.RecordBatch], least_words: int, similarity: fl
             source = split[base : src[-1] + SHINGLE + MARGIN]
             runs = align(words.split(), source, [a - low for a in at], [s - base for s in src])
             for a, b, x, y, share in similar_spans(runs, least_words, similarity):
-                rows.append((d, a + low, b + low, rd, x + base, y + base, share, k))
+                rows.append((d, a + low, b + low, rd, x + base, y + base, share, k, rk))
         columns = list(zip(*rows)) if rows else [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
 
+def _uncovered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leaves out a span that lies inside one with an earlier source; rows come sorted by document and source."""
+    last, starts, ends = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        kept = []
+        for k, a, b in zip(*(batch.column(c).to_pylist() for c in ("doc_key", "start", "end"))):
+            if k != last:
+                last, starts, ends = k, np.zeros(0, np.int64), np.zeros(0, np.int64)
+            kept.append(not bool(((starts <= a) & (ends >= b)).any()))
+            if kept[-1]:
+                starts, ends = np.append(starts, a), np.append(ends, b)
+        yield batch.drop_columns(["source_key"]).filter(pa.array(kept, pa.bool_()))
+
+
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
     """The text without the words in ``spans`` and the white space after each removed stretch."""
     gone = set()

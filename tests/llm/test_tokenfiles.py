@@ -77,3 +77,16 @@ def test_ids_themselves(spark, library, tmp_path):
 
 def test_empty_table(spark):
     assert tf.round_trip(spark.createDataFrame([], "doc_id long, text string"), TOKENIZER, 2).count() == 0
+
+
+def test_names_of_added_tokens_as_the_library_by_default(spark):
+    library = Tokenizer.from_file(TOKENIZER)  # no setting changed
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y z", "<|endoftext|", "a <|end oftext|> b", "é  <|endoftext|>\n c", "plain words, here."]
+    rng = np.random.default_rng(3)
+    texts += [" ".join(rng.choice(["<|endoftext|>", "a<|endoftext|>", "word", "it's", "<|", "|>", ""], rng.integers(1, 9))) for _ in range(500)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in want[0]
+    got = tf.Encoder(TOKENIZER, names_are_text=False).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, tf.round_trip(frame, TOKENIZER, 2).collect())) == plain(library, list(enumerate(texts)))

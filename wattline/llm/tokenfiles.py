@@ -266,15 +266,18 @@ class Encoder:
     """Byte-level ids of texts by the tokenizers library, which sees each different word once.
 
     No token of such a model spans from a sign to the white space after it, so a text can be cut before every
-    space that stands alone between two signs.
+    space that stands alone between two signs. Texts that hold the name of an added token go to the library whole, which
+    gives the token's id, or with ``names_are_text`` the ids of its letters.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, names_are_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their names in a text are ordinary text
+        self.library.encode_special_tokens = names_are_text
+        names = [] if names_are_text else [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([_ODD.pattern, *map(re.escape, names)]))
         self.tokenize = self.library.model.tokenize
         self.cache: dict[str, bytes] = {}  # ids of a word with a space before it
 
@@ -297,7 +300,7 @@ class Encoder:
         if len(self.cache) > _CACHED:
             self.cache.clear()
         cache = self.cache
-        cut = [None if _ODD.search(t) else t.split(" ") for t in texts]
+        cut = [None if self.odd.search(t) else t.split(" ") for t in texts]
         fresh: set[str] = set()
         for c in cut:
             if c:
@@ -316,7 +319,7 @@ class Encoder:
 
 @cache
 def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return Encoder(path, names_are_text=False)  # as the library encodes by default
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import decontaminate, hmm, langid, pages, passages, sentencepieces, simhash, suffixes, tokenfiles, vectors
+from wattline.llm import decontaminate, hmm, langid, packing, pages, passages, sentencepieces, simhash, suffixes, tokenfiles, vectors
 from wattline.llm.common import crc_part, table
 
 
@@ -54,11 +54,15 @@ def op10_suffix_groups(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, folder, "documents"), digests=True)
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, digests=True)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_wrapper_text, op3_adaptive_scan, op4_collinear_passages, op5_simhash, op6_pigeonhole_edits, op7_hidden_markov, op8_sentencepiece,
-        op9_token_files, op10_suffix_groups,
+        op9_token_files, op10_suffix_groups, op11_packing,
     )
 }
 ORACLES: dict[str, str] = {}

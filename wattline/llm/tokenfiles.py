@@ -23,12 +23,14 @@ MAGIC = b"WTK1"
 HEADER = 17  # bytes before the first block
 _ROW_BYTES = 16 << 20  # text of one row of a file, at least one document
 _LANES = 4096  # blocks coded abreast
-_CACHED = 400_000
+_CACHED = 1_000_000  # different words whose ids a worker keeps
+_LINES = 1000  # unseen words given to the library as one text
+_ONE = re.compile(r"[ \n]?\S+")
 _SIGNS = frozenset(".,;:!?")
-# byte-level models write bytes that are no visible Latin-1 sign as the signs from 256 on, in order
-_BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
-# runs of white space, and signs that are white space to one side only: such texts are encoded whole
-_ODD = re.compile("\\s\\s|[\x1c-\x1f]")
+# white space that does not stand alone between signs, and signs that are white space to one side only
+_ODD = re.compile("^\\s|\\s$|\\s\\s|[\x1c-\x1f]")
+# before a space or line feed that stands alone between signs
+_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 # ---- the coder ------------------------------------------------------------
 # An id is one of 2 + classes symbols: what followed the last two ids last time (order 2), what followed the last id
@@ -265,9 +267,10 @@ def unpack(body: bytes) -> np.ndarray:
 class Encoder:
     """Byte-level ids of texts by the tokenizers library, which sees each different word once.
 
-    No token of such a model spans from a sign to the white space after it, so a text can be cut before every
-    space that stands alone between two signs. Texts that hold the name of an added token go to the library whole, which
-    gives the token's id, or with ``names_are_text`` the ids of its letters.
+    No token of such a model spans from a sign to the white space after it, so a text can be cut before every space or
+    line feed that stands alone between two signs. Unseen words go to the library many at a time, a line each. Texts that
+    hold the name of an added token go to the library whole, which gives the token's id, or with ``names_are_text`` the
+    ids of its letters.
     """
 
     def __init__(self, path: str, names_are_text: bool = True):
@@ -277,44 +280,59 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = names_are_text
         names = [] if names_are_text else [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([_ODD.pattern, *map(re.escape, names)]))
-        self.tokenize = self.library.model.tokenize
-        self.cache: dict[str, bytes] = {}  # ids of a word with a space before it
+        self.names = re.compile("|".join(map(re.escape, names))) if names else None
+        self.feed = self._plain("\n")
+        self.by_line = len(self.feed) == 4  # a line feed is one token, which tells lines apart
+        self.cache: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a space and a word. Letters with a sign behind them are two stretches whatever stands around them, and
-        go to the library's model as such; anything else takes the library's whole way."""
-        letters, sign = (word[:-1], word[-1]) if word[-1:] in _SIGNS else (word, "")
-        if not letters.isalpha():
-            return self._plain(" " + word)
-        found = self.tokenize((" " + letters).encode().decode("latin-1").translate(_BYTE_SIGNS))
-        if sign:
-            found += self.tokenize(sign)
-        return np.array([t.id for t in found], "<u4").tobytes()
+    def _learn(self, words: list[str]) -> None:
+        """Put the ids of these different words into the cache. Letters and a sign behind them are two stretches whatever
+        stands around them, so such a word is put together from both."""
+        cache, lines, later = self.cache, [], []
+        for word in words:
+            if not (self.by_line and _ONE.fullmatch(word)):
+                cache[word] = self._plain(word)
+            elif word[-1] in _SIGNS and word[:-1].lstrip(" \n").isalpha():
+                later.append(word)
+            else:
+                lines.append(word)
+        known = set(lines)
+        lines += {w for x in later for w in (x[:-1], x[-1]) if w not in cache and w not in known}
+        packs = [lines[i : i + _LINES] for i in range(0, len(lines), _LINES)]
+        texts = ["\n".join([w[1:] if w[0] == "\n" else w for w in p]) for p in packs]
+        feed = int.from_bytes(self.feed, "little")
+        for pack_, found in zip(packs, self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            raw, ends = ids.tobytes(), [*(4 * np.flatnonzero(ids == feed)).tolist(), 4 * len(ids)]
+            start = 0
+            for word, end in zip(pack_, ends):
+                cache[word] = self.feed + raw[start:end] if word[0] == "\n" else raw[start:end]
+                start = end + 4
+        for word in later:
+            cache[word] = cache[word[:-1]] + cache[word[-1]]
+
+    def _words(self, text: str) -> list[str]:
+        """The text cut before every space or line feed that stands alone between signs."""
+        if _ODD.search(text):
+            return _CUT.split(text)
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return [first, *[w if w[:1] == "\n" else " " + w for w in rest]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         if len(self.cache) > _CACHED:
             self.cache.clear()
-        cache = self.cache
-        cut = [None if self.odd.search(t) else t.split(" ") for t in texts]
+        whole = [bool(self.names and self.names.search(t)) for t in texts]
+        cut = [[] if w or not t else self._words(t) for t, w in zip(texts, whole)]
         fresh: set[str] = set()
         for c in cut:
-            if c:
-                fresh.update(c[1:])
-        for word in fresh:
-            if word not in cache:
-                cache[word] = self._word(word)
-        out = []
-        for t, c in zip(texts, cut):
-            if c is None:
-                out.append(self._plain(t))
-            else:
-                out.append(self._plain(c[0]) + b"".join(map(cache.__getitem__, c[1:])))
-        return out
+            fresh.update(c)
+        self._learn([w for w in fresh if w not in self.cache])
+        ids = self.cache.__getitem__
+        return [self._plain(t) if w else b"".join(map(ids, c)) for t, w, c in zip(texts, whole, cut)]
 
 
 @cache

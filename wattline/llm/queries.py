@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import decontaminate, hmm, langid, packing, pages, passages, sentencepieces, simhash, suffixes, tokenfiles, vectors
+from wattline.llm import decontaminate, hmm, langid, lexical, packing, pages, passages, sentencepieces, simhash, suffixes, tokenfiles, vectors
 from wattline.llm.common import crc_part, table
+from wattline.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,11 +59,14 @@ def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, digests=True)
 
 
+def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=20)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_wrapper_text, op3_adaptive_scan, op4_collinear_passages, op5_simhash, op6_pigeonhole_edits, op7_hidden_markov, op8_sentencepiece,
-        op9_token_files, op10_suffix_groups, op11_packing,
+        op9_token_files, op10_suffix_groups, op11_packing, op12_lexical,
     )
 }
-ORACLES: dict[str, str] = {}

@@ -21,4 +21,31 @@ with words as (
 select * from ranked where rank <= 20
 """
 
-ORACLES = {"op12_lexical": LEXICAL}
+COLLOCATIONS = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) as piece from documents
+), worded as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), grams as (
+  select lang, k, array_to_string(w[s : s + k - 1], ' ') as phrase
+  from (select lang, w, k, unnest(generate_series(1, len(w) - k + 1)) as s from worded, generate_series(1, 5) as widths(k) where len(w) >= k)
+), counts as (select lang, k, phrase, count(*) as c from grams group by all
+), totals as (select lang, sum(c)::bigint as n from counts where k = 1 group by lang
+), candidates as (select lang, k, phrase, string_split(phrase, ' ') as w, c as a, n from counts join totals using (lang) where k > 1 and c >= 100
+), cuts as (
+  select *, array_to_string(w[1:cut], ' ') as head, array_to_string(w[cut + 1 : k], ' ') as tail
+  from (select *, unnest(generate_series(1, k - 1)) as cut from candidates)
+), scored as (
+  select cuts.lang, cuts.phrase, a, n, cut, h.c as l, t.c as r, (1000::hugeint * a * n) // (h.c::hugeint * t.c) as score
+  from cuts join counts h on h.lang = cuts.lang and h.phrase = head join counts t on t.lang = cuts.lang and t.phrase = tail
+), best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), inner_phrases as (
+  select distinct lang, a, array_to_string(w[s : s + m - 1], ' ') as phrase
+  from (select *, unnest(generate_series(1, k - m + 1)) as s from candidates, generate_series(2, 4) as widths(m) where m < k)
+), kept as (select * from best where not exists (
+  select 1 from inner_phrases i where i.lang = best.lang and i.phrase = best.phrase and 100 * i.a >= 100 * best.a)
+), ranked as (select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score::bigint as score from kept)
+select * from ranked where rank <= 2000
+"""
+
+ORACLES = {"op12_lexical": LEXICAL, "op13_collocations": COLLOCATIONS}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import decontaminate, hmm, langid, lexical, packing, pages, passages, sentencepieces, simhash, suffixes, tokenfiles, vectors
+from wattline.llm import collocations, decontaminate, hmm, langid, lexical, packing, pages, passages, sentencepieces, simhash, suffixes, tokenfiles, vectors
 from wattline.llm.common import crc_part, table
 from wattline.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
 
@@ -63,10 +63,14 @@ def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=20)
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_wrapper_text, op3_adaptive_scan, op4_collinear_passages, op5_simhash, op6_pigeonhole_edits, op7_hidden_markov, op8_sentencepiece,
-        op9_token_files, op10_suffix_groups, op11_packing, op12_lexical,
+        op9_token_files, op10_suffix_groups, op11_packing, op12_lexical, op13_collocations,
     )
 }

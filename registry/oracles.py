@@ -464,6 +464,20 @@ union all select 'consumption.not_null.meter_id', count(*) filter (meter_id is n
 union all select 'daily.unique.meter_id.date', count(*) filter (n > 1) from (
   select meter_id, reading_date, count(*) as n from (select distinct meter_id, reading_date from staged) group by 1, 2)
 union all select 'daily.not_null.meter_id', count(*) filter (meter_id is null) from staged
+union all select 'daily.not_null.date', count(*) filter (reading_date is null) from staged"""
+    ),
+    "run_checks": _sql(
+        """
+select 'readings.unique.meter_id.data_time' as check_name, count(*) as n_violations
+  from (select meter_id, data_time from clean group by 1, 2 having count(*) > 1)
+union all select 'readings.not_null.row_hash', 0
+union all select 'readings.not_null.meter_id', count(*) filter (meter_id is null) from clean
+union all select 'readings.not_null.data_time', count(*) filter (data_time is null) from clean
+union all select 'consumption.unique.meter_id', count(*) - count(distinct meter_id) from consumption
+union all select 'consumption.not_null.meter_id', count(*) filter (meter_id is null) from consumption
+union all select 'daily.unique.meter_id.date', count(*) filter (n > 1) from (
+  select meter_id, reading_date, count(*) as n from (select distinct meter_id, reading_date from staged) group by 1, 2)
+union all select 'daily.not_null.meter_id', count(*) filter (meter_id is null) from staged
 union all select 'daily.not_null.date', count(*) filter (reading_date is null) from staged"""
     ),
     "csv_harmonised": _sql(_csv_rows()),
@@ -493,6 +507,28 @@ select 'etl' as stage_name, 'success' as status, cast(null as varchar) as error_
   cast(6 * count(*) filter (import_active_power = 0) as bigint) as rows_with_zero_power
 from fx_readings
 union all select 'etl', 'failed', 'no column for METER_ID, IMPORT_ACTIVE_POWER', 0, null, null, null, null, null, null"""
+    ),
+    "broken_lines_run": _sql(
+        """
+select 'success' as status, count(*) as rows_input, count(*) filter (src_id % 7 <> 0) as rows_output,
+  count(*) filter (src_id % 7 = 0) as rows_filtered, 'date_parse_failures' as filter_reason,
+  count(distinct meter_id) filter (src_id % 7 <> 0) as unique_meters,
+  count(*) filter (src_id % 7 <> 0 and (src_id % 11 = 0 or import_active_power is null)) as rows_with_null_power,
+  count(*) filter (src_id % 7 <> 0 and src_id % 11 <> 0 and import_active_power = 0) as rows_with_zero_power
+from fx_readings"""
+    ),
+    "gated_run": _sql(
+        """
+select meter_id as "METER_ID", date_trunc('minute', data_time) as "DATA_TIME",
+  case when src_id % 11 <> 0 then import_active_power end as "IMPORT_ACTIVE_POWER", year(data_time) || '-Q' || quarter(data_time) as "QUARTER"
+from fx_readings where src_id % 7 <> 0"""
+    ),
+    "mixed_batches": _sql(
+        """
+select src_id, meter_id, data_time, case src_id % 4 when 1 then trunc(import_active_power) when 3 then null else import_active_power end
+    as import_active_power, case when src_id % 4 = 1 then 'ok' end as status, case when src_id % 4 = 3 then 7 end as note,
+  cast(data_time as date) as reading_date, src_id % 4 <> 2 as has_key
+from clean"""
     ),
     "whole_run": _sql("select * from violators"),
     "whole_run_twice": _incremental(),

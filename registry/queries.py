@@ -24,11 +24,13 @@ from wattline.operators.staging import (
 )
 from wattline.operators.violations import flag_over, regional_consumption, regional_violators, violation_category, violators, with_quality
 from wattline.plans.refresh import Places, Run, clean_to_readings, files_to_clean, readings_to_models
+from wattline.sources.buckets import BucketedTable
 from wattline.sources.delimited import count_rows, list_files, map_headers, read_layouts, read_readings, sniff_headers
+from wattline.sources.facts import FactTable
 from wattline.sources.reference import load_reference
 from wattline.sources.runlog import append_new_stats, hand_over, read_stats, take_over
 from wattline.sources.scratch import scratch_path, written
-from wattline.sources.tables import VersionedTable, read_parquet_tree, read_table, write_by_day
+from wattline.sources.tables import EmptyOutput, VersionedTable, read_quarters, read_table, write_by_day
 from wattline.spec import READING_COLUMNS, ModelSpec, QualitySpec, RegionSpec
 from wattline.streaming.arrivals import arriving_files, start_loading
 
@@ -280,7 +282,7 @@ def insert_if_absent_query(spark, folder):
     rows = clean(spark, folder)
     loading.insert_if_absent(spark, _before(rows, MIDDLE), path, ["meter_id", "data_time"], "data_time")
     loading.insert_if_absent(spark, rows, path, ["meter_id", "data_time"], "data_time")
-    return spark.read.parquet(path).select("meter_id", "data_time", "import_active_power", "src_id", "reading_date")
+    return FactTable(spark, path).read().select("meter_id", "data_time", "import_active_power", "src_id", "reading_date")
 
 
 def insert_if_absent_hash(spark, folder):
@@ -297,7 +299,7 @@ def insert_if_absent_hash(spark, folder):
     loading.insert_if_absent(spark, rows.where(F.col("DATA_TIME").isNull() | (F.to_date("DATA_TIME") < F.lit(MIDDLE))), path)
     loading.insert_if_absent(spark, rows, path)
     loading.insert_if_absent(spark, rows, path)
-    return spark.read.parquet(path).drop("ROW_HASH")
+    return FactTable(spark, path).read().drop("ROW_HASH")
 
 
 def upsert_by_key(spark, folder):
@@ -308,7 +310,7 @@ def upsert_by_key(spark, folder):
     new = _from(events, day, "ts").groupBy("meter_id").agg(
         F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("value").alias("max_value")
     )
-    target = VersionedTable(spark, scratch_path(spark, "upserted"))
+    target = BucketedTable(spark, scratch_path(spark, "upserted"), ["meter_id"])
     loading.upsert(target, old, ["meter_id"])
     return loading.upsert(target, new, ["meter_id"])
 
@@ -438,7 +440,7 @@ def load_counts(spark, folder):
     counts = [loading.insert_if_absent(spark, batch, path, time="data_time") for batch in loads]
     reported = [(i, c.rows_input, c.rows_inserted, c.rows_skipped) for i, c in enumerate(counts)]
     told = spark.createDataFrame(reported, "load int, rows_input long, rows_inserted long, rows_skipped long")
-    there = spark.read.parquet(path).agg(F.count("*").alias("rows_in_table"), F.count("ROW_HASH").alias("rows_with_key"))
+    there = FactTable(spark, path).read().agg(F.count("*").alias("rows_in_table"), F.count("ROW_HASH").alias("rows_with_key"))
     return told.crossJoin(F.broadcast(there))  # three rows and one
 
 
@@ -470,8 +472,7 @@ def unhashed_run(spark, folder):
     places, raw = Places(scratch_path(spark, "run")), scratch_path(spark, "raw")
     _as_text(raw_readings(spark, folder)).write.option("header", True).csv(raw)
     files_to_clean(spark, raw, places, RUN, with_hash=False, compression="zstd", row_group_bytes=1 << 20)
-    back = read_parquet_tree(spark, places.clean(RUN))
-    return back.drop("source_filename", "quarter_folder")
+    return read_quarters(spark, places.clean(RUN)).drop("source_filename")
 
 
 def unique_check(spark, folder):
@@ -598,12 +599,73 @@ def file_stats_run(spark, folder):
     )
 
 
+def _write_broken(spark, folder, raw, broken):
+    """The readings as lines whose note holds the separator: quoted as a rule, without quotes (a field too many) where ``broken``;
+    every eleventh of the others lacks its last field."""
+    rows = raw_readings(spark, folder).select(
+        "src_id", "meter_id", F.date_format("data_time", "yyyy-MM-dd HH:mm:ss").alias("time"), F.col("import_active_power").cast("string").alias("power")
+    )
+    note = F.when(broken, F.lit("a;b")).otherwise(F.lit('"a;b"'))
+    power = F.when(broken | (F.col("src_id") % 11 != 0), F.concat(F.lit(";"), F.coalesce("power", F.lit(""))))
+    lines = rows.select(F.concat(F.concat_ws(";", note, "meter_id", "time"), F.coalesce(power, F.lit(""))).alias("value"))
+    first = spark.createDataFrame([("note;METER_ID;DATA_TIME;IMPORT_ACTIVE_POWER",)], "value string")
+    first.unionByName(lines).coalesce(1).write.option("compression", "none").text(raw)
+
+
+def broken_lines_run(spark, folder):
+    """Statistics of a run over a file some of whose lines have more fields than the header, or fewer."""
+    places, raw = Places(scratch_path(spark, "run")), scratch_path(spark, "raw")
+    _write_broken(spark, folder, raw, F.col("src_id") % 7 == 0)
+    files_to_clean(spark, raw, places, RUN, pattern="*.txt")
+    told = take_over(spark, places.handed_over(RUN))
+    return told.select("status", "rows_input", "rows_output", "rows_filtered", "filter_reason", "unique_meters", "rows_with_null_power", "rows_with_zero_power")
+
+
+def gated_run(spark, folder):
+    """A run, then two of the same id that do not pass the gates (no line kept; too many lines broken): what readers find."""
+    places = Places(scratch_path(spark, "run"))
+    for broken, most, fails in ((F.col("src_id") % 7 == 0, 0.5, None), (F.lit(True), 1.0, EmptyOutput), (F.col("src_id") % 2 == 0, 0.2, checks.CheckFailed)):
+        raw = scratch_path(spark, "raw")
+        _write_broken(spark, folder, raw, broken)
+        if fails is None:
+            files_to_clean(spark, raw, places, RUN, pattern="*.txt", max_rejected=most)
+            continue
+        try:
+            files_to_clean(spark, raw, places, RUN, pattern="*.txt", max_rejected=most)
+        except fails:
+            continue
+        raise AssertionError("the gate let the run through")
+    return read_quarters(spark, places.clean(RUN)).select("METER_ID", "DATA_TIME", "IMPORT_ACTIVE_POWER", "QUARTER")
+
+
+def mixed_batches(spark, folder):
+    """One fact table from batches of different columns: short ones, full ones with a status and a whole-number power, one without key."""
+    path = scratch_path(spark, "mixed")
+    rows = clean(spark, folder).select("meter_id", "data_time", "import_active_power", "src_id")
+    keyed = rows.withColumn("ROW_HASH", row_hash(F.col("meter_id"), time_text(F.col("data_time"))))
+    part = F.col("src_id") % 4
+    full = keyed.withColumn("status", F.when(part == 1, F.lit("ok"))).withColumn("src_id", F.col("src_id").cast("long"))
+    loads = [
+        keyed.where(part == 0),
+        full.where(part == 1).withColumn("import_active_power", F.col("import_active_power").cast("int")),
+        rows.where(part == 2),
+        keyed.where(part == 3).withColumn("note", F.lit(7)).drop("import_active_power"),
+        full.where(part == 1),  # all of it known
+    ]
+    for batch in loads:
+        loading.insert_if_absent(spark, batch, path, time="data_time")
+    found = FactTable(spark, path).read()
+    return found.select(
+        "src_id", "meter_id", "data_time", "import_active_power", "status", "note", "reading_date", F.col("ROW_HASH").isNotNull().alias("has_key")
+    )
+
+
 def stream_ingest(spark, folder):
     """The written files loaded by the file stream: one row per meter and minute."""
     files = arriving_files(spark, write_layouts(spark, folder), LAYOUT_FILES, recursive=True)
     target = scratch_path(spark, "streamed")
     start_loading(files, target, scratch_path(spark, "stream-checkpoint"), run_id=RUN.run_id).awaitTermination()
-    return spark.read.parquet(target).select("METER_ID", "DATA_TIME", "IMPORT_ACTIVE_POWER", "QUARTER")
+    return FactTable(spark, target).read().select("METER_ID", "DATA_TIME", "IMPORT_ACTIVE_POWER", "QUARTER")
 
 
 def _as_text(rows):
@@ -639,6 +701,17 @@ def whole_run_twice(spark, folder):
     return readings_to_models(spark, places, second, *inputs, SPEC)["consumption_analysis"]
 
 
+def run_checks(spark, folder):
+    """The checks of the second of two runs, which looks at the days of the second load only."""
+    places, rows = Places(scratch_path(spark, "run")), raw_readings(spark, folder)
+    inputs = schedule_rows(spark, folder), site_rows(spark, folder)
+    second = Run("run_2", datetime(2024, 2, 2))
+    for run, part in ((RUN, _before(rows, MIDDLE)), (second, _from(rows, MIDDLE))):
+        _load(spark, places, run, part)
+        found = readings_to_models(spark, places, run, *inputs, SPEC)["table_checks"]
+    return found
+
+
 QUERIES = {
     # staging: W1 P6 P7 P8 A7 A8 J11 F1-F12 F14-F17
     "stage_readings": staged,
@@ -675,6 +748,7 @@ QUERIES = {
     "insert_if_absent": insert_if_absent_query,
     "insert_if_absent_hash": insert_if_absent_hash,
     "load_counts": load_counts,
+    "mixed_batches": mixed_batches,
     "upsert_by_key": upsert_by_key,
     "changed_meters": changed_meters_query,
     "readings_of_changed_meters": readings_of_changed,
@@ -692,6 +766,7 @@ QUERIES = {
     "not_null_check": not_null_check,
     "table_checks": table_checks,
     "table_checks_broken": table_checks_broken,
+    "run_checks": run_checks,
     # files and streams: S1-S8 P1-P5 J12 U1-U3 ST1 ST2
     "csv_harmonised": csv_harmonised,
     "header_mapping": header_mapping,
@@ -700,6 +775,8 @@ QUERIES = {
     "unhashed_run": unhashed_run,
     "stream_ingest": stream_ingest,
     "file_stats_run": file_stats_run,
+    "broken_lines_run": broken_lines_run,
+    "gated_run": gated_run,
     "whole_run": whole_run,
     "whole_run_twice": whole_run_twice,
 }

@@ -430,3 +430,63 @@ def test_stream_keeps_one_copy_and_counts_the_others(spark, tmp_path):
     one, two = (spark.read.parquet(str(tmp_path / n)).select(columns) for n in "sb")
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and one.count() == 12
     assert one.agg(F.max(F.to_date("DATA_TIME"))).first()[0] == date(2024, 1, 3)
+
+
+def test_broken_lines_are_counted_and_kept_apart(spark, tmp_path):
+    raw, places = tmp_path / "raw", Places(str(tmp_path / "root"))
+    put(
+        raw, "one.csv", "note,METER_ID,DATA_TIME,IMPORT_ACTIVE_POWER", '"a,b",1,2024-01-01 00:00:00,5', "a,b,2,2024-01-01 00:00:00,6",
+        "x,3,2024-01-01 00:30:00", "c,4,2024-01-01 01:00:00,7,,", "y,5,2024-01-01 01:30:00,8",
+    )
+    put(raw, "two.csv", "METER_ID,DATA_TIME,IMPORT_ACTIVE_POWER", "1,2,3,4", "5,6,7,8")
+    assert files_to_clean(spark, str(raw), places, RUN1) == 3
+    told = {r.source_filename: r for r in take_over(spark, places.handed_over(RUN1)).collect()}
+    one, two = told["one.csv"], told["two.csv"]
+    assert (one.rows_input, one.rows_output, one.rows_filtered, one.rows_with_null_power, one.status) == (5, 3, 2, 1, "success")
+    assert (two.rows_input, two.rows_output, two.status) == (2, None, "failed")
+    assert clean_to_readings(spark, places, RUN1).rows_inserted == 3
+
+
+def test_a_gate_keeps_the_last_good_output(spark, tmp_path):
+    from wattline.operators.checks import CheckFailed
+    from wattline.sources.tables import read_quarters
+
+    raw, places = tmp_path / "raw", Places(str(tmp_path / "root"))
+    header = "METER_ID,DATA_TIME,IMPORT_ACTIVE_POWER"
+    put(raw, "one.csv", header, *rows_for(1))
+    written_rows = files_to_clean(spark, str(raw), places, RUN1)
+    good = sorted(map(str, read_quarters(spark, places.clean(RUN1)).collect()))
+    assert len(good) == written_rows
+    put(raw, "one.csv", header)
+    with pytest.raises(EmptyOutput):
+        files_to_clean(spark, str(raw), places, RUN1)
+    put(raw, "one.csv", header, "1,2,3,4")
+    with pytest.raises(EmptyOutput):
+        files_to_clean(spark, str(raw), places, RUN1)
+    put(raw, "one.csv", header, *rows_for(1), "1,2,3,4")
+    with pytest.raises(CheckFailed):
+        files_to_clean(spark, str(raw), places, RUN1, max_rejected=0.0)
+    assert sorted(map(str, read_quarters(spark, places.clean(RUN1)).collect())) == good
+    files_to_clean(spark, str(raw), places, RUN1)
+    assert read_quarters(spark, places.clean(RUN1), rejects=True).where("rejected").count() == 1
+
+
+def test_publishing_that_breaks_off_loses_nothing(spark, tmp_path, monkeypatch):
+    from wattline.sources import tables
+
+    def folder(name, text):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f").write_text(text)
+        return str(tmp_path / name)
+
+    place = folder("place", "old")
+    # what stood there was moved aside, the new one not moved in
+    (tmp_path / "place").rename(tmp_path / "_before.place")
+    tables.recover(spark, place)
+    assert (tmp_path / "place" / "f").read_text() == "old"
+    # the new one was moved in, the old one not deleted
+    folder("_before.place", "older")
+    tables.recover(spark, place)
+    assert (tmp_path / "place" / "f").read_text() == "old" and not (tmp_path / "_before.place").exists()
+    tables.publish(spark, folder("built", "new"), place)
+    assert (tmp_path / "place" / "f").read_text() == "new" and not (tmp_path / "built").exists()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_BYTES = 64 << 20
 SALTS = 16
+FILTER_BITS = 24
 
 
 def join_per_key(
@@ -41,3 +42,17 @@ def join_per_key(
 def row_bytes(df: DataFrame) -> int:
     """A generous size of one row in memory: 64 bytes per text, 16 per other value, and the row itself."""
     return 32 + sum(64 if f.dataType.simpleString() == "string" else 16 for f in df.schema.fields)
+
+
+def possible_matches(facts: DataFrame, keys: DataFrame, on: list[str], bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``facts`` whose key may be among ``keys``: all that are, and of the others a share of at most the number of
+    keys over 2 to the power ``bits``. The facts are not shuffled.
+
+    The keys become a bitmap of hashes, kept as one row per 64 bits, which is broadcast: never more than 2 to the power ``bits`` - 6
+    rows (262,144 as a rule), however many keys there are. Nulls in a key are equal.
+    """
+    spot = F.pmod(F.xxhash64(*on), F.lit(1 << bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(spot, F.lit(64)).cast("int"))
+    words = keys.groupBy(F.shiftright(spot, 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    marked = facts.withColumn("_word", F.shiftright(spot, 6))
+    return marked.join(F.broadcast(words), "_word").where(F.col("_bits").bitwiseAND(bit) != 0).select(*facts.columns)

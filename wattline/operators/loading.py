@@ -9,9 +9,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.operators.joins import MAX_BROADCAST_BYTES, join_per_key
+from wattline.operators.joins import MAX_BROADCAST_BYTES, join_per_key, possible_matches
+from wattline.sources.buckets import BucketedTable
+from wattline.sources.facts import FactTable
 from wattline.sources.scratch import written
-from wattline.sources.tables import EmptyOutput, VersionedTable, has_data, write_by_day
+from wattline.sources.tables import EmptyOutput, VersionedTable, write_by_day
 
 log = logging.getLogger(__name__)
 
@@ -62,9 +64,10 @@ def insert_if_absent(
     """Append the rows of a batch whose key is not in the day-partitioned target yet.
 
     Existing rows are never changed. Copies inside one batch are kept, as is everything on the
-    first load and everything in a batch without the key columns. Only the target's folders for
-    the batch's days are read; their keys are made distinct before the join (copies collapse
-    before the shuffle), and a key with very many batch rows is left to the runtime skew split. Keys are
+    first load and everything in a batch without the key columns. The table's recorded columns grow by those of the batch;
+    columns the batch lacks are null in its rows. Only the target's folders for
+    the batch's days are read; of their keys only those that a bounded filter of the batch's keys lets through are
+    made distinct and shuffled for the join, and a key with very many batch rows is left to the runtime skew split. Keys are
     compared within one day, nulls being equal: chance matches of hashes across days cannot lose a reading.
     The inserted rows are counted in the stage that writes, where a retried task counts once.
     """
@@ -73,13 +76,17 @@ def insert_if_absent(
     rows_input = rows.count()
     if rows_input == 0:
         raise EmptyOutput("the batch holds no rows")
-    fresh, cluster_by = rows, [k for k in keys if k in rows.columns]
+    facts, there = FactTable(spark, path, DAY), {c.lower() for c in rows.columns}
+    known, loaded = {f.name.lower() for f in facts.schema()}, facts.exists()
+    facts.admit(rows.schema)
+    rows = facts.fitted(rows)
+    fresh, cluster_by = rows, [k for k in keys if k.lower() in there]
     if len(cluster_by) < len(keys):
         log.warning("key columns %s are not in the batch: appending all rows to %s", keys, path)
-    elif has_data(spark, path):
+    elif loaded and known >= {k.lower() for k in keys}:
         both = [DAY, *[k for k in keys if k != DAY]]
-        target = spark.read.schema(rows.select(*both).schema).parquet(path)
-        fresh = absent_rows(rows, _same_days(target, rows).select(*both).distinct(), both)
+        near = possible_matches(_same_days(facts.read(), rows).select(*both), rows.select(*both), both)
+        fresh = absent_rows(rows, near.distinct(), both)
     inserted = write_by_day(fresh, path, DAY, cluster_by)
     return LoadCounts(rows_input, inserted)
 
@@ -93,9 +100,13 @@ def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(new, allowMissingColumns=True)
 
 
-def upsert(table: VersionedTable, new: DataFrame, keys: list[str]) -> DataFrame:
+def upsert(table: VersionedTable | BucketedTable, new: DataFrame, keys: list[str]) -> DataFrame:
     """Apply ``upserted`` to a table; the first run is a full build. The new rows are computed once: they are
-    written before their keys are held against the old ones."""
+    written before their keys are held against the old ones. A bucketed table rewrites only the buckets of their keys."""
+    if isinstance(table, BucketedTable):
+        if table.keys != keys:
+            raise ValueError(f"the table's buckets are by {table.keys}")
+        return table.upsert(new)
     if not table.exists():
         return table.replace(new)
     return table.replace(upserted(table.read(), written(new, "upsert"), keys))

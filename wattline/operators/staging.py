@@ -74,18 +74,35 @@ def stage_keyed(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFr
     return _staged(keyed)
 
 
-def stage_unkeyed(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFrame:
-    """Rows lacking meter or time share one key, so at most one staged row in all."""
+def _first_unkeyed(spec: OutlierSpec) -> Column:
+    """What the row kept of those lacking meter or time has least of, as a whole; null for rows that have both."""
+    watts = _inside(spec)
     first = F.struct(
-        F.col("watts").isNull().alias("no_watts"),
-        (-F.col("watts")).alias("falling"),
+        watts.isNull().alias("no_watts"),
+        (-watts).alias("falling"),
         F.col("meter_id").isNull().alias("no_meter"),
         "meter_id",
         "reading_at",
-        "watts",
+        watts.alias("watts"),
     )
-    bounded = _raw(clean).where(~_has_key()).withColumn("watts", _inside(spec))
-    one = bounded.agg(F.min(first).alias("row")).where("row is not null")
+    return F.min(F.when(~_has_key(), first))
+
+
+def stage_unkeyed(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFrame:
+    """Rows lacking meter or time share one key, so at most one staged row in all."""
+    return unkeyed_of_days(_raw(clean).agg(_first_unkeyed(spec).alias("unkeyed")))
+
+
+def fact_days(clean: DataFrame, day: str, spec: OutlierSpec = PRESET.outliers) -> DataFrame:
+    """Per day of the fact table its number of rows (``fact_rows``) and its candidate for the one staged row without a full key, so
+    both follow for all days from a row per day."""
+    rows = clean.select(F.col(day).alias("_day"), F.col("METER_ID").cast("string").alias("meter_id"), F.col("DATA_TIME").alias("reading_at"), F.col("IMPORT_ACTIVE_POWER").alias("watts"))
+    return rows.groupBy(F.col("_day").alias(day)).agg(F.count("*").alias("fact_rows"), _first_unkeyed(spec).alias("unkeyed"))
+
+
+def unkeyed_of_days(days: DataFrame) -> DataFrame:
+    """The staged row without a full key, from the candidates of ``fact_days``."""
+    one = days.agg(F.min("unkeyed").alias("row")).where("row is not null")
     return _staged(one.select("row.meter_id", "row.reading_at", "row.watts"))
 
 

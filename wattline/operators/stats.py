@@ -55,8 +55,9 @@ def _counts(staged: DataFrame) -> tuple[Column, Column, Column]:
 
 
 def staging_stats(clean: DataFrame, staged: DataFrame, run_id: str, run_timestamp: datetime) -> DataFrame:
-    """What deduplication and masking did, as one row. ``staged`` is the staged readings, or the meters' days."""
-    raw = clean.agg(F.count("*"))
+    """What deduplication and masking did, as one row. ``clean`` is the readings, or the days of the fact table; ``staged`` is the
+    staged readings, or the meters' days."""
+    raw = clean.agg(F.coalesce(F.sum("fact_rows"), F.lit(0)) if "fact_rows" in clean.columns else F.count("*"))
     rows, nulls, zeros = _counts(staged)
     out = staged.agg(
         F.coalesce(F.sum(rows), F.lit(0)).alias("rows_output"),

@@ -16,9 +16,11 @@ from wattline.operators.loading import DAY, LoadCounts, insert_if_absent, new_pa
 from wattline.operators.nearest import nearest_location
 from wattline.operators.periods import attach_periods, schedule_repeats
 from wattline.operators.quality import quality_of_days
-from wattline.operators.staging import exclude_dates, stage_keyed, stage_schedule, stage_sites, stage_unkeyed
+from wattline.operators.staging import exclude_dates, fact_days, stage_keyed, stage_schedule, stage_sites, unkeyed_of_days
 from wattline.operators.violations import regional_consumption, regional_violators, violators
-from wattline.sources.delimited import Resolver, count_rows, list_files, read_layouts, read_readings
+from wattline.sources.buckets import BucketedTable
+from wattline.sources.delimited import Resolver, count_rows, list_files, read_readings
+from wattline.sources.facts import FactTable, day_files
 from wattline.sources.runlog import append_new_stats, append_records, append_stats, hand_over, read_stats, take_over
 from wattline.sources.scratch import scratch_area, written
 from wattline.sources.tables import (
@@ -26,7 +28,9 @@ from wattline.sources.tables import (
     VersionedTable,
     delete_path,
     has_data,
-    read_parquet_tree,
+    publish,
+    read_quarters,
+    recover,
     replace_table,
     write_by_day,
     write_quarters,
@@ -49,6 +53,9 @@ class Places:
     def clean(self, run: Run) -> str:
         return f"{self.root}/clean/{run.run_id}"
 
+    def building(self, run: Run) -> str:
+        return f"{self.root}/clean/_building/{run.run_id}"
+
     def handed_over(self, run: Run) -> str:
         return f"{self.root}/etl_stats/{run.run_id}"
 
@@ -77,27 +84,41 @@ def files_to_clean(
     with_hash: bool = True,
     compression: str = "snappy",
     row_group_bytes: int | None = None,
+    max_rejected: float = 1.0,
 ) -> int:
     """All CSV files of a folder (by default those named so) to clean Parquet by quarter, in one job; returns rows written.
 
-    No file is a clean no-op. A run that reads files but writes nothing removes its output and
-    fails. A repeated run writes its folder anew. The rows of each file are counted by a scan of their own, without
-    parsing values; with ``on_reject="skip"`` the files turned away appear in the statistics with their problem.
+    No file is a clean no-op. The output is written aside and put in its place only when it passes the gates: a run that
+    reads files but keeps no row, or rejects more than a share of ``max_rejected`` of all lines, fails and leaves what an
+    earlier run of this id had written. Lines with more fields than their header are rejected; the same job writes them to a
+    folder of their own, so the lines of each file are counted without reading it again. With
+    ``on_reject="skip"`` the files turned away appear in the statistics with their problem.
     """
     started = monotonic()
     files = list_files(spark, raw_folder, pattern, recursive)
     if files.isEmpty():
         return 0
     with scratch_area(spark):
-        clean, mapped = read_readings(spark, files, resolver=resolver, on_reject=on_reject, with_hash=with_hash)
+        clean, mapped = read_readings(spark, files, resolver=resolver, on_reject=on_reject, with_hash=with_hash, with_rejects=True)
         mapped = written(mapped, "mapped")
-        write_quarters(clean, places.clean(run), compression, row_group_bytes)
-        if not has_data(spark, places.clean(run)):
-            delete_path(spark, places.clean(run))
-            raise EmptyOutput(f"no rows written from {raw_folder}")
-        back = read_parquet_tree(spark, places.clean(run))
-        inputs = files.join(mapped.select("path", "problem"), "path", "left").join(count_rows(read_layouts(spark, mapped)), "path", "left")
-        rows = stats.file_stats(back, inputs, run.run_id, run.run_timestamp, monotonic() - started)
+        place, aside = places.clean(run), places.building(run)
+        try:
+            write_quarters(clean, aside, compression, row_group_bytes)
+            if not has_data(spark, aside):
+                raise EmptyOutput(f"no rows written from {raw_folder}")
+            back = read_quarters(spark, aside, rejects=True)
+            lines = written(count_rows(back), "lines")
+            read, kept = lines.agg(F.coalesce(F.sum("rows_input"), F.lit(0)), F.coalesce(F.sum("rows_kept"), F.lit(0))).first()
+            if not kept:
+                raise EmptyOutput(f"no rows written from {raw_folder}")
+            if read - kept > max_rejected * read:
+                raise checks.CheckFailed(f"{read - kept} of {read} lines of {raw_folder} have more fields than their header")
+            publish(spark, aside, place)
+        except Exception:
+            delete_path(spark, aside)
+            raise
+        inputs = files.join(mapped.select("path", "problem"), "path", "left").join(lines.drop("rows_kept"), "path", "left")
+        rows = stats.file_stats(read_quarters(spark, place), inputs, run.run_id, run.run_timestamp, monotonic() - started)
         hand_over(rows, places.handed_over(run))
     return take_over(spark, places.handed_over(run)).agg(F.sum("rows_output")).first()[0]
 
@@ -114,7 +135,8 @@ def clean_to_readings(spark: SparkSession, places: Places, run: Run, keys: list[
     }
     append_new_stats(take_over(spark, places.handed_over(run)), places.stats)
     try:
-        batch = read_parquet_tree(spark, places.clean(run)).drop("quarter_folder")
+        recover(spark, places.clean(run))
+        batch = read_quarters(spark, places.clean(run))
         counts = insert_if_absent(spark, batch, places.readings, keys)
     except Exception as error:
         failure = {"status": "failed", "error_message": str(error), "processing_seconds": monotonic() - started}
@@ -132,15 +154,15 @@ def clean_to_readings(spark: SparkSession, places: Places, run: Run, keys: list[
     return counts
 
 
-def _day_marks(source: DataFrame) -> DataFrame:
-    """Per day a hash of the set of its files, from file names alone."""
-    files = source.select(DAY, "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
-    one = F.xxhash64("file_path", "file_size", F.col("file_modification_time").cast("string"))
-    return files.groupBy(DAY).agg(F.hash(F.sort_array(F.collect_list(one))).alias("files"))
+def _day_marks(spark: SparkSession, path: str) -> DataFrame:
+    """Per day of a table by day a hash of the set of its files, from the listing alone."""
+    one = F.xxhash64("path", "length", F.col("modificationTime").cast("string"))
+    return day_files(spark, path, DAY).groupBy(DAY).agg(F.hash(F.sort_array(F.collect_list(one))).alias("files"))
 
 
 def refresh_days(
     source: DataFrame,
+    source_path: str,
     build: Callable[[DataFrame], DataFrame],
     path: str,
     marks_path: str,
@@ -148,15 +170,16 @@ def refresh_days(
     cluster_by: list[str],
     full_refresh: bool = False,
 ) -> DataFrame:
-    """A table by day built from a table by day, where only days whose source changed are built again.
+    """A table by day built from a table by day (``source``, read from ``source_path``), where only days whose source changed are read
+    and built again.
 
-    A day is unchanged when its source consists of the same files (path, size and time of writing) and the table was
-    built in the same ``context``; both are recorded after the days are written, so a run that fails before builds
+    A day is unchanged when its source consists of the same files (path, size and time of writing, as the listing tells them) and the
+    table was built in the same ``context``; both are recorded after the days are written, so a run that fails before builds
     them again. A full rebuild forgets the record first: if it fails, the next run rebuilds everything.
     """
     spark = source.sparkSession
     marks = VersionedTable(spark, marks_path)
-    days = written(_day_marks(source).withColumn("context", F.lit(context)), "days")
+    days = written(_day_marks(spark, source_path).withColumn("context", F.lit(context)), "days")
     todo, only_its_days = source, False
     known = marks.read() if marks.exists() and not full_refresh else None
     if known is not None and known.where(F.col("context") == context).isEmpty():
@@ -165,10 +188,12 @@ def refresh_days(
         marks.clear()
     else:
         old = known.select(F.col(DAY).alias("day"), F.col("files").alias("known_files"))
-        changed = days.where(F.col(DAY).isNotNull()).join(old, (F.col(DAY) == F.col("day")) & (F.col("files") == F.col("known_files")), "left_anti")
+        changed = days.join(old, F.col(DAY).eqNullSafe(F.col("day")) & (F.col("files") == F.col("known_files")), "left_anti")
         # one short row per calendar day
         listed = [row[0] for row in changed.select(DAY).collect()]
-        todo, only_its_days = source.where(F.col(DAY).isin(listed) if listed else F.lit(False)), True
+        dated = [d for d in listed if d is not None]
+        wanted = F.col(DAY).isin(dated) if dated else F.lit(False)
+        todo, only_its_days = source.where(wanted | F.col(DAY).isNull() if len(dated) < len(listed) else wanted), True
     built = build(todo)
     write_by_day(built, path, DAY, cluster_by, mode="overwrite", only_its_days=only_its_days)
     marks.replace(days)
@@ -181,21 +206,23 @@ def refresh_staged(
 ) -> DataFrame:
     """Staged readings as a table by day (see ``refresh_days``). A reading's key contains its time, so copies never
     cross days. The one row for readings without a full key is kept apart."""
-    keyed, unkeyed = _refresh_staged(fact, places, spec, full_refresh)
+    keyed, unkeyed, *_ = _refresh_staged(fact, places, spec, full_refresh)
     return keyed.unionByName(unkeyed)
 
 
-def _refresh_staged(fact: DataFrame, places: Places, spec: OutlierSpec, full_refresh: bool) -> tuple[DataFrame, DataFrame]:
-    keyed = refresh_days(
-        fact,
-        lambda rows: stage_keyed(rows, spec),
-        places.model("staged_readings"),
-        places.model("staged_days"),
-        f"{spec.low} {spec.high}",
-        ["meter_id", "reading_at"],
-        full_refresh,
-    )
-    return keyed, replace_table(stage_unkeyed(fact, spec), places.model("staged_without_key"))
+def _refresh_staged(
+    fact: DataFrame, places: Places, spec: OutlierSpec, full_refresh: bool
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Staged rows with a full key, the one without, and per day of the facts its counts and the state of its checks."""
+    context = f"{spec.low} {spec.high}"
+
+    def refreshed(build: Callable[[DataFrame], DataFrame], name: str, marks: str, cluster_by: list[str]) -> DataFrame:
+        return refresh_days(fact, places.readings, build, places.model(name), places.model(marks), context, cluster_by, full_refresh)
+
+    keyed = refreshed(lambda rows: stage_keyed(rows, spec), "staged_readings", "staged_days", ["meter_id", "reading_at"])
+    days = refreshed(lambda rows: fact_days(rows, DAY, spec), "fact_days", "fact_days_built", [])
+    checked = refreshed(lambda rows: checks.fact_checks(rows, DAY), "fact_checks", "fact_checks_built", [])
+    return keyed, replace_table(unkeyed_of_days(days), places.model("staged_without_key")), days, checked
 
 
 def _content(df: DataFrame) -> str:
@@ -234,8 +261,7 @@ def _build_models(
     spec: ModelSpec,
     full_refresh: bool,
 ) -> dict[str, DataFrame]:
-    fact = spark.read.parquet(places.readings)
-    keyed, unkeyed = _refresh_staged(fact, places, spec.outliers, full_refresh)
+    keyed, unkeyed, loaded, checked = _refresh_staged(FactTable(spark, places.readings, DAY).read(), places, spec.outliers, full_refresh)
     calendar = replace_table(stage_schedule(schedule), places.model("staged_schedule"))
     # two schedule rows for a calendar day of a location would double its readings
     checks.require_none(schedule_repeats(calendar), "schedule days repeat")
@@ -246,26 +272,28 @@ def _build_models(
         return meter_days(attach_periods(rows, locations, calendar, spec.periods), spec.periods)
 
     context = f"{_content(locations)} {_content(calendar)} {spec.periods} {spec.outliers}"
-    dated = refresh_days(keyed, totals, places.model("meter_days"), places.model("meter_days_built"), context, ["meter_id"], full_refresh)
+    dated = refresh_days(keyed, places.model("staged_readings"), totals, places.model("meter_days"), places.model("meter_days_built"), context, ["meter_id"], full_refresh)
     all_days = dated.unionByName(replace_table(totals(unkeyed), places.model("days_without_key")))
     days = exclude_dates(all_days, spec.exclude)
     quality = replace_table(quality_of_days(days, spec.quality), places.model("meter_quality"))
     daily = daily_usage_of_days(days)
 
-    consumed = VersionedTable(spark, places.model("consumption_analysis"))
+    consumed = BucketedTable(spark, places.model("consumption_analysis"), ["meter_id"])
     incremental = consumed.exists() and not full_refresh
     todo = readings_of_changed_meters(days, consumed.read(), spread="reading_date") if incremental else days
     fresh = consumption_of_totals(totals_of_days(todo), locations, spec.energy)
     usage = upsert(consumed, fresh, ["meter_id"]) if incremental else consumed.replace(fresh)
     checks.require_none(checks.duplicate_keys(usage, ["meter_id"]), "meter_id repeats in consumption")
 
-    flagged = VersionedTable(spark, places.model("violators"))
+    flagged = BucketedTable(spark, places.model("violators"), ["meter_id", "quarter"])
     if flagged.exists() and not full_refresh:
         found = violators(new_pairs(usage, flagged.read()), quality, spec.threshold, spec.energy)
         over = upsert(flagged, found, ["meter_id", "quarter"])
     else:
         over = flagged.replace(violators(usage, quality, spec.threshold, spec.energy))
 
+    tested = replace_table(checks.run_checks(checked, usage, daily), places.model("table_checks"))
+
     # the version before stays for readers that are still on it
     consumed.drop_old(keep=2)
     flagged.drop_old(keep=2)
@@ -280,7 +308,7 @@ def _build_models(
     )
 
     stages = {
-        "staging": stats.staging_stats(fact, all_days, run.run_id, run.run_timestamp),
+        "staging": stats.staging_stats(loaded, all_days, run.run_id, run.run_timestamp),
         "ramadan_filter": stats.exclusion_stats(all_days, spec.exclude, run.run_id, run.run_timestamp),
     }
     for stage, rows in stages.items():
@@ -298,4 +326,5 @@ def _build_models(
         "consumption_riyadh": regional,
         "violators_riyadh": regional_over,
         "riyadh_quarter_report": report,
+        "table_checks": tested,
     }

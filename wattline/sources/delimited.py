@@ -238,7 +238,7 @@ def _apply_proposals(mapped: DataFrame, proposals: DataFrame) -> DataFrame:
     ).drop("pairs")
 
 
-def read_layouts(spark: SparkSession, mapped: DataFrame) -> DataFrame:
+def read_layouts(spark: SparkSession, mapped: DataFrame, with_rejects: bool = False) -> DataFrame:
     """Rows of all mapped files as text columns under their expected names, with the file's path in ``source_filename``.
 
     Files of one layout (separator and column positions) are one scan; there are as many scans as
@@ -246,6 +246,9 @@ def read_layouts(spark: SparkSession, mapped: DataFrame) -> DataFrame:
     Columns are read by their true position in the file, unnamed columns counted, so repeated or odd header
     names do no harm.
     A file without data rows adds nothing; columns its layout lacks are null.
+
+    ``with_rejects`` adds ``rejected``: whether a line holds more fields than its file's header, so that nobody can tell which column a
+    value belongs to. Lines with fewer fields lack the last columns and are kept.
     """
     usable = mapped.where("kind <> 'reject'").select(
         "path", "separator", "kind", F.size("headers").alias("width"), F.sort_array(F.map_entries("mapping")).alias("at")
@@ -256,24 +259,31 @@ def read_layouts(spark: SparkSession, mapped: DataFrame) -> DataFrame:
         layouts.setdefault(layout, []).append(row["path"])
     frames = []
     for (separator, kind, width, at), paths in sorted(layouts.items()):
+        fields = [f"c{i} string" for i in range(width)] + ["_line string"] * with_rejects
         rows = (
-            spark.read.schema(", ".join(f"c{i} string" for i in range(width)))
+            spark.read.schema(", ".join(fields))
             .option("header", True)
             .option("sep", separator)
             .option("quote", '"')
             .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_line")
             .csv([literal_path(p) for p in sorted(paths)])
         )
         position = dict(at)
         order = READING_COLUMNS if kind == "full" else REQUIRED_COLUMNS
+        # Spark sets the line aside when its number of fields is another than the header's; it refuses plans that read
+        # nothing but that column, hence the second condition, which always holds
+        too_many = (F.size(header_names(F.col("_line"), F.lit(separator))) > width) & (F.coalesce(F.length("c0"), F.lit(0)) >= 0)
         frames.append(
             rows.select(
                 *[F.col(f"c{position[n]}").alias(n) for n in order],
                 scanned_path().alias("source_filename"),
+                *([(F.col("_line").isNotNull() & too_many).alias("rejected")] if with_rejects else []),
             )
         )
     if not frames:
-        return spark.createDataFrame([], ", ".join(f"{c} string" for c in [*REQUIRED_COLUMNS, "source_filename"]))
+        names = ", ".join(f"{c} string" for c in [*REQUIRED_COLUMNS, "source_filename"])
+        return spark.createDataFrame([], names + (", rejected boolean" if with_rejects else ""))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -308,8 +318,10 @@ def read_readings(
     resolver: Resolver | None = None,
     on_reject: str = "fail",
     with_hash: bool = True,
+    with_rejects: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Clean readings of a set of files, and the files' mapping frame.
+    """Clean readings of a set of files, and the files' mapping frame. Lines that hold more fields than their file's header are left
+    out, or with ``with_rejects`` marked in a column ``rejected``.
 
     ``resolver`` may propose mappings for files whose headers are unknown: it gets the rejected
     files (path, headers) and returns (path, incoming, target). Files still unknown stop the run
@@ -327,9 +339,11 @@ def read_readings(
         if shown:
             more = rejected.count() - len(shown)
             raise UnmappableFiles("; ".join(f"{name}: {problem}" for name, problem in shown) + (f"; and {more} more" if more else ""))
-    return clean_readings(read_layouts(spark, mapped), with_hash), mapped
+    rows = read_layouts(spark, mapped, with_rejects=True)
+    return clean_readings(rows if with_rejects else rows.where(~F.col("rejected")).drop("rejected"), with_hash), mapped
 
 
 def count_rows(raw: DataFrame) -> DataFrame:
-    """Rows per input file, by its path."""
-    return raw.groupBy(F.col("source_filename").alias("path")).agg(F.count("*").alias("rows_input"))
+    """Rows per input file, by its path; where rows are marked ``rejected`` also those kept."""
+    kept = [F.count_if(~F.col("rejected")).alias("rows_kept")] if "rejected" in raw.columns else []
+    return raw.groupBy(F.col("source_filename").alias("path")).agg(F.count("*").alias("rows_input"), *kept)

@@ -35,20 +35,50 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file's content."""
+    fs, file = _fs(spark, path)
+    stream = fs.open(file)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, written aside and renamed, so that it is there as a whole or not at all."""
+    folder, name = path.rsplit("/", 1)
+    fs, aside = _fs(spark, f"{folder}/.{name}")
+    stream = fs.create(aside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(aside, _fs(spark, path)[1]):
+        raise OSError(f"cannot write {path}")
+
+
 def read_parquet_tree(spark: SparkSession, path: str, merge: bool = False) -> DataFrame:
     """Every Parquet file below a folder; ``merge`` unites differing columns, reading every footer."""
     return spark.read.option("recursiveFileLookup", True).option("mergeSchema", merge).parquet(path)
 
 
+REJECTED = "_rejected"
+
+
 def write_quarters(clean: DataFrame, path: str, compression: str = "snappy", row_group_bytes: int | None = None) -> None:
     """Clean readings, one folder per quarter (rows without a time go to the null folder), in place of what the
-    folder held: a repeated run writes the same again.
+    folder held: a repeated run writes the same again. Rows marked in a column ``rejected`` go to a folder of their own.
 
     Written straight from the scan, without a shuffle: input files cover few quarters each, so a
     task opens few output files, and a quarter holding most rows is written by many tasks.
     """
+    folder = F.col("QUARTER")
+    if "rejected" in clean.columns:
+        folder = F.when(F.col("rejected"), REJECTED).otherwise(folder)
     writer = (
-        clean.withColumn("quarter_folder", clean["QUARTER"])
+        clean.withColumn("quarter_folder", folder)
+        .drop("rejected")
         .write.mode("overwrite")
         .partitionBy("quarter_folder")
         .option("compression", compression)
@@ -59,6 +89,43 @@ def write_quarters(clean: DataFrame, path: str, compression: str = "snappy", row
     writer.parquet(path)
 
 
+def read_quarters(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
+    """The clean readings of a run, without the folder of rejected rows; with ``rejects`` all rows, marked in a column ``rejected``."""
+    rows = spark.read.parquet(path).withColumn("rejected", F.coalesce(F.col("quarter_folder").cast("string") == REJECTED, F.lit(False)))
+    rows = rows.drop("quarter_folder")
+    return rows if rejects else rows.where(~F.col("rejected")).drop("rejected")
+
+
+def publish(spark: SparkSession, built: str, path: str) -> None:
+    """Put a finished folder in the place of ``path``. What stood there is moved aside, then deleted; a run that breaks off in between
+    leaves it aside, from where ``recover`` brings it back."""
+    recover(spark, path)
+    fs, target = _fs(spark, path)
+    aside = _fs(spark, _aside(path))[1]
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) and not fs.rename(target, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(_fs(spark, built)[1], target):
+        raise OSError(f"cannot move {built} to {path}")
+    fs.delete(aside, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Bring back what a ``publish`` that broke off had moved aside; delete it if the new folder is in place."""
+    fs, target = _fs(spark, path)
+    aside = _fs(spark, _aside(path))[1]
+    if fs.exists(aside):
+        if fs.exists(target):
+            fs.delete(aside, True)
+        elif not fs.rename(aside, target):
+            raise OSError(f"cannot bring back {path}")
+
+
+def _aside(path: str) -> str:
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return f"{folder}/_before.{name}"
+
+
 def write_by_day(
     df: DataFrame, path: str, day: str, cluster_by: list[str], mode: str = "append", only_its_days: bool = False
 ) -> int:

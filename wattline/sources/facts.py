@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.sources.tables import _fs, has_data, path_exists, read_text, write_text
+from wattline.sources.tables import _fs, delete_path, has_data, path_exists, publish, read_text, recover, write_text
 
 SCHEMA_FOLDER = "_table_schema"  # the underscore hides it from scans
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
@@ -113,3 +113,37 @@ def day_files(spark: SparkSession, path: str, day: str) -> DataFrame:
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
     value = F.regexp_extract("path", f"/{day}=([^/]+)/", 1)
     return listed.select(F.when(value != NO_DAY, F.to_date(value)).alias(day), "path", "length", "modificationTime")
+
+
+def compact_days(spark: SparkSession, path: str, day: str, schema: T.StructType, most_files: int = 32, file_bytes: int = 128 << 20) -> int:
+    """Pack the files of days that hold more than ``most_files`` and could do with half of them; returns the number of days packed.
+
+    All such days are read and written by one job, then each folder takes the place of the old one by a rename, as ``publish`` does; a
+    run that breaks off is mended by the next. The files of a packed day count as changed. One writer at a time.
+    """
+    mend_days(spark, path)
+    listed = day_files(spark, path, day).groupBy(day).agg(F.count("*").alias("n"), F.sum("length").alias("bytes"))
+    crowded = listed.where((F.col("n") > most_files) & (F.col("n") >= 2 * F.ceil(F.col("bytes") / file_bytes)))
+    days = [row[0] for row in crowded.select(day).collect()]  # one short row per calendar day
+    if not days:
+        return 0
+    dated = [d for d in days if d is not None]
+    wanted = F.col(day).isin(dated) if dated else F.lit(False)
+    rows = spark.read.schema(T.StructType([*schema, T.StructField(day, T.DateType())])).parquet(path)
+    rows = rows.where(wanted | F.col(day).isNull() if len(dated) < len(days) else wanted)
+    aside = f"{path.rstrip('/')}/_packing"
+    rows.hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(aside)
+    for value in days:
+        folder = f"{day}={NO_DAY if value is None else value}"
+        publish(spark, f"{aside}/{folder}", f"{path.rstrip('/')}/{folder}")
+    delete_path(spark, aside)
+    return len(days)
+
+
+def mend_days(spark: SparkSession, path: str) -> None:
+    """Bring back the day folders that a packing which broke off had moved aside."""
+    fs, root = _fs(spark, path)
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("_before."):
+            recover(spark, f"{path.rstrip('/')}/{name.removeprefix('_before.')}")

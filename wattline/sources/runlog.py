@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from wattline.operators.loading import absent_rows
 from wattline.operators.stats import as_stats, from_json_rows, stats_rows, to_json_rows
-from wattline.sources.tables import has_data
+from wattline.sources.facts import compact_days
+from wattline.sources.tables import _fs, has_data
 from wattline.spec import STATS_SCHEMA
 
 
@@ -19,10 +20,23 @@ def run_id(environment: str = "PIPELINE_RUN_ID") -> str:
     return os.getenv(environment) or f"local_{datetime.now():%Y%m%d_%H%M%S}"
 
 
+MOST_FILES = 32
+
+
 def append_stats(stats: DataFrame, path: str) -> None:
-    """Append statistics rows, one folder per day of the run."""
+    """Append statistics rows, one folder per day of the run. A day that came to hold many small files is packed."""
     dated = as_stats(stats).withColumn("run_date", F.to_date("run_timestamp"))
     dated.sortWithinPartitions("stage_name", "source_filename").write.mode("append").partitionBy("run_date").parquet(path)
+    if _most_files(stats.sparkSession, path) > MOST_FILES:
+        compact_days(stats.sparkSession, path, "run_date", STATS_SCHEMA, MOST_FILES)
+
+
+def _most_files(spark: SparkSession, path: str) -> int:
+    """The number of files of the newest day, where appends go."""
+    fs, root = _fs(spark, path)
+    days = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("run_date=")]
+    newest = max(days, key=lambda p: p.getName(), default=None)
+    return sum(s.getPath().getName().endswith(".parquet") for s in fs.listStatus(newest)) if newest else 0
 
 
 def append_new_stats(stats: DataFrame, path: str) -> None:

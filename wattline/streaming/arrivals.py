@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from dataclasses import asdict
 from datetime import datetime
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,6 +17,7 @@ from wattline.operators.staging import keep_first
 from wattline.sources.delimited import Resolver, file_columns, read_readings
 from wattline.sources.runlog import append_records, read_stats
 from wattline.sources.scratch import scratch_area, written
+from wattline.sources.tables import path_exists, read_text, write_text
 
 LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -41,24 +45,46 @@ def one_row_per_key(clean: DataFrame) -> DataFrame:
     """One row per meter and minute, highest power first, so the choice does not depend on file order. Rows lacking
     meter or time have no key to be copies by and all stay, as in a batch load."""
     power, has_key = F.col("IMPORT_ACTIVE_POWER").desc_nulls_last(), F.col("METER_ID").isNotNull() & F.col("DATA_TIME").isNotNull()
-    keyed = keep_first(clean.where(has_key), ["METER_ID", "DATA_TIME"], [power, F.col("source_filename")])
-    return keyed.unionByName(clean.where(~has_key))
+    marked = clean.withColumn("_own", F.when(~has_key, F.monotonically_increasing_id()))  # each is a key of its own
+    return keep_first(marked, ["METER_ID", "DATA_TIME", "_own"], [power, F.col("source_filename")]).drop("_own")
 
 
 def load_files(
     files: DataFrame, target: str, *, resolver: Resolver | None = None, on_reject: str = "fail", keys: list[str] | None = None
 ) -> LoadCounts | None:
     """Read, harmonise and load one set of files; loading the same set again adds nothing. Copies inside the set
-    count as skipped."""
-    spark = files.sparkSession
-    with scratch_area(spark):
-        clean, _ = read_readings(spark, files, resolver=resolver, on_reject=on_reject)
-        # the files are parsed once; counting, looking for known keys and inserting read this copy
-        arrived = written(clean, "arrivals")
-        if arrived.isEmpty():
+    count as skipped. The files are parsed once, and what they hold is written once before it is compared with the target."""
+    with scratch_area(files.sparkSession):
+        clean, _ = read_readings(files.sparkSession, files, resolver=resolver, on_reject=on_reject)
+        arrived = Observation()
+        unique = written(one_row_per_key(clean.observe(arrived, F.count("*").alias("n"))), "unique")
+        if not arrived.get["n"]:
             return None
-        counts = insert_if_absent(spark, written(one_row_per_key(arrived), "unique"), target, keys)
-        return LoadCounts(arrived.count(), counts.rows_inserted)
+        counts = insert_if_absent(files.sparkSession, unique, target, keys)
+        return LoadCounts(arrived.get["n"], counts.rows_inserted)
+
+
+class BatchLedger:
+    """Which batches of which run a table holds: a small file per batch below the table, written when its rows are.
+
+    A batch that is delivered again is known from here before any of its files is opened. One whose load broke off before it was
+    entered is loaded again, which adds nothing that is there already.
+    """
+
+    def __init__(self, spark: SparkSession, target: str, run_id: str):
+        self.spark, self.folder = spark, f"{target.rstrip('/')}/_batches/{quote(run_id, safe='')}"
+
+    def _entry(self, batch_id: int) -> str:
+        return f"{self.folder}/{batch_id:012d}.json"
+
+    def find(self, batch_id: int) -> LoadCounts | None:
+        """What the batch's load counted; None if it is not entered."""
+        if not path_exists(self.spark, self._entry(batch_id)):
+            return None
+        return LoadCounts(**json.loads(read_text(self.spark, self._entry(batch_id))))
+
+    def enter(self, batch_id: int, counts: LoadCounts) -> None:
+        write_text(self.spark, self._entry(batch_id), json.dumps(asdict(counts)))
 
 
 def start_loading(
@@ -77,16 +103,24 @@ def start_loading(
     """Load every arriving file. Without ``poll_seconds`` it takes what is there and stops. ``recompute`` runs after each
     batch that added rows, e.g. ``readings_to_models`` with its incremental rules.
 
-    A batch that is repeated after a failure finds its keys in the target and inserts nothing, and
-    its statistics row, named after run and batch, is written once.
+    A batch that is repeated after a failure is known from the target's ledger and not read again; if the load itself broke
+    off, its keys are found in the target and nothing is inserted twice. Its statistics row, named after run and batch, is
+    written once.
     """
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        counts = load_files(batch, target, resolver=resolver, on_reject=on_reject, keys=keys)
-        if recompute is not None and counts is not None and counts.rows_inserted:
+        ledger = BatchLedger(spark, target, run_id)
+        counts = ledger.find(batch_id)
+        if counts is None:
+            counts = load_files(batch, target, resolver=resolver, on_reject=on_reject, keys=keys)
+            ledger.enter(batch_id, counts or LoadCounts(0, 0))
+        if counts is None or not counts.rows_input:
+            return
+        # also for a batch that was entered: what follows may have broken off
+        if recompute is not None and counts.rows_inserted:
             recompute(spark)
-        if stats_path is None or counts is None:
+        if stats_path is None:
             return
         name = f"batch_{batch_id}"
         recorded = read_stats(spark, stats_path).where((F.col("run_id") == run_id) & (F.col("source_filename") == name))

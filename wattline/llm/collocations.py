@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -29,10 +30,15 @@ _MIX = 0x9E3779B97F4A7C15
 _ALL = (1 << 64) - 1
 
 
-def words_of(texts: list[bytes]) -> list[bytes]:
-    """The words of these texts in UTF-8, A-Z lower-cased, with a break wherever a piece ends."""
-    joined = b"\n".join(texts).lower().translate(_PLAIN)
-    return joined.replace(_BREAK, b" " + _BREAK + b" ").split()
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """The words of these texts in UTF-8, A-Z lower-cased, with a break wherever a piece ends: places in a list of the
+    different ones, and that list."""
+    spaced = b"\n".join(texts).lower().translate(_PLAIN).replace(_BREAK, b" " + _BREAK + b" ")
+    coded = pc.split_pattern(pa.array([spaced], pa.large_binary()), " ").values.dictionary_encode()
+    places, different = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    if b"" in different:  # between spaces that follow each other
+        places = places[places != different.index(b"")]
+    return places, different
 
 
 # ---- the trie ---------------------------------------------------------------
@@ -84,24 +90,39 @@ class Trie:
             node.setdefault(int.from_bytes(key[:4], "big"), Counter())[key[4:]] = n
         return node
 
-    def spill(self, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Take out whole subtrees, the largest first, until ``keep`` entries stay: (rows, counts) of each in ascending order of ids."""
+    def spill(self, keep: int, chunk: int = 50_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Take out whole subtrees, the largest first, until ``keep`` entries stay: (rows, counts) of some subtrees at a time, in
+        ascending order of ids."""
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        taken = 0
         for head in sorted(self.sizes, key=lambda h: -self.sizes[h]):
             if self.entries <= keep:
                 break
-            self.entries -= self.sizes.pop(head)
-            found: list[tuple[bytes, int]] = []
-            self._collect(self.root.pop(head), head.to_bytes(4, "big"), found)
-            found.sort()
-            rows = np.frombuffer(b"".join(k for k, _ in found), ">u4").reshape(-1, self.width)
-            yield rows.astype(np.int64), np.array([n for _, n in found], np.int64)
-
-    def _collect(self, node: dict, before: bytes, out: list[tuple[bytes, int]]) -> None:
+            size = self.sizes.pop(head)
+            self.entries -= size
+            taken += size
+            self._collect(self.root.pop(head), (head,), found)
+            if taken >= chunk:
+                yield self._run(found)
+                found, taken = [], 0
+        if found:
+            yield self._run(found)
+
+    @staticmethod
+    def _run(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        rows, counts = np.concatenate([r for r, _ in found]), np.concatenate([n for _, n in found])
+        order = np.lexsort(rows.T[::-1])
+        return rows[order], counts[order]
+
+    def _collect(self, node: dict, before: tuple[int, ...], out: list[tuple[np.ndarray, np.ndarray]]) -> None:
         if type(node) is dict:
             for head, child in node.items():
-                self._collect(child, before + head.to_bytes(4, "big"), out)
-        else:
-            out += [(before + key, n) for key, n in node.items()]
+                self._collect(child, (*before, head), out)
+            return
+        rows = np.empty((len(node), self.width), np.int64)
+        rows[:, : len(before)] = before
+        rows[:, len(before) :] = np.frombuffer(b"".join(node), ">u4").reshape(len(node), -1)
+        out.append((rows, np.fromiter(node.values(), np.int64, len(node))))
 
 
 # ---- filters of known phrases -------------------------------------------------
@@ -141,7 +162,7 @@ def _filter(found: DataFrame) -> bytes:
 
 
 class _Vocabulary(dict):
-    """Ids of a language's words that the filter knows, -1 for others, as they are met."""
+    """Ids of a language's words that the filter knows, as they are met, and -1 for others, which are not kept."""
 
     def __init__(self, lang: str, known: np.ndarray):
         super().__init__({_BREAK: -1})
@@ -152,33 +173,23 @@ class _Vocabulary(dict):
         h = xxhash.xxh64_intdigest(word)
         state = (self.seed ^ h) * _MIX & _ALL
         spot = (state ^ state >> 29) >> 64 - BITS
-        found = -1
-        if self.known[spot >> 3] >> (spot & 7) & 1:
-            found = len(self.words)
-            self.words.append(word)
-            self.hashes.append(h)
-        self[word] = found
+        if not self.known[spot >> 3] >> (spot & 7) & 1:
+            return -1
+        self[word] = found = len(self.words)
+        self.words.append(word)
+        self.hashes.append(h)
         return found
 
 
-def _possible(ids: np.ndarray, vocabulary: _Vocabulary, width: int, known: np.ndarray | None) -> np.ndarray:
-    """Where phrases of ``width`` known words begin whose first and last width - 1 words are both in the filter ``known``."""
-    count = len(ids) - width + 1
-    if count <= 0:
-        return np.zeros(0, np.int64)
-    good = ids >= 0
-    if known is None:  # the words are all there is to know
-        return np.flatnonzero(good[:-1] & good[1:])
-    part = width - 1
-    whole = np.ones(len(ids) - part + 1, bool)
-    for j in range(part):
-        whole &= good[j : j + len(whole)]
-    at = np.flatnonzero(whole)
-    hashes = np.array(vocabulary.hashes or [0], np.uint64)
-    spots = _spots(vocabulary.lang, [hashes[ids[at + j]] for j in range(part)])
-    there = (known[spots >> np.uint64(3)] >> (spots & np.uint64(7)).astype(np.uint8)) & 1
-    whole[at[there == 0]] = False
-    return np.flatnonzero(whole[:-1] & whole[1:])
+def _pairs(ids: np.ndarray, vocabulary: _Vocabulary, known: np.ndarray | None) -> np.ndarray:
+    """At which places two known words stand side by side, if given a filter also as a pair that it knows."""
+    good = (ids[:-1] >= 0) & (ids[1:] >= 0)
+    if known is not None:
+        at = np.flatnonzero(good)
+        hashes = np.array(vocabulary.hashes or [0], np.uint64)
+        spots = _spots(vocabulary.lang, [hashes[ids[at]], hashes[ids[at + 1]]])
+        good[at] = (known[spots >> np.uint64(3)] >> (spots & np.uint64(7)).astype(np.uint8)) & 1
+    return good
 
 
 # ---- on Spark -----------------------------------------------------------------
@@ -193,9 +204,9 @@ def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[byte
         yield from texts.items()
 
 
-def _rows(lang: str, phrases: list[bytes], counts: list[int]) -> pa.RecordBatch:
-    columns = [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "c"])
+def _rows(lang: str, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(phrases), np.int32)))
+    return pa.RecordBatch.from_arrays([langs, phrases.cast(pa.string()), pa.array(counts, pa.int64())], names=["lang", "phrase", "c"])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,57 +217,66 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, counts in held.items():
             counts[b""] = sum(counts.values())
             found = sorted(counts.items())
-            yield _rows(lang, [w for w, _ in found], [n for _, n in found])
+            yield _rows(lang, pa.array([w for w, _ in found], pa.binary()), np.array([n for _, n in found], np.int64))
         held.clear()
 
     for lang, texts in _by_lang(batches):
         counts = held.setdefault(lang, Counter())
-        counts.update(words_of(texts))
-        counts.pop(_BREAK, None)
+        places, different = words_of(texts)
+        for word, n in zip(different, np.bincount(places, minlength=len(different)).tolist()):
+            if n and word != _BREAK:
+                counts[word] += n
         if sum(map(len, held.values())) > _HELD:
             yield from spill()
     yield from spill()
 
 
-def _counter(width: int, words: Broadcast, phrases: Broadcast | None):
-    """Counts phrases of ``width`` words by tries, in sorted runs of whole subtrees."""
+def _counter(widths: range, words: Broadcast, pairs: Broadcast | None):
+    """Counts phrases of these numbers of words by tries, in sorted runs of whole subtrees."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known_words = np.frombuffer(words.value, np.uint8)
-        known = None if phrases is None else np.frombuffer(phrases.value, np.uint8)
-        tries: dict[str, tuple[_Vocabulary, Trie]] = {}
+        known_pairs = None if pairs is None else np.frombuffer(pairs.value, np.uint8)
+        held: dict[str, tuple[_Vocabulary, list[Trie]]] = {}
 
-        def spill(lang: str, keep: int) -> Iterator[pa.RecordBatch]:
-            vocabulary, trie = tries[lang]
-            names = vocabulary.words
+        def spill(lang: str, trie: Trie, keep: int) -> Iterator[pa.RecordBatch]:
+            names = pa.array(held[lang][0].words, pa.binary())
             for rows, counts in trie.spill(keep):
-                phrases = [b" ".join([names[i] for i in row]) for row in rows.tolist()]
-                yield _rows(lang, phrases, counts.tolist())
+                columns = [names.take(pa.array(rows[:, j])) for j in range(trie.width)]
+                yield _rows(lang, pc.binary_join_element_wise(*columns, b" "), counts)
 
         for lang, texts in _by_lang(batches):
-            if lang not in tries:
-                tries[lang] = _Vocabulary(lang, known_words), Trie(width)
-            vocabulary, trie = tries[lang]
-            body = words_of(texts)
-            ids = np.fromiter(map(vocabulary.__getitem__, body), np.int64, len(body))
-            at = _possible(ids, vocabulary, width, known)
-            trie.add(np.stack([ids[at + j] for j in range(width)], 1))
+            if lang not in held:
+                held[lang] = _Vocabulary(lang, known_words), [Trie(w) for w in widths]
+            vocabulary, tries = held[lang]
+            places, different = words_of(texts)
+            ids = np.array([vocabulary[w] if w else -1 for w in different], np.int64)[places]
+            good = _pairs(ids, vocabulary, known_pairs)
+            for trie in tries:
+                reach = trie.width - 1  # a phrase is as many pairs
+                whole = np.ones(max(len(good) - reach + 1, 0), bool)
+                for j in range(reach):
+                    whole &= good[j : j + len(whole)]
+                at = np.flatnonzero(whole)
+                trie.add(np.stack([ids[at + j] for j in range(trie.width)], 1))
             if len(vocabulary) > _VOCABULARY:
-                yield from spill(lang, 0)
-                del tries[lang]
-            while sum(t.entries for _, t in tries.values()) > _HELD:
-                largest = max(tries, key=lambda x: tries[x][1].entries)
-                yield from spill(largest, tries[largest][1].entries // 2)
-        for lang in tries:
-            yield from spill(lang, 0)
+                for trie in tries:
+                    yield from spill(lang, trie, 0)
+                del held[lang]
+            while sum(t.entries for _, tries in held.values() for t in tries) > _HELD:
+                lang_, trie = max(((x, t) for x, (_, tries) in held.items() for t in tries), key=lambda x: x[1].entries)
+                yield from spill(lang_, trie, trie.entries // 2)
+        for lang, (_, tries) in held.items():
+            for trie in tries:
+                yield from spill(lang, trie, 0)
 
     return run
 
 
-def _merged(runs: DataFrame, width: int, min_count: int) -> DataFrame:
-    """The runs' counts added up per prefix partition, phrases under ``min_count`` dropped. A prefix is all words but the last; each is
-    dealt to 16 partitions by its last word, so that the continuations of a hot one are not one task's."""
-    prefix = F.substring_index("phrase", " ", width - 1) if width > 1 else F.col("phrase")
+def _merged(runs: DataFrame, min_count: int) -> DataFrame:
+    """The runs' counts added up per prefix partition, phrases under ``min_count`` dropped. A prefix is all words but the last (a word is its
+    own); each is dealt to 16 partitions by its last word, so that the continuations of a hot one are not one task's."""
+    prefix = F.regexp_replace("phrase", " [^ ]*$", "")
     dealt = runs.withColumn("prefix", F.xxhash64("lang", prefix, F.pmod(F.xxhash64("phrase"), F.lit(16))))
     merged = dealt.repartition("prefix").groupBy("prefix", "lang", "phrase").agg(F.sum("c").alias("c"))
     return merged.where(F.col("c") >= min_count).select("lang", "phrase", "c")
@@ -268,26 +288,26 @@ def phrase_counts(
     """(lang, phrase, c): all words and phrases of up to ``longest`` words that occur ``min_count`` times or more in their language, and, as the
     empty phrase, each language's number of word occurrences.
 
-    One pass per length. A phrase that occurs often enough consists of two phrases a word shorter that do, so a pass counts only where
-    a bounded filter of the pass before lets both through; the filter never turns a known phrase away, and what it lets through by
-    chance is counted and dropped.
+    Three passes: words, pairs, longer phrases. A phrase that occurs often enough consists of words, and of pairs, that do, so a pass counts
+    only where a bounded filter of the pass before lets all of them through; the filter never turns a known one away, and
+    what it lets through by chance is counted and dropped.
     """
     spark = docs.sparkSession
     keep_batches_small(spark)
     picked = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("t"))
-    schema = "lang string, phrase string, c long"
+
+    def counted(counter, label: str) -> DataFrame:
+        return written(_merged(picked.mapInArrow(counter, "lang string, phrase string, c long"), min_count), label)
+
     # a total under min_count is not missed: no phrase can then be frequent enough
-    found = written(_merged(picked.mapInArrow(_count_words, schema), 1, min_count), "words")
+    found = counted(_count_words, "words")
     words = spark.sparkContext.broadcast(_filter(found.where("phrase <> ''")))
-    counts, phrases = found, None
-    for width in range(2, longest + 1):
-        found = written(_merged(picked.mapInArrow(_counter(width, words, phrases), schema), width, min_count), f"phrases-{width}")
-        if found.isEmpty():
-            break
-        counts = counts.unionByName(found)
-        if width < longest:
-            phrases = spark.sparkContext.broadcast(_filter(found))
-    return counts
+    pairs = counted(_counter(range(2, 3), words, None), "pairs")
+    found = found.unionByName(pairs)
+    if longest > 2:
+        known = spark.sparkContext.broadcast(_filter(pairs))
+        found = found.unionByName(counted(_counter(range(3, longest + 1), words, known), "phrases"))
+    return found
 
 
 def quotient(a: Column, n: Column, parts: Column) -> Column:

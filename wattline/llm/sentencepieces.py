@@ -19,7 +19,7 @@ SPACE = "▁"
 END = 2
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6  # piece types of the model format
-_CACHED, _TESTED = 200_000, 300_000  # words and pair tests a task remembers
+_CACHED, _TESTED = 600_000, 300_000  # words and pair tests a task remembers
 
 
 class Pieces:
@@ -56,6 +56,7 @@ class Pieces:
                 self.out.append(" ⁇ ".encode() if piece.type == _UNKNOWN else b"")
         self.is_byte = set(self.byte_id.values())
         self.known = {c for p in self.rank for c in p}
+        self.neighbours = {p[k : k + 2] for p in self.rank for k in range(len(p) - 1)}  # signs side by side in a piece
         if "\n" in self.known:
             raise ValueError("line ends are pieces; chunks must not be cut there")
         self.edges, self.automaton = {}, ahocorasick.Automaton()
@@ -131,6 +132,22 @@ class Pieces:
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         if len(self.cache) >= _CACHED:
             self.cache.clear()
+        if not self.known.issuperset(chunk):
+            found = self._with_unknown(chunk)
+        else:
+            end = len(chunk)  # signs at the end that no piece holds behind the sign before them stand alone
+            while end > 1 and chunk[end - 2 : end] not in self.neighbours:
+                end -= 1
+            body = chunk[:end]
+            ids = (self.cache.get(body) if end < len(chunk) else None) or tuple(self._known_run(body))
+            if end < len(chunk):
+                self.cache[body] = ids
+                ids += tuple(i for c in chunk[end:] for i in self._known_run(c))
+            found = ids
+        self.cache[chunk] = found
+        return found
+
+    def _with_unknown(self, chunk: str) -> tuple[int, ...]:
         ids, run = [], []
         for c in chunk:
             if c in self.known:
@@ -142,8 +159,7 @@ class Pieces:
             ids += [self.byte_id[b] for b in c.encode()]
         if run:
             ids += self._known_run("".join(run))
-        found = self.cache[chunk] = tuple(ids)
-        return found
+        return tuple(ids)
 
     def encode(self, text: str) -> list[int]:
         """Ids without an end id. Words are independent since no piece crosses a word start or line end."""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontaminate, langid, nearcopies, passages, sentencepieces
+from wattline.llm import decontaminate, langid, passages, sentencepieces, simhash
 from wattline.llm.common import crc_part, table
 from wattline.sources.scratch import written
 
@@ -17,8 +17,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 or more of its five-word shingles: the one with the smallest id."""
-    return nearcopies.one_per_group(docs)
+    """One document of each group whose fingerprints (four-word shingles) are linked by 4 or fewer differing bits: the one with the
+    smallest id."""
+    return simhash.one_per_group(docs, shingle=4, distance=4)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -532,4 +532,10 @@ from clean"""
     ),
     "whole_run": _sql("select * from violators"),
     "whole_run_twice": _incremental(),
+    "models_in_sql": _sql(
+        """
+select c.region, count(*) as meters, sum(d.days)::bigint as days, sum(d.readings)::bigint as readings, max(d.peak) as peak
+from consumption c join (select meter_id, count(distinct reading_date) as days, count(*) as readings, max(active_power_watts) as peak
+  from staged group by meter_id) d on d.meter_id = c.meter_id group by c.region"""
+    ),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from wattline.operators.staging import (
     stage_sites,
 )
 from wattline.operators.violations import flag_over, regional_consumption, regional_violators, violation_category, violators, with_quality
-from wattline.plans.refresh import Places, Run, clean_to_readings, files_to_clean, readings_to_models
+from wattline.plans.refresh import Places, Run, clean_to_readings, files_to_clean, name_models, readings_to_models
 from wattline.sources.buckets import BucketedTable
 from wattline.sources.delimited import count_rows, list_files, map_headers, read_layouts, read_readings, sniff_headers
 from wattline.sources.facts import FactTable
@@ -714,6 +715,20 @@ def run_checks(spark, folder):
     return found
 
 
+def models_in_sql(spark, folder):
+    """The models of a run under their names in SQL: energy and daily readings by region."""
+    places, prefix = Places(scratch_path(spark, "run")), f"m{uuid.uuid4().hex}_"
+    _load(spark, places, RUN, raw_readings(spark, folder))
+    name_models(readings_to_models(spark, places, RUN, schedule_rows(spark, folder), site_rows(spark, folder), SPEC), prefix)
+    return spark.sql(
+        f"""
+        select c.region, count(*) as meters, sum(d.days) as days, sum(d.readings) as readings, max(d.peak) as peak
+        from {prefix}consumption_analysis c join (
+          select meter_id, count(*) as days, sum(readings_count) as readings, max(max_daily_power_watts) as peak from {prefix}daily_usage group by meter_id
+        ) d on d.meter_id = c.meter_id group by c.region"""
+    )
+
+
 QUERIES = {
     # staging: W1 P6 P7 P8 A7 A8 J11 F1-F12 F14-F17
     "stage_readings": staged,
@@ -781,4 +796,5 @@ QUERIES = {
     "gated_run": gated_run,
     "whole_run": whole_run,
     "whole_run_twice": whole_run_twice,
+    "models_in_sql": models_in_sql,
 }

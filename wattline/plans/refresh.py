@@ -328,3 +328,12 @@ def _build_models(
         "riyadh_quarter_report": report,
         "table_checks": tested,
     }
+
+
+def name_models(models: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Make the models of a run views of the session under their names, for queries in SQL; a later run's take their place. Daily
+    usage is not kept as a table: it is computed from the meters' days whenever it is read."""
+    names = [f"{prefix}{name}" for name in models]
+    for name, rows in zip(names, models.values()):
+        rows.createOrReplaceTempView(name)
+    return names

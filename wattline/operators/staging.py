@@ -90,7 +90,7 @@ def _first_unkeyed(spec: OutlierSpec) -> Column:
 
 def stage_unkeyed(clean: DataFrame, spec: OutlierSpec = PRESET.outliers) -> DataFrame:
     """Rows lacking meter or time share one key, so at most one staged row in all."""
-    return unkeyed_of_days(_raw(clean).agg(_first_unkeyed(spec).alias("unkeyed")))
+    return unkeyed_of_days(_raw(clean).where(~_has_key()).agg(_first_unkeyed(spec).alias("unkeyed")))
 
 
 def fact_days(clean: DataFrame, day: str, spec: OutlierSpec = PRESET.outliers) -> DataFrame:

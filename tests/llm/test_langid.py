@@ -67,3 +67,13 @@ def test_training_is_repeatable(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     one, two = langid.train(docs), langid.train(docs.repartition(7))
     assert np.allclose(one.dense, two.dense)
+
+
+def test_rows_without_ids_are_sampled_like_others(spark):
+    """Neither missing ids nor repeated rows bring more than the sample to the driver."""
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} und so weiter" for i in range(600)]
+    rows = [(None, f"{w} {i}", "de") for i, w in enumerate(words * 5)] + [(None, "immer der gleiche Text", "de")] * 3000 + [(7, "always the same", "en")] * 500
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    taken = langid.sample(frame, "doc_id", "text", "lang", 20).collect()
+    assert 0 < len(taken) <= 50 and len({r.t for r in taken}) == len(taken)
+    assert langid.train(frame, per_language=20) is not None

@@ -124,19 +124,25 @@ def fit(x: np.ndarray, y: np.ndarray, labels: list[str], epochs: int = 8, batch:
     return net
 
 
-def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Net | None:
-    """Fit on at most ``per_language`` documents of each language, chosen by a hash of their ids, and
-    PER_DOCUMENT windows of each, some cut short so that short texts are known too. Rows without language or
-    letters are left out. None if nothing is left. Only these windows reach the driver."""
-    keep_batches_small(labelled.sparkSession)
+def sample(labelled: DataFrame, doc_id: str, text: str, lang: str, per_language: int) -> DataFrame:
+    """(h, t, g): of each language about ``per_language`` texts or fewer, rows that repeat id and text once."""
     rows = labelled.select(
-        F.xxhash64(F.col(doc_id).cast("string")).alias("h"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("g")
+        F.xxhash64(F.col(doc_id).cast("string"), F.col(text).cast("string")).alias("h"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("g")
     ).where("t is not null and g is not null")
     counts = {r.g: r["count"] for r in rows.groupBy("g").count().collect()}
     if not counts:
-        return None
+        return rows
     share = F.create_map(*[F.lit(v) for g, n in counts.items() for v in (g, min(1.0, 1.3 * per_language / n))])
-    sampled = rows.where(F.shiftrightunsigned("h", 11) / float(1 << 53) < share[F.col("g")])
+    return rows.where(F.shiftrightunsigned("h", 11) / float(1 << 53) < share[F.col("g")]).dropDuplicates(["h", "g"])
+
+
+def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Net | None:
+    """Fit on at most ``per_language`` documents of each language, chosen by a hash of id and text, and
+    PER_DOCUMENT windows of each, some cut short so that short texts are known too. Rows without language or
+    letters are left out; rows that repeat id and text count once, whether they have an id or not. None if nothing is left. Only
+    these windows reach the driver."""
+    keep_batches_small(labelled.sparkSession)
+    sampled = sample(labelled, doc_id, text, lang, per_language)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "t", 16 << 20):

@@ -110,7 +110,7 @@ def test_small_memory_gives_the_same(spark):
             for lang, phrase, n in zip(*(out.column(c).to_pylist() for c in ("lang", "phrase", "c"))):
                 got[lang, phrase] += n
         results.append(got)
-    co._HELD, co._VOCABULARY = 1_000_000, 1_000_000
+    co._HELD, co._VOCABULARY = 1_600_000, 1_000_000
     assert results[0] == results[1] and results[0]
 
 

@@ -22,7 +22,7 @@ TOP = 2000
 BITS = 26  # a filter of known phrases has two to the power of this many bits
 _TEXT_BYTES = 4 << 20
 _BURST = 2048  # entries at which a container becomes a node with a container per next word
-_HELD = 1_000_000  # entries a task holds before subtrees are spilled
+_HELD = 1_600_000  # entries a task holds before subtrees are spilled
 _VOCABULARY = 1_000_000  # different words a task knows of a language before it starts anew
 _PARTS = 1 << 16  # prefix partitions are dealt to shuffle partitions by these numbers
 _BREAK = b"\xff"  # between pieces; no byte of UTF-8
@@ -276,10 +276,10 @@ def _counter(widths: range, words: Broadcast, pairs: Broadcast | None):
 
 def _merged(runs: DataFrame, min_count: int) -> DataFrame:
     """The runs' counts added up per prefix partition, phrases under ``min_count`` dropped. A prefix is all words but the last (a word is its
-    own); each is dealt to 16 partitions by its last word, so that the continuations of a hot one are not one task's."""
+    own); each is dealt to 8 partitions by its last word, so that the continuations of a hot one are not one task's."""
     prefix = F.regexp_replace("phrase", " [^ ]*$", "")
     # a small number in place of the hash itself, which would be a third of a shuffled row
-    part = F.pmod(F.xxhash64("lang", prefix, F.pmod(F.xxhash64("phrase"), F.lit(16))), F.lit(_PARTS)).cast("int")
+    part = F.pmod(F.xxhash64("lang", prefix, F.pmod(F.xxhash64("phrase"), F.lit(8))), F.lit(_PARTS)).cast("int")
     merged = runs.withColumn("part", part).repartition("part").groupBy("part", "lang", "phrase").agg(F.sum("c").alias("c"))
     return merged.where(F.col("c") >= min_count).select("lang", "phrase", "c")
 

@@ -89,4 +89,4 @@ def test_registered(spark):
     from wattline.llm.queries import QUERIES
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} and set(QUERIES) <= set(entry.queries())
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)} and set(QUERIES) <= set(entry.queries())

@@ -51,6 +51,29 @@ def test_odd_rows(spark):
     check(spark, [(1, None), (2, ""), (3, "A b\x0bB"), (None, "x y"), (5, "x " * 9000), (5, "x " * 9000), (6, "À à"), (9, "new words only"), (10, "a b"), (16, "a c")])
 
 
+def test_words_of_all_training_texts_are_counted(spark, monkeypatch):
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("A b"), F.concat(F.lit("w"), F.col("id") % 4_000), F.lit("b")).alias("text"))
+    counts = hmm.word_counts(docs.union(docs.where("doc_id = 7")), F.col("doc_id") != 5, "text")
+    want = Counter({b"a": 12_000, b"b": 24_000} | {b"w%d" % i: 3 for i in range(4_000)} | {b"w5": 2, b"w7": 4})
+    assert Counter({bytes(r.w): r.c for r in counts.collect()}) == want
+    monkeypatch.setattr(hmm, "FREQUENT", 5)
+    words, rest = hmm.frequent_words(counts)
+    assert words == [b"b", b"a", b"w7", b"w0", b"w1"]
+    assert {bytes(r.w) for r in rest.collect()} == set(want) - set(words)
+
+
+def test_every_training_text_is_learned_from(spark):
+    sequences = [[1 + i % 3, 4, 0] for i in range(40)]
+    frame = spark.createDataFrame([(i, i != 3, bytearray(np.array(s, "<u2").tobytes())) for i, s in enumerate(sequences)], "row long, train boolean, codes binary")
+    overall = np.full(hmm.CLASSES, 1 / hmm.CLASSES)
+    parts = [hmm._expected(frame.where(F.pmod(F.xxhash64("row"), F.lit(4)) == i), hmm.random_model(overall)) for i in range(4)]
+    whole = hmm.Counts.zero()
+    hmm.expect(hmm.random_model(overall), [np.array(s) for i, s in enumerate(sequences) if i != 3], whole)
+    assert np.allclose(sum(parts, hmm.Counts.zero()).emit, whole.emit, rtol=1e-3, atol=1e-4) and abs(whole.emit.sum() - 3 * 39) < 1e-2
+    model = hmm.learn(frame, overall)
+    assert np.isfinite(model.emit).all() and np.allclose(model.move.sum(axis=1), 1)
+
+
 def test_nothing_to_learn_from(spark):
     held = next(d for d in range(100) if held_out(d))
     check(spark, [(held, "a b"), (held, None)])

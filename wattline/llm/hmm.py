@@ -16,15 +16,15 @@ from wattline.llm.common import keep_batches_small, small_batches, utf8
 from wattline.sources.scratch import written
 
 STATES = 8
-FREQUENT = 49_151  # words with a class of their own; which words these are comes from a bounded sample of documents
+FREQUENT = 49_151  # words with a class of their own: the most frequent ones of all training texts
 BUCKETS = 16_384  # classes shared by all other words, by a hash of the word
 CLASSES = 1 + FREQUENT + BUCKETS  # class 0 is the end of a text; all fit two bytes
-SAMPLE_DOCS = 10_000  # documents the frequent words and the first parameters come from
-SAMPLE_TOKENS = 400_000
-START_ROUNDS, ROUNDS = 10, 2
+PARTS = 8  # of the training texts; the first rounds take one part each, in turn
+START_ROUNDS, ROUNDS = 8, 2
 SEGMENT = 256  # tokens of a training sequence, and of a piece of the exact forward pass
 PRIOR = 8.0  # weight of the words' overall frequencies in each state's emissions
 _LANES = 1024
+_COUNTED = 200_000  # different words a task counts before it hands them on
 
 
 @dataclass
@@ -60,6 +60,9 @@ class Counts:
     def zero() -> Counts:
         return Counts(np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES)))
 
+    def __add__(self, other: Counts) -> Counts:
+        return Counts(self.start + other.start, self.move + other.move, self.emit + other.emit)
+
 
 def expect(model: Model, sequences: list[np.ndarray], counts: Counts) -> None:
     """Add the expected counts of the sequences: scaled forward and backward passes, many segments abreast."""
@@ -102,14 +105,19 @@ def maximise(counts: Counts, overall: np.ndarray) -> Model:
     return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / overall[:, None], overall)
 
 
-def first_model(sequences: list[np.ndarray], overall: np.ndarray, seed: int = 3) -> Model:
-    """Start values: a few rounds on a bounded sample from random, slow-moving states."""
+def random_model(overall: np.ndarray, seed: int = 3) -> Model:
+    """Random, slow-moving states."""
     rng = np.random.default_rng(seed)
     move = np.full((STATES, STATES), 0.1 / (STATES - 1))
     np.fill_diagonal(move, 0.9)
     emit = overall[:, None] * np.exp(0.7 * rng.normal(size=(CLASSES, STATES)))
     emit /= emit.sum(axis=0, keepdims=True)
-    model = Model(np.full(STATES, 1 / STATES), move, emit / overall[:, None], overall)
+    return Model(np.full(STATES, 1 / STATES), move, emit / overall[:, None], overall)
+
+
+def first_model(sequences: list[np.ndarray], overall: np.ndarray, seed: int = 3) -> Model:
+    """A few rounds over the sequences from random states."""
+    model = random_model(overall, seed)
     for _ in range(START_ROUNDS):
         counts = Counts.zero()
         expect(model, sequences, counts)
@@ -166,22 +174,32 @@ def _bucket(word: bytes) -> int:
     return 1 + FREQUENT + zlib.crc32(word) % BUCKETS
 
 
-def frequent_words(docs: DataFrame, train: Column, text: str) -> list[bytes]:
-    """The most frequent words of a bounded sample of training texts: they only get classes of their own here,
-    their counts come from all texts."""
-    total = docs.where(train).count()
-    share = min(1.0, SAMPLE_DOCS / max(1, total))
-    rows = docs.where(train & (F.shiftrightunsigned(F.xxhash64(F.col(text), F.lit("frequent")), 11) / float(1 << 53) < share))
+def word_counts(docs: DataFrame, train: Column, text: str) -> DataFrame:
+    """(w, c): every word of the training texts and how often it occurs in them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "t", 8 << 20):
-            seen = Counter()
+        def counted(seen: Counter) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["w", "c"])
+
+        seen = Counter()
+        for batch in small_batches(batches, "t", 2 << 20):
             for t in utf8(batch.column("t")):
                 seen.update(t.lower().split())
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
+            if len(seen) > _COUNTED:
+                yield counted(seen)
+                seen = Counter()
+        yield counted(seen)
+
+    return docs.where(train).select(F.col(text).cast("string").alias("t")).mapInArrow(count, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
-    counts = rows.select(F.col(text).alias("t")).mapInArrow(count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    return [bytes(r.w) for r in counts.orderBy(F.desc("n"), "w").limit(FREQUENT).collect()]
+
+def frequent_words(counts: DataFrame) -> tuple[list[bytes], DataFrame]:
+    """The FREQUENT most frequent words of (w, c), equal ones by their bytes, and the counts of all other words."""
+    top = counts.orderBy(F.desc("c"), "w").limit(FREQUENT).collect()
+    if len(top) < FREQUENT:
+        return [bytes(r.w) for r in top], counts.where(F.lit(False))
+    least, last = F.lit(top[-1].c), F.lit(bytearray(top[-1].w))
+    return [bytes(r.w) for r in top], counts.where((F.col("c") < least) | (F.col("c") == least) & (F.col("w") > last))
 
 
 def _coded(docs: DataFrame, words: list[bytes], doc_id: str, text: str, train: Column) -> DataFrame:
@@ -231,8 +249,8 @@ def _class_counts(coded: DataFrame) -> np.ndarray:
     return out
 
 
-def _round(coded: DataFrame, model: Model) -> Model:
-    """One Baum-Welch round over all training texts: counts are summed inside tasks, then across them by class."""
+def _expected(coded: DataFrame, model: Model) -> Counts:
+    """Expected counts over all training texts: summed inside tasks, then across them by class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts.zero()
@@ -248,7 +266,22 @@ def _round(coded: DataFrame, model: Model) -> Model:
     table = np.zeros((CLASSES + STATES + 1, STATES))
     for r in each.groupBy("c").agg(*[F.sum(c).alias(c) for c in columns]).toLocalIterator():
         table[r.c] = [r[c] for c in columns]
-    return maximise(Counts(table[-1], table[CLASSES:-1], table[:CLASSES]), model.overall)
+    return Counts(table[-1], table[CLASSES:-1], table[:CLASSES])
+
+
+def learn(coded: DataFrame, overall: np.ndarray) -> Model:
+    """Baum-Welch over all training texts. The first rounds take a part of the texts each, in turn; the model is made of
+    the latest counts of every part, so that no text is left out, and each text moves it early. Whole rounds follow."""
+    model, latest = random_model(overall), [Counts.zero()] * PARTS
+    tasks = -(-coded.rdd.getNumPartitions() // PARTS)  # each task hands on counts of all classes, so a part takes fewer tasks
+    for i in range(START_ROUNDS):
+        part = coded.where(F.pmod(F.xxhash64("row"), F.lit(PARTS)) == i % PARTS)
+        latest[i % PARTS] = _expected(part.coalesce(max(1, tasks)), model)
+        known = sum(latest, Counts.zero())
+        model = maximise(known, overall) if known.start.any() else model
+    for _ in range(ROUNDS):
+        model = maximise(_expected(coded, model), overall)
+    return model
 
 
 def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -263,7 +296,7 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     """
     keep_batches_small(docs.sparkSession)
     train = ~F.coalesce(held_out, F.lit(False))
-    words = frequent_words(docs, train, text)
+    words, known = frequent_words(written(word_counts(docs, train, text), "words"))
     coded = written(_coded(docs, words, doc_id, text, train), "coded")
     counts = _class_counts(coded)
     overall = (counts + 1.0) / (counts.sum() + CLASSES)
@@ -272,7 +305,6 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     rare = coded.select("row", "train", F.explode(F.arrays_zip("words", "times")).alias("x")).select(
         "row", "train", F.col("x.words").alias("w"), F.col("x.times").alias("n")
     )
-    known = rare.groupBy("w").agg(F.sum(F.when(F.col("train"), F.col("n")).otherwise(0)).alias("c")).where("c > 0")
     # not joined by a broadcast: the number of words grows with the text
     hits = rare.join(known.hint("merge"), "w")
     sums = hits.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_log"), F.sum("n").alias("rare_known"))
@@ -284,18 +316,7 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     n_train = int(counts.sum())
     n_types = int(types.sum() + (counts[1 : 1 + FREQUENT] > 0).sum() + (counts[0] > 0))
 
-    # a share of the rows by a hash, so that each task sends its part only
-    share = min(1.0, SAMPLE_DOCS / 4 / max(1, int(counts[0])))
-    sample = coded.where(F.col("train") & (F.shiftrightunsigned(F.xxhash64("row"), 11) / float(1 << 53) < share)).select("row", "codes")
-    sequences, total = [], 0
-    for r in sorted(sample.collect()):
-        sequences.append(np.frombuffer(bytes(r.codes), "<u2").astype(np.int64)[: SAMPLE_TOKENS - total])
-        total += len(sequences[-1])
-        if total >= SAMPLE_TOKENS:
-            break
-    model = first_model(sequences, overall) if sequences else maximise(Counts.zero(), overall)
-    for _ in range(ROUNDS if sequences else 0):
-        model = _round(coded, model)
+    model = learn(coded, overall) if n_train else maximise(Counts.zero(), overall)
 
     base_log = np.zeros(CLASSES)
     base_log[: 1 + FREQUENT] = np.log10(counts[: 1 + FREQUENT] + 1.0)

@@ -539,12 +539,12 @@ def write_layouts(spark, folder) -> str:
                 return F.col("power")
             return F.lit(f"a{sep}b") if name else F.lit("5")
 
-        if "" in headers:  # the CSV writer cannot write a column without a name
+        if "" in headers:  # the CSV writer cannot write a column without a name: whole lines below one name, the header line
             quoted = [f'"{h}"' if sep in h else h for h in headers]
             cells = [F.concat(F.lit('"'), value(h), F.lit('"')) if sep in h else value(h) for h in headers]
-            lines = rows.select(F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in cells]).alias("value"))
-            first = spark.createDataFrame([(sep.join(quoted),)], "value string")
-            first.unionByName(lines).coalesce(1).write.option("compression", "none").text(f"{root}/layout={number}")
+            lines = rows.select(F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in cells]).alias(sep.join(quoted)))
+            writer = lines.write.option("header", True).option("sep", "\x01").option("quote", "")
+            writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/layout={number}")
             continue
         (
             rows.select(*[value(h).alias(h) for h in headers])

@@ -1,8 +1,10 @@
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from registry.queries import write_layouts
 from wattline.plans.refresh import Places, Run, clean_to_readings, files_to_clean, readings_to_models
 from wattline.sources.delimited import (
     UnmappableFiles,
@@ -490,3 +492,15 @@ def test_publishing_that_breaks_off_loses_nothing(spark, tmp_path, monkeypatch):
     assert (tmp_path / "place" / "f").read_text() == "old" and not (tmp_path / "_before.place").exists()
     tables.publish(spark, folder("built", "new"), place)
     assert (tmp_path / "place" / "f").read_text() == "new" and not (tmp_path / "built").exists()
+
+
+def test_every_layout_is_written_by_many_tasks(spark, tmp_path):
+    rows = [(i, datetime(2024, 1, 1 + i % 3, i % 24), i % 7, "view", float(i % 300), "") for i in range(50)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    root = write_layouts(spark, str(tmp_path))
+    for number, header in ((4, ',METER_ID,"note, free",DATA_TIME,IMPORT_ACTIVE_POWER'), (5, "METER_ID;;DATA_TIME;IMPORT_ACTIVE_POWER;")):
+        texts = [f.read_text().splitlines() for f in Path(root, f"layout={number}").glob("part-*")]
+        assert len(texts) > 1 and {t[0] for t in texts if t} == {header}
+        assert sum(len(t) - 1 for t in texts if t) == 100
+    assert any('5,000,"a,b",2024-01-01 00:00:00.4600000, 0.0' in t for t in Path(root, "layout=4").glob("part-*") for t in t.read_text().splitlines())

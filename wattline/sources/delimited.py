@@ -44,8 +44,11 @@ def base_name(path: Column) -> Column:
 
 
 def scanned_path() -> Column:
-    """The path of the file a row was scanned from, in the listing's spelling (scans encode odd characters)."""
-    return one_spelling(F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+    """The path of the file a row was scanned from, in the listing's spelling (scans encode odd characters). As it is computed for
+    every row, a path without such characters is not decoded, and slashes are cut without a regular expression."""
+    path = F.col("_metadata.file_path")
+    decoded = F.when(F.contains(path, F.lit("%")), F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    return F.when(decoded.startswith("file:/"), F.concat(F.lit("file:/"), F.ltrim(F.substr(decoded, F.lit(7)), F.lit("/")))).otherwise(decoded)
 
 
 def literal_path(path: str) -> str:
@@ -290,13 +293,22 @@ def read_layouts(spark: SparkSession, mapped: DataFrame, with_rejects: bool = Fa
 def clean_readings(raw: DataFrame, with_hash: bool = True) -> DataFrame:
     """Typed and keyed readings from text columns: ids without leading zeros, times at whole
     minutes, power as double (unparsable text is null), time text, quarter and row hash."""
-    typed = raw.withColumns(
+    return with_derived(typed_readings(raw), with_hash)
+
+
+def typed_readings(raw: DataFrame) -> DataFrame:
+    """Readings from text columns, without what is derived from meter and time."""
+    return raw.withColumns(
         {
             "METER_ID": canonical_id(F.col("METER_ID")),
             "DATA_TIME": parse_reading_time(F.col("DATA_TIME")),
             **{c: safe_double(F.col(c)) for c in POWER_COLUMNS if c in raw.columns},
         }
     )
+
+
+def with_derived(typed: DataFrame, with_hash: bool = True) -> DataFrame:
+    """Time text, quarter and row hash of typed readings."""
     derived = typed.withColumns(
         {
             "DATA_TIME_STR": time_text(F.col("DATA_TIME")),
@@ -319,9 +331,11 @@ def read_readings(
     on_reject: str = "fail",
     with_hash: bool = True,
     with_rejects: bool = False,
+    derived: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Clean readings of a set of files, and the files' mapping frame. Lines that hold more fields than their file's header are left
-    out, or with ``with_rejects`` marked in a column ``rejected``.
+    out, or with ``with_rejects`` marked in a column ``rejected``. Without ``derived`` the columns that ``with_derived`` adds are left
+    to the caller, who may have fewer rows by then.
 
     ``resolver`` may propose mappings for files whose headers are unknown: it gets the rejected
     files (path, headers) and returns (path, incoming, target). Files still unknown stop the run
@@ -340,7 +354,8 @@ def read_readings(
             more = rejected.count() - len(shown)
             raise UnmappableFiles("; ".join(f"{name}: {problem}" for name, problem in shown) + (f"; and {more} more" if more else ""))
     rows = read_layouts(spark, mapped, with_rejects=True)
-    return clean_readings(rows if with_rejects else rows.where(~F.col("rejected")).drop("rejected"), with_hash), mapped
+    kept = rows if with_rejects else rows.where(~F.col("rejected")).drop("rejected")
+    return clean_readings(kept, with_hash) if derived else typed_readings(kept), mapped
 
 
 def count_rows(raw: DataFrame) -> DataFrame:

@@ -90,3 +90,15 @@ def test_names_of_added_tokens_as_the_library_by_default(spark):
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     assert sorted(map(tuple, tf.round_trip(frame, TOKENIZER, 2).collect())) == plain(library, list(enumerate(texts)))
+
+
+def test_each_new_word_is_looked_up_once_and_sign_runs_are_shared():
+    encoder = tf.Encoder(TOKENIZER, names_are_text=False)
+    looked_up = []
+    learn = encoder._learn
+    encoder._learn = lambda words: (looked_up.extend(words), learn(words))
+    texts = ["wort wort*** wort\n", "wort***, ſtraße?! wort", "it's 7*** x'*** <|endoftext|> wort***"]
+    assert encoder.encode(texts) == [encoder._plain(t) for t in texts]
+    assert encoder.encode(texts) == [encoder._plain(t) for t in texts]
+    assert len(looked_up) == len(set(looked_up))
+    assert np.frombuffer(encoder.cache["***"], "<u4").tolist() == np.frombuffer(encoder._plain("***"), "<u4").tolist()

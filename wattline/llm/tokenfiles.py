@@ -8,7 +8,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ _LANES = 4096  # blocks coded abreast
 _CACHED = 1_000_000  # different words whose ids a worker keeps
 _LINES = 1000  # unseen words given to the library as one text
 _ONE = re.compile(r"[ \n]?\S+")
-_SIGNS = frozenset(".,;:!?")
+_SIGNS = ".,;:!?*&%#@$()[]{}+-=/\"<>|~^"
 # before a space or line feed that stands alone between signs
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
@@ -288,18 +287,20 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Put the ids of these different words into the cache. Letters and a sign behind them are two stretches whatever
-        stands around them, so such a word is put together from both."""
+        """Put the ids of these different words into the cache. Letters and the signs behind them are two stretches
+        whatever stands around them, so such a word is put together from both."""
         cache, lines, later = self.cache, [], []
         for word in words:
             if not (self.by_line and _ONE.fullmatch(word)):
                 cache[word] = self._plain(word)
-            elif word[-1] in _SIGNS and word[:-1].lstrip(" \n").isalpha():
-                later.append(word)
+                continue
+            letters = word.rstrip(_SIGNS)
+            if len(letters) < len(word) and letters.lstrip(" \n").isalpha():
+                later.append((word, letters, word[len(letters) :]))
             else:
                 lines.append(word)
         known = set(lines)
-        lines += {w for x in later for w in (x[:-1], x[-1]) if w not in cache and w not in known}
+        lines += {w for _, *both in later for w in both if w not in cache and w not in known}
         packs = [lines[i : i + _LINES] for i in range(0, len(lines), _LINES)]
         texts = ["\n".join([w[1:] if w[0] == "\n" else w for w in p]) for p in packs]
         feed = int.from_bytes(self.feed, "little")
@@ -310,8 +311,8 @@ class Encoder:
             for word, end in zip(pack_, ends):
                 cache[word] = self.feed + raw[start:end] if word[0] == "\n" else raw[start:end]
                 start = end + 4
-        for word in later:
-            cache[word] = cache[word[:-1]] + cache[word[-1]]
+        for word, letters, signs in later:
+            cache[word] = cache[letters] + cache[signs]
 
     def _words(self, text: str) -> list[str]:
         """The text cut before every space or line feed that stands alone between signs."""
@@ -324,14 +325,22 @@ class Encoder:
         """Ids of each text as little-endian 32-bit integers."""
         if len(self.cache) > _CACHED:
             self.cache.clear()
-        whole = [bool(self.names and self.names.search(t)) for t in texts]
-        cut = [[] if w or not t else self._words(t) for t, w in zip(texts, whole)]
-        fresh: set[str] = set()
-        for c in cut:
-            fresh.update(filterfalse(self.cache.__contains__, c))
+        known, found, open_, fresh = self.cache.get, [], [], set()
+        for text in texts:
+            if self.names and self.names.search(text):
+                found.append([self._plain(text)])
+                continue
+            words = self._words(text) if text else []
+            found.append(list(map(known, words)))
+            if None in found[-1]:
+                missing = [i for i, x in enumerate(found[-1]) if x is None]
+                open_.append((found[-1], missing, [words[i] for i in missing]))
+                fresh.update(open_[-1][2])
         self._learn(list(fresh))
-        ids = self.cache.__getitem__
-        return [self._plain(t) if w else b"".join(map(ids, c)) for t, w, c in zip(texts, whole, cut)]
+        for ids, missing, words in open_:
+            for i, word in zip(missing, words):
+                ids[i] = self.cache[word]
+        return [b"".join(x) for x in found]
 
 
 @cache

@@ -77,3 +77,20 @@ def test_rows_without_ids_are_sampled_like_others(spark):
     taken = langid.sample(frame, "doc_id", "text", "lang", 20).collect()
     assert 0 < len(taken) <= 50 and len({r.t for r in taken}) == len(taken)
     assert langid.train(frame, per_language=20) is not None
+
+
+def test_tables_are_made_width_by_width():
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    wide = langid.FILTERS * len(langid.WIDTHS)
+    filters = {w: rng.normal(size=(w, langid.EMBED, langid.FILTERS)) for w in langid.WIDTHS}
+    net = langid.Net(["a", "b"], rng.normal(size=(256, langid.EMBED)), filters, np.zeros(wide), np.zeros((wide, 2)), np.zeros(2))
+    tracemalloc.start()
+    first, _, _ = net.tables()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    each = {w: net.embed @ filters[w][0] for w in langid.WIDTHS}, {w: net.embed @ filters[w][1] for w in langid.WIDTHS}
+    whole = np.concatenate([(each[0][w][:, None] + each[1][w][None]).reshape(65536, -1) for w in langid.WIDTHS], axis=1)
+    assert np.array_equal(first, whole.astype(np.float32))
+    assert peak < 40 << 20

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from wattline.llm import passages as ps
 
@@ -175,3 +176,56 @@ def test_passages_of_known_pieces(spark):
         share = share_found(spark, docs, wanted)
         print("pieces", lengths, own, "found", share)
         assert share == 1
+
+
+def _blocks(texts, bits):
+    rows = pa.RecordBatch.from_arrays([pa.array([k for k, _ in texts]), pa.array([t for _, t in texts])], names=["k", "t"])
+    found = [x for b in ps._seed_blocks(iter([rows]), bits) for x in b.to_pylist()]
+    found.sort(key=lambda r: (r["bucket"], r["cell"]))
+    return found, pa.Table.from_pylist(found, schema=pa.schema({"bucket": pa.int32(), "cell": pa.int64(), "block": pa.int64(), "data": pa.binary()}))
+
+
+def test_seeds_take_little_room():
+    """A row of its own per seed took 18 bytes in the shuffle."""
+    rng = random.Random(4)
+    texts = [(rng.randrange(-(1 << 63), 1 << 63), " ".join(str(rng.randrange(50000)) for _ in range(500))) for _ in range(3000)]
+    found, _ = _blocks(texts, ps.BUCKET_BITS)
+    assert sum(len(r["data"]) for r in found) < 11 * 496 * 3000
+
+
+def test_ties_equal_plain():
+    """Repeated rows, seeds that recur in a text and cells of more than one bucket width, against one dictionary of all seeds."""
+    rng = random.Random(5)
+    texts = [(rng.randrange(-(1 << 63), 1 << 63), " ".join(rng.choice("abc") for _ in range(rng.randrange(60)))) for _ in range(40)]
+    texts += texts[:5]
+    places = {}
+    for k, t in texts:
+        words = t.split()
+        for p in range(len(words) - ps.SHINGLE + 1):
+            places.setdefault(tuple(words[p : p + ps.SHINGLE]), {}).setdefault(k, set()).add(p)
+    wanted = set()
+    for of_texts in places.values():
+        order = sorted(of_texts)
+        for n, k in enumerate(order):
+            first, *later = sorted(of_texts[k])
+            wanted |= {(k, k, p, first) for p in later}
+            wanted |= {(k, order[m], first, min(of_texts[order[m]])) for m in ({0, n - 1} if n else ())}
+    for bits in (ps.BUCKET_BITS, ps.BUCKET_BITS + 3):
+        ties = []
+        for batch in ps._tie_blocks(iter(_blocks(texts, bits)[1].to_batches(max_chunksize=7)), bits):
+            for row in batch.to_pylist():
+                k, rk, counts, p, ahead = ps._unpacked(row["data"], np.int64, np.int64, np.uint32, np.uint32, np.int32)
+                ties += zip(np.repeat(k, counts).tolist(), np.repeat(rk, counts).tolist(), p.tolist(), (p + ahead).tolist())
+        assert len(ties) == len(set(ties)) and set(ties) == wanted
+
+
+def test_simple_pairs_need_no_tree():
+    """Where every match is known to follow the one before, the tree finds that one chain too."""
+    rng, simple = random.Random(6), 0
+    for _ in range(500):
+        at, src = (np.cumsum([rng.choice((1, 1, 2, 5, 30, 61)) for _ in range(12)]) for _ in range(2))
+        src = at + 7 if rng.random() < 0.7 else src
+        if ps._one_chain(np.stack([at * 0, at * 0, at, src]), np.ones(12)).all():
+            simple += 1
+            assert ps.chains(at, src) == [(at.tolist(), src.tolist())]
+    assert simple > 50

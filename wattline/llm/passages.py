@@ -20,6 +20,10 @@ MIN_WORDS = 50
 SIMILARITY = 0.8
 LEAST_SPAN = SHINGLE + 3  # words that a chain's seeds span at least: as many as cross a border of two pieces
 GAP_COST = 0.04  # per word skipped on either side; a seed is worth SHINGLE
+BUCKET_BITS = 6  # seeds and ties are shuffled in so many bits' buckets, each of cells that a task holds one at a time
+CELL = 3_000_000  # seeds of a cell, about
+WORD_BYTES = 6  # of a text per seed, about
+BLOCK_BYTES = 16 << 20  # of the texts whose seeds are packed together
 MARGIN = 64  # words beside a chain that the alignment may extend into
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -40,54 +44,154 @@ def seeds(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return mixed.view(np.int64), np.arange(count)
 
 
-def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per text and different seed: its first place, and the later ones where it recurs in the text."""
-    for batch in small_batches(batches, "t", 4 << 20):
-        hashes, keys, places, more = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
-        for k, t in zip(batch.column("k").to_pylist(), utf8(batch.column("t"))):
-            h, p = seeds(t.lower().split())
-            once, first = np.unique(h, return_index=True)
-            later: list = [None] * len(once)
-            if len(once) < len(h):
-                again = np.setdiff1d(np.arange(len(h)), first)
-                for i, place in zip(np.searchsorted(once, h[again]).tolist(), p[again].tolist()):
-                    later[i] = [*(later[i] or ()), place]
-            hashes.append(once), places.append(p[first]), keys.append(np.full(len(once), k, np.int64)), more.extend(later)
-        columns = [pa.array(np.concatenate(c)) for c in (hashes, keys, places)] + [pa.array(more, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["h", "k", "p", "more"])
-
-
-def _to_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ties each seed to its first occurrence: across texts the first text's, inside a text the text's own. Across texts it
-    is also tied to the text before it, as the first may hold a part of the passage only. Rows come sorted by (h, k);
-    only the first and the last row of the open run are held, however long the run."""
-    held, before = np.zeros((3, 0), np.int64), None
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns byte by byte, each byte's plane compressed for itself: high bytes that say little take little room."""
+    codec, parts = pa.Codec("zstd", 1), []
+    for column in columns:
+        planes = np.ascontiguousarray(column.view(np.uint8).reshape(len(column), column.itemsize).T)
+        data = [codec.compress(plane.tobytes(), asbytes=True) for plane in planes]
+        parts += [np.array([len(column), *map(len, data)], np.uint32).tobytes(), *data]
+    return b"".join(parts)
+
+
+def _unpacked(data: bytes, *kinds: type) -> list[np.ndarray]:
+    codec, columns, at = pa.Codec("zstd", 1), [], 0
+    for kind in map(np.dtype, kinds):
+        n, *sizes = np.frombuffer(data, np.uint32, 1 + kind.itemsize, at).tolist()
+        at += 4 * (1 + kind.itemsize)
+        planes = np.empty((kind.itemsize, n), np.uint8)
+        for plane, size in zip(planes, sizes):
+            plane[:] = np.frombuffer(codec.decompress(data[at : at + size], n), np.uint8)
+            at += size
+        columns.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+    return columns
+
+
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
+    """(cell, its (block, data)) of rows that come sorted by cell within their bucket."""
+    cell, held = None, []
     for batch in batches:
-        h, k, p = (batch.column(c).to_numpy() for c in ("h", "k", "p"))
-        if not len(h):
-            continue
-        again = np.concatenate([[(h[0], k[0]) == before], (h[1:] == h[:-1]) & (k[1:] == k[:-1])])  # rows that repeat are one document
-        before = (h[-1], k[-1])
-        ties = [np.zeros((0, 4), np.int64)]
-        for i in np.flatnonzero(batch.column("more").is_valid().to_numpy(zero_copy_only=False) & ~again):
-            later = np.array(batch.column("more")[int(i)].as_py(), np.int64)
-            own = np.full(len(later), k[i])
-            ties.append(np.stack([own, own, later, np.full(len(later), p[i])], axis=1))
-        done = held.shape[1]
-        h, k, p = np.concatenate([held, np.stack([h[~again], k[~again], p[~again]])], axis=1)
-        if not len(h):
+        for c, block, data in zip(*(batch.column(x).to_pylist() for x in ("cell", "block", "data"))):
+            if c != cell and held:
+                yield cell, held
+                held = []
+            cell = c
+            held.append((block, data))
+    if held:
+        yield cell, held
+
+
+def _cell_rows(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * 4
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["bucket", "cell", "block", "data"])
+
+
+def _cuts(cells: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(cell, start, end) of each run of equal numbers."""
+    bounds = np.concatenate([[0], np.flatnonzero(cells[1:] != cells[:-1]) + 1, [len(cells)]])
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if a < b:
+            yield int(cells[a]), a, b
+
+
+def _seed_blocks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """The seeds of a block of texts, sorted and packed by cell, the first ``bits`` bits of their hash. Each bucket of cells also gets the
+    keys of the texts that its seeds name by number."""
+    keys: list[int] = []
+    hashes: list[np.ndarray] = []
+    size = 0
+
+    def block() -> pa.RecordBatch:
+        h, counts = np.concatenate(hashes).view(np.uint64), np.array([len(x) for x in hashes])
+        doc = np.repeat(np.arange(len(counts), dtype=np.uint32), counts)
+        place = (np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint32)
+        order = np.argsort(h)
+        h, doc, place = h[order], doc[order], place[order]
+        rows = []
+        for bucket, a, b in _cuts(h >> np.uint64(64 - BUCKET_BITS)):
+            there, doc[a:b] = np.unique(doc[a:b], return_inverse=True)
+            names = np.array(keys, np.int64)[there].tobytes()
+            number = xxhash.xxh64_intdigest(names) - (1 << 63)  # equal numbers name equal keys
+            rows.append((bucket, -1, number, names))
+            for cell, c, d in _cuts(h[a:b] >> np.uint64(64 - bits)):
+                c, d = a + c, a + d
+                rows.append((bucket, cell, number, _packed(np.diff(h[c:d], prepend=np.uint64(0)), doc[c:d], place[c:d])))
+        return _cell_rows(rows)
+
+    for batch in batches:
+        for part in small_batches([batch], "t", 4 << 20):
+            for k, t in zip(part.column("k").to_pylist(), utf8(part.column("t"))):
+                keys.append(k)
+                hashes.append(seeds(t.lower().split())[0])
+                size += len(t)
+            if size >= BLOCK_BYTES:
+                yield block()
+                keys, hashes, size = [], [], 0
+    if keys:
+        yield block()
+
+
+def _ties(h: np.ndarray, k: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """(text, earlier text, place, earlier place) of seeds: across texts each is tied to the first text that has it, inside a text to its first
+    place in the text. Across texts it is also tied to the text before it, as the first may hold a part of the passage only."""
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    order = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+    h, k, p = h[order], k[order], p[order]
+    order = np.lexsort((p, k, h))
+    h, k, p = h[order], k[order], p[order]
+    new = np.ones((2, len(h)), bool)  # another seed, another seed or text
+    new[0, 1:] = h[1:] != h[:-1]
+    new[1, 1:] = new[0, 1:] | (k[1:] != k[:-1])
+    repeats = ~new[1]
+    repeats[1:] &= p[1:] == p[:-1]  # rows that repeat are one document
+    at = np.arange(len(h))
+    first, own = (np.maximum.accumulate(np.where(n, at, 0)) for n in new)
+    later = at[~new[1] & ~repeats]
+    pairs = [np.stack([later, own[later]])]
+    heads = at[new[1]]
+    other = ~new[0][heads]
+    pairs.append(np.stack([heads[other], first[heads[other]]]))
+    before = np.concatenate([[0], heads])[:-1][: len(heads)]
+    other &= before != first[heads]
+    pairs.append(np.stack([heads[other], before[other]]))
+    a, b = np.concatenate(pairs, axis=1)
+    return np.stack([k[a], k[b], p[a].astype(np.int64), p[b].astype(np.int64)])
+
+
+def _tie_blocks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Ties of each cell's seeds, packed by the cell of their pair of texts. A cell is held whole; all places of one seed lie in one."""
+    names: dict[int, np.ndarray] = {}
+    held: list[np.ndarray] = []
+
+    def block() -> pa.RecordBatch:
+        k, rk, p, rp = np.concatenate(held, axis=1)
+        held.clear()
+        mixed = (k.view(np.uint64) ^ (rk.view(np.uint64) * _MIX[1])) * _MIX[0]
+        order = np.lexsort((p, rk, k, mixed))
+        k, rk, p, rp, mixed = k[order], rk[order], p[order], rp[order], mixed[order]
+        rows = []
+        for cell, a, b in _cuts(mixed >> np.uint64(64 - bits)):
+            starts = np.concatenate([[a], a + 1 + np.flatnonzero((k[a + 1 : b] != k[a : b - 1]) | (rk[a + 1 : b] != rk[a : b - 1]))])
+            counts = np.diff(np.append(starts, b)).astype(np.uint32)
+            data = _packed(k[starts], rk[starts], counts, p[a:b].astype(np.uint32), (rp[a:b] - p[a:b]).astype(np.int32))
+            rows.append((cell >> bits - BUCKET_BITS, cell, 0, data))
+        return _cell_rows(rows)
+
+    for cell, rows in _by_cell(batches):
+        if cell < 0:
+            names = {number: np.frombuffer(data, np.int64) for number, data in rows}
             continue
-        fresh = np.concatenate([[True], h[1:] != h[:-1]])
-        first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-        ends = sorted({int(first[-1]), len(h) - 1})
-        held = np.stack([h[ends], k[ends], p[ends]])
-        later = np.flatnonzero(first != np.arange(len(h)))
-        later = later[later >= done]
-        ties.append(np.stack([k[later], k[first[later]], p[later], p[first[later]]], axis=1))
-        later = later[first[later] != later - 1]
-        ties.append(np.stack([k[later], k[later - 1], p[later], p[later - 1]], axis=1))
-        tied = np.concatenate(ties)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in tied.T], names=["k", "rk", "p", "rp"])
+        parts = []
+        for number, data in rows:
+            steps, doc, place = _unpacked(data, np.uint64, np.uint32, np.uint32)
+            parts.append((np.cumsum(steps), names[number][doc], place))
+        held.append(_ties(*map(np.concatenate, zip(*parts))))
+        if sum(t.shape[1] for t in held) > CELL // 2:
+            yield block()
+    if sum(t.shape[1] for t in held):
+        yield block()
 
 
 def chains(places: np.ndarray, sources: np.ndarray) -> list[tuple[list[int], list[int]]]:
@@ -136,34 +240,41 @@ def chains(places: np.ndarray, sources: np.ndarray) -> list[tuple[list[int], lis
     return found
 
 
+def _one_chain(table: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """For each match of sorted pairs, whether it surely follows the match before it: both places grow, and the match gains more than the gap
+    costs. Where that holds for all of a pair, its only chain is all of it, as scores grow from match to match."""
+    steps = np.diff(table[2:], axis=1)
+    gain = np.minimum(SHINGLE, steps.min(axis=0, initial=SHINGLE)) - GAP_COST * steps.sum(axis=0)
+    return ((steps > 0).all(axis=0) & (gain > 1e-6)) | (pair[1:] != pair[:-1])
+
+
 def _chain_rows(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Chains of each pair; rows come sorted by (k, rk), a pair's rows are bounded by its documents."""
+    """Chains of each pair; a pair's matches lie in one cell and are bounded by its documents."""
 
     def out(table: np.ndarray) -> pa.RecordBatch:
         rows = [[], [], [], []]
-        cuts = np.flatnonzero((table[0, 1:] != table[0, :-1]) | (table[1, 1:] != table[1, :-1])) + 1
-        bounds = np.concatenate([[0], cuts, [table.shape[1]]])
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            if b - a < 2 or table[2, a:b].max() - table[2, a:b].min() + SHINGLE < least:
-                continue
-            for at, src in chains(table[2, a:b], table[3, a:b]):
+        new = np.concatenate([[True], (table[:2, 1:] != table[:2, :-1]).any(axis=0)])
+        follows = np.concatenate([[True], _one_chain(table, np.cumsum(new))])
+        bounds = np.append(np.flatnonzero(new), table.shape[1])
+        simple = np.logical_and.reduceat(follows, bounds[:-1])
+        long = (np.diff(bounds) > 1) & (np.maximum.reduceat(table[2], bounds[:-1]) - np.minimum.reduceat(table[2], bounds[:-1]) + SHINGLE >= least)
+        for n in np.flatnonzero(long).tolist():
+            a, b = bounds[n], bounds[n + 1]
+            places, sources = table[2, a:b], table[3, a:b]
+            for at, src in [(places.tolist(), sources.tolist())] if simple[n] else chains(places, sources):
                 if at[-1] - at[0] + SHINGLE >= least:
                     for column, value in zip(rows, (int(table[0, a]), int(table[1, a]), at, src)):
                         column.append(value)
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds)], names=["k", "rk", "at", "src"])
 
-    held = np.zeros((4, 0), np.int64)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held = np.concatenate([held, np.stack([batch.column(c).to_numpy() for c in ("k", "rk", "p", "rp")])], axis=1)
-        last = int(np.flatnonzero((held[0] != held[0, -1]) | (held[1] != held[1, -1]))[-1:].sum()) if held.shape[1] else 0
-        if last:
-            yield out(held[:, : last + 1])
-            held = held[:, last + 1 :]
-    if held.shape[1]:
-        yield out(held)
+    for _, rows in _by_cell(batches):
+        parts = []
+        for _, data in rows:
+            k, rk, counts, p, ahead = _unpacked(data, np.int64, np.int64, np.uint32, np.uint32, np.int32)
+            parts.append(np.stack([np.repeat(k, counts), np.repeat(rk, counts), p.astype(np.int64), p.astype(np.int64) + ahead]))
+        table = np.concatenate(parts, axis=1)
+        yield out(table[:, np.lexsort((table[3], table[2], table[1], table[0]))])
 
 
 def distance(a: list, b: list) -> int:
@@ -273,19 +384,22 @@ def repeated_passages(
 
     Words are split at white space, letter case of A-Z aside. Every occurrence but the first (in an arbitrary fixed
     order of documents) is reported, with the first as its source, or where a text repeats its own words with its first
-    place in the text: seeds are tied to two earlier occurrences at most, so rows grow with the text, never with pairs of
-    copies, and a seed that recurs in a text is shuffled once for it. Exact copies of a whole text report the whole text. Rows that
+    place in the text: seeds are tied to two earlier occurrences at most, so ties grow with the text, never with pairs of
+    copies. Seeds and ties are shuffled packed, by block of texts; a task holds one cell of them at a time, a seed's places all in one (20 bytes
+    each). Exact copies of a whole text report the whole text. Rows that
     repeat both id and text count as one document; null or short texts have no passages; an empty table none.
     doc_key is the hash of id and text, for joining the result back to rows with repeated or null ids.
     """
     keep_batches_small(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     rows = rows.where("length(t) > 0").withColumn("k", row_key("d", "t"))
-    found = rows.select("k", "t").mapInArrow(_seed_rows, "h long, k long, p long, more array<long>")
-    tied = found.repartition("h").sortWithinPartitions("h", "k").mapInArrow(_to_first, "k long, rk long, p long, rp long")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    bits = BUCKET_BITS + max(0, size // (WORD_BYTES * CELL << BUCKET_BITS)).bit_length()  # cells of a bucket grow with the table
+    schema, order = "bucket int, cell long, block long, data binary", ("bucket", "cell")
+    found = rows.select("k", "t").mapInArrow(lambda it: _seed_blocks(it, bits), schema).repartition("bucket").sortWithinPartitions(*order)
+    tied = found.mapInArrow(lambda it: _tie_blocks(it, bits), schema).repartition("bucket").sortWithinPartitions(*order)
     least = min(LEAST_SPAN, least_words)  # the rest of the passage may be tied to other texts, the alignment finds it
-    linked = tied.repartition("k", "rk").sortWithinPartitions("k", "rk", "p")
-    chained = written(linked.mapInArrow(lambda it: _chain_rows(it, least), "k long, rk long, at array<int>, src array<int>"), "chains")
+    chained = written(tied.mapInArrow(lambda it: _chain_rows(it, least), "k long, rk long, at array<int>, src array<int>"), "chains")
     # only the texts that chains touch move on; of equal rows one is enough
     touched = chained.select("k").union(chained.select("rk")).distinct()
     texts = written(rows.join(touched, "k", "left_semi").dropDuplicates(["k"]), "texts")

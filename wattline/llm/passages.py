@@ -403,10 +403,10 @@ def repeated_passages(
     # only the texts that chains touch move on; of equal rows one is enough
     touched = chained.select("k").union(chained.select("rk")).distinct()
     texts = written(rows.join(touched, "k", "left_semi").dropDuplicates(["k"]), "texts")
-    own = texts.join(chained, "k").mapInArrow(_own_words, "k long, d long, rk long, low int, words string, at array<int>, src array<int>")
-    source = texts.select(F.col("k").alias("rk"), F.col("d").alias("rd"), F.col("t").alias("rt"))
+    own = texts.join(chained, "k").mapInArrow(_own_words, "ok long, od long, k long, low int, words string, at array<int>, src array<int>")
     schema = "doc_id long, start int, end int, source_doc_id long, source_start int, source_end int, similarity double, doc_key long"
-    aligned = own.join(source, "rk").mapInArrow(lambda it: _aligned(it, least_words, similarity), f"{schema}, source_key long").distinct()
+    # the source is k here too, so that both joins read one shuffle of the texts
+    aligned = own.join(texts, "k").mapInArrow(lambda it: _aligned(it, least_words, similarity), f"{schema}, source_key long").distinct()
     sorted_spans = aligned.repartition("doc_key").sortWithinPartitions("doc_key", "source_key", "start", F.desc("end"), "source_start", "source_end")
     return sorted_spans.mapInArrow(_uncovered, schema)
 
@@ -423,17 +423,17 @@ def _own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words.append(b" ".join(split[lows[-1] : a[-1] + SHINGLE + MARGIN]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("k"), batch.column("d"), batch.column("rk"), pa.array(lows, pa.int32()), pa.array(words, pa.binary()).cast(pa.string()), batch.column("at"), batch.column("src")],
-            names=["k", "d", "rk", "low", "words", "at", "src"],
+            names=["ok", "od", "k", "low", "words", "at", "src"],
         )
 
 
 def _aligned(batches: Iterator[pa.RecordBatch], least_words: int, similarity: float) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64()]
     names = ["doc_id", "start", "end", "source_doc_id", "source_start", "source_end", "similarity", "doc_key", "source_key"]
-    for batch in small_batches(batches, "rt", 4 << 20):
+    for batch in small_batches(batches, "t", 4 << 20):
         rows, last, split = [], None, []
-        data = [batch.column(c).to_pylist() for c in ("k", "d", "rk", "rd", "low", "at", "src")]
-        for k, d, rk, rd, low, at, src, words, text in zip(*data, utf8(batch.column("words")), utf8(batch.column("rt"))):
+        data = [batch.column(c).to_pylist() for c in ("ok", "od", "k", "d", "low", "at", "src")]
+        for k, d, rk, rd, low, at, src, words, text in zip(*data, utf8(batch.column("words")), utf8(batch.column("t"))):
             if rk != last:
                 last, split = rk, text.lower().split()
             base = max(0, src[0] - MARGIN)

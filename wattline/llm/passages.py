@@ -385,8 +385,8 @@ def repeated_passages(
     Words are split at white space, letter case of A-Z aside. Every occurrence but the first (in an arbitrary fixed
     order of documents) is reported, with the first as its source, or where a text repeats its own words with its first
     place in the text: seeds are tied to two earlier occurrences at most, so ties grow with the text, never with pairs of
-    copies. Seeds and ties are shuffled packed, by block of texts; a task holds one cell of them at a time, a seed's places all in one (20 bytes
-    each). Exact copies of a whole text report the whole text. Rows that
+    copies. Seeds and ties are shuffled packed, by block of texts; a task holds one cell of them at a time, a seed's places all in one.
+    Exact copies of a whole text report the whole text. Rows that
     repeat both id and text count as one document; null or short texts have no passages; an empty table none.
     doc_key is the hash of id and text, for joining the result back to rows with repeated or null ids.
     """
